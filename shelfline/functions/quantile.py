@@ -28,50 +28,58 @@ _MAX_LONG = (1 << 63) - 1
 _MANTISSA = float(1 << 52)
 
 
-def order_key(c: Column) -> Column:
-    """Signed 64-bit key with key(a) < key(b) exactly when a < b for doubles
-    (NaN sorts last, -0.0 equals 0.0).  It is the IEEE-754 bit pattern of
-    |x| (negated for negative x), built with exact arithmetic on powers of two."""
-    x = c.cast("double")
-    a = F.abs(x)
+def with_order_key(df: DataFrame, column: str, out: str = "_key") -> DataFrame:
+    """Adds ``out``: a signed 64-bit key with key(a) < key(b) exactly when
+    a < b for doubles (NaN sorts last, -0.0 equals 0.0).  It is the IEEE-754
+    bit pattern of |x| (negated for negative x), built with exact arithmetic
+    on powers of two.  Each step is its own projection so that every
+    sub-expression is evaluated once (and generated code stays small)."""
+    a = F.abs(F.col(column).cast("double"))
     finite = (a > 0) & ~F.isnan(a) & (a < F.lit(float("inf")))
-    safe = F.when(finite, a).otherwise(F.lit(1.0))
-    e0 = F.floor(F.log2(safe)).cast("int")
-    p0 = F.pow(F.lit(2.0), e0)
+    keep = [c for c in df.columns]
+    df = df.select(*keep, F.when(finite, a).otherwise(F.lit(1.0)).alias("_s"))
+    df = df.select(*keep, "_s", F.floor(F.log2("_s")).cast("int").alias("_e0"))
+    df = df.select(*keep, "_s", "_e0", F.pow(F.lit(2.0), F.col("_e0")).alias("_p0"))
     # log2 may be one off next to a power of two; fix with exact comparisons
-    e = F.when(p0 > safe, e0 - 1).when(p0 * 2.0 <= safe, e0 + 1).otherwise(e0)
+    s, e0, p0 = F.col("_s"), F.col("_e0"), F.col("_p0")
+    df = df.select(*keep, "_s", F.when(p0 > s, e0 - 1).when(p0 * 2.0 <= s, e0 + 1).otherwise(e0).alias("_e"))
+    e = F.col("_e")
     normal = e >= -1022
     field = F.when(normal, e + 1023).otherwise(F.lit(0)).cast("long")
-    mant = F.when(normal, (safe / F.pow(F.lit(2.0), e) - 1.0) * _MANTISSA) \
-        .otherwise(safe * F.lit(2.0 ** 1022) * _MANTISSA).cast("long")
-    bits = F.shiftleft(field, 52) + mant
-    bits = (F.when(a == 0, F.lit(0).cast("long"))
-            .when(a == F.lit(float("inf")), F.lit(2047 << 52).cast("long"))
-            .otherwise(bits))
-    return (F.when(F.isnan(x), F.lit(_MAX_LONG))
-            .when(x < 0, -bits - 1)
-            .otherwise(bits))
+    mant = F.when(normal, (s / F.pow(F.lit(2.0), e) - 1.0) * _MANTISSA) \
+        .otherwise(s * F.lit(2.0 ** 1022) * _MANTISSA).cast("long")
+    df = df.select(*keep, (F.shiftleft(field, 52) + mant).alias("_bits"))
+    x = F.col(column).cast("double")
+    bits = (F.when(F.abs(x) == 0, F.lit(0).cast("long"))
+            .when(F.abs(x) == F.lit(float("inf")), F.lit(2047 << 52).cast("long"))
+            .otherwise(F.col("_bits")))
+    key = F.when(F.isnan(x), F.lit(_MAX_LONG)).when(x < 0, -bits - 1).otherwise(bits)
+    return df.select(*keep, key.alias(out))
 
 
 def exact_quantile(df: DataFrame, column: str, q: float = 0.5):
     """Exact ``percentile_disc(q)`` of the non-null values of ``column``;
-    ``None`` when there are none.  Runs at most four small aggregation jobs."""
+    ``None`` when there are none.  Runs at most four small aggregation jobs.
+
+    Each pass groups every row by "its next digit if its higher digits
+    equal the chosen prefix, else null", so no predicate over the key is
+    pushed below the key's projections."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
-    v = F.col(column).cast("double")
-    keyed = df.select(v.alias("v")).where(F.col("v").isNotNull()) \
-        .select("v", order_key(F.col("v")).bitwiseXOR(F.lit(_MIN_LONG)).alias("u"))
+    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    keyed = with_order_key(values, "v", "_k").select(
+        "v", F.col("_k").bitwiseXOR(F.lit(_MIN_LONG)).alias("u"))
     prefix = None
     rank = None
     mask = (1 << DIGIT_BITS) - 1
     lo = None
     for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
-        part = keyed if prefix is None else keyed.where(
-            F.shiftrightunsigned("u", shift + DIGIT_BITS) == F.lit(prefix))
         digit = F.shiftrightunsigned("u", shift).bitwiseAND(F.lit(mask))
-        hist = sorted(part.groupBy(digit.alias("d"))
-                      .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                      .collect())
+        if prefix is not None:
+            digit = F.when(F.shiftrightunsigned("u", shift + DIGIT_BITS) == F.lit(prefix), digit)
+        hist = sorted((r for r in keyed.groupBy(digit.alias("d"))
+                       .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                       .collect() if r["d"] is not None), key=lambda r: r["d"])
         if rank is None:
             total = sum(r["n"] for r in hist)
             if total == 0:

@@ -261,3 +261,28 @@ t_new AS ({_dim_date(f"(SELECT * FROM c_enriched WHERE {_NEW})")})"""),
 SELECT count(*) AS row_count, count(DISTINCT date) AS distinct_dates, min(date) AS min_date, max(date) AS max_date
 FROM m_fact"""),
 }
+
+_FACT_REPLACED_MONTH = (f", m_fact_rm AS (SELECT * FROM m_fact WHERE NOT (date >= DATE '{ONE_MONTH}-01' "
+                        f"AND date < DATE '{ONE_MONTH}-01' + INTERVAL 1 MONTH) OR payment_method = 'Card')")
+_T_OLD_PRODUCT = f""",
+t_old AS (SELECT DISTINCT product_id, product_name, description, category FROM c_details WHERE {_OLD})"""
+
+SQL.update({
+    "ingest_full": SQL["ingest_details_by_sale"],
+    "ingest_daily": SQL["ingest_increment"],
+    "transform_full": SQL["clean_sales_details"],
+    "transform_daily": with_model(f"SELECT * FROM c_details WHERE date = DATE '{ONE_DAY}'"),
+    "model_full": SQL["fact_sales"],
+    "model_daily": SQL["fact_sales"],
+    "aggregate_full": SQL["store_performance"],
+    "aggregate_daily": SQL["daily_store_sales"],
+    "aggregate_monthly": SQL["store_performance"],
+    "replace_day": with_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}' OR payment_method = 'Card'"),
+    "replace_month": with_model(g_store_perf("m_fact_rm"), extra=_FACT_REPLACED_MONTH),
+    "append_day": SQL["fact_sales"],
+    "snapshot_as_of_version": with_model("SELECT * FROM t_old", extra=_T_OLD_PRODUCT),
+    "snapshot_as_of_time": with_model("SELECT * FROM t_old", extra=_T_OLD_PRODUCT),
+    "snapshot_latest": SQL["upsert_dim_product"],
+    "parquet_roundtrip": SQL["clean_payments"],
+    "csv_reference": with_retail("SELECT * FROM r_products"),
+})

@@ -107,3 +107,19 @@ def with_second_payment(pay: DataFrame, every: int = 19) -> DataFrame:
     extra = pay.where(F.col("sale_id") % every == 0).select(
         (-F.col("payment_id")).alias("payment_id"), "sale_id", F.lit("Cash").alias("method"), "amount")
     return pay.unionByName(extra)
+
+
+@dataclass(frozen=True)
+class TestTableSource:
+    """Transactional and reference tables of one test-data folder, in the
+    shape the jobs read from a database and from reference files."""
+    sf_dir: str
+
+    def __call__(self, spark: SparkSession, table: str) -> DataFrame:
+        return {"sales": sales, "sales_details": sales_details, "payments": payments}[table](spark, self.sf_dir)
+
+    def products(self, spark: SparkSession) -> DataFrame:
+        return products(spark, self.sf_dir)
+
+    def stores(self, spark: SparkSession) -> DataFrame:
+        return stores(spark, self.sf_dir)
