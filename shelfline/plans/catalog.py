@@ -421,8 +421,8 @@ def _two_snapshots(spark, sf_dir):
 
 
 def q_snapshot_as_of_version(spark, sf_dir):
-    """The dimension as first published (snapshot 1), after a later merge."""
-    return _two_snapshots(spark, sf_dir).read(version=1)
+    """The dimension as first published (version 0), after a later merge."""
+    return _two_snapshots(spark, sf_dir).read(version=0)
 
 
 def q_snapshot_as_of_time(spark, sf_dir):

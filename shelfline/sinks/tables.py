@@ -2,7 +2,7 @@
 overwrite, append, partition replace, upsert, read as of a version or a time)
 on plain Parquet.
 
-Layout: ``{path}/_snapshots/{n:08d}/`` holds the data of snapshot n;
+Layout: ``{path}/_snapshots/{n:08d}/`` holds the data of snapshot n (the first is 0);
 ``{path}/_manifest/`` holds one small Parquet file per change with
 (snapshot, published_at, operation, location).  A full overwrite or an upsert
 writes a new snapshot and never touches the previous one, so readers of an
@@ -96,7 +96,8 @@ class SnapshotTable:
     # -- writes (W5, W6, W3, W7) ------------------------------------------------
     def overwrite(self, df: DataFrame, partition_by=None) -> int:
         """Full overwrite as a new snapshot."""
-        n = (self.current() or 0) + 1
+        cur = self.current()
+        n = 0 if cur is None else cur + 1
         parquet.write_partitioned(df, self._location(n), partition_by, mode="errorifexists")
         self._record(n, "overwrite")
         return n
