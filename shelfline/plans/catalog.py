@@ -263,10 +263,27 @@ def _sources(sf_dir: str):
     return Sources(transactions=t, products=t.products, stores=t.stores)
 
 
+# Local runs only: with a few MB of test data AQE coalesces the rebalance
+# before a date-partitioned write into one task, which then creates ~2,400 day
+# files one after another.  A smaller minimum partition size keeps the cores
+# busy, and listing ~2,400 day folders uses as many tasks as cores.  Applied
+# only to a local session and only when the setting is not already chosen.
+def _local_tuning(spark: SparkSession) -> None:
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        return
+    tuning = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+              "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(sc.defaultParallelism)}
+    for k, v in tuning.items():
+        if not sc.getConf().contains(k) and k not in spark.conf.getAll:
+            spark.conf.set(k, v)
+
+
 def _full_lake(spark: SparkSession, sf_dir: str, upto: str):
     from ..session import fresh_path
     from ..sources.layout import Lake
     from . import jobs
+    _local_tuning(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     st = _LAKES.get(key)
     if st is None:
@@ -324,6 +341,7 @@ def q_aggregate_full(spark, sf_dir):
 
 def q_ingest_daily(spark, sf_dir):
     """The day's increment ingested twice: the rerun replaces, never duplicates."""
+    _local_tuning(spark)
     from ..session import fresh_path
     from ..sources.layout import Lake
     from . import jobs
@@ -371,6 +389,7 @@ def q_aggregate_monthly(spark, sf_dir):
 def q_replace_day(spark, sf_dir):
     """A corrected feed for one day (its card payments only) replaces
     that day's partition; all other days are untouched."""
+    _local_tuning(spark)
     from ..session import fresh_path
     from ..sinks import parquet
     from ..sources.files import read_parquet
@@ -385,6 +404,7 @@ def q_replace_day(spark, sf_dir):
 def q_replace_month(spark, sf_dir):
     """The month's dashboard rows are replaced (from card payments only);
     the other months are kept."""
+    _local_tuning(spark)
     from ..sinks.tables import SnapshotTable
     from ..session import fresh_path
     r = Retail(spark, sf_dir)
@@ -399,6 +419,7 @@ def q_replace_month(spark, sf_dir):
 
 def q_append_day(spark, sf_dir):
     """The fact without one day, then that day appended."""
+    _local_tuning(spark)
     from ..sinks.tables import SnapshotTable
     from ..session import fresh_path
     fact = Retail(spark, sf_dir).fact
@@ -438,6 +459,7 @@ def q_snapshot_latest(spark, sf_dir):
 
 def q_parquet_roundtrip(spark, sf_dir):
     """W1 + R4: cleaned payments written by date and read back."""
+    _local_tuning(spark)
     from ..session import fresh_path
     from ..sinks import parquet
     from ..sources.files import read_parquet
