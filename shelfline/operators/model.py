@@ -30,25 +30,52 @@ def create_dim_date(sales: DataFrame) -> DataFrame:
                     F.month(d).alias("month"), F.quarter(d).alias("quarter"), F.year(d).alias("year")))
 
 
+# Lines of one sale that one task joins before the sale is split (salted).
+ROWS_PER_TASK = 2_000_000
+
+
+def _hot_sales(lines: DataFrame, rows_per_task: int) -> DataFrame:
+    """Sales with more lines than one task should take, with the number of
+    splits each needs.  A sale is hot only above ``rows_per_task`` lines, so
+    there are at most lines / rows_per_task of them (about 500,000 rows of
+    two numbers for a trillion lines): a proven bound, safe to broadcast."""
+    n = F.count(F.lit(1))
+    return (lines.groupBy("sale_id").agg(n.alias("_n")).where(F.col("_n") > rows_per_task)
+            .select("sale_id", F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")))
+
+
 def _fact_joined(sales: DataFrame, details: DataFrame, payments: DataFrame,
-                 dim_date: DataFrame) -> DataFrame:
+                 dim_date: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     s = sales.select("sale_id", "store_id", sale_date("timestamp").alias("_sale_date"))
     d = details.select("sale_id", "product_id", "quantity", "unit_price", "VAT")
     p = payments.select("sale_id", F.col("method").alias("payment_method"))
+    # one header row per sale x payment (payments per sale are few; a sale
+    # with many payments is a plain two-sided shuffle join that adaptive
+    # execution splits when skewed)
+    header = s.join(p, "sale_id")
+    # A sale holding a large share of all lines would make one task join all
+    # of them.  Its lines are spread over ceil(n / rows_per_task) salts by a
+    # row hash (stable across retries) and its header rows are repeated once
+    # per salt; the join on (sale_id, salt) returns exactly the same rows.
+    hot = F.broadcast(_hot_sales(d, rows_per_task))
+    salts = F.col("_salts")
+    d = d.join(hot, "sale_id", "left").select(
+        *d.columns, F.when(salts.isNull(), F.lit(0))
+        .otherwise(F.pmod(F.xxhash64(*d.columns), salts)).cast("int").alias("_salt"))
+    header = header.join(hot, "sale_id", "left").select(
+        *header.columns, F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)).alias("_salt"))
     # dim_date has one row per calendar day, so its size is bounded by the
     # number of days covered (about 366 rows a year): safe to broadcast.
     dd = F.broadcast(dim_date.select("date_id", F.col("date").alias("_dd_date")))
-    # details, sales and payments all join on sale_id: one co-partitioned
-    # shuffle for the three of them.
-    return (d.join(s, "sale_id").join(p, "sale_id")
+    return (d.join(header, ["sale_id", "_salt"])
             .join(dd, F.col("_sale_date") == F.col("_dd_date")))
 
 
 def create_fact_sales(sales: DataFrame, details: DataFrame, payments: DataFrame,
-                      dim_date: DataFrame) -> DataFrame:
+                      dim_date: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """grain = sale line x payment of the sale.  A sale without payment has
     no fact rows; a sale with k payments has each line k times."""
-    return _fact_joined(sales, details, payments, dim_date).select(
+    return _fact_joined(sales, details, payments, dim_date, rows_per_task).select(
         "sale_id", "product_id", "store_id", "date_id", "payment_method", "quantity", "unit_price",
         line_amount().alias("line_amount"), "VAT", F.col("_sale_date").alias("date"))
 
@@ -71,10 +98,11 @@ def create_dim_payment_method(payments: DataFrame, existing: DataFrame | None =
 
 
 def create_fact_sales_with_method_id(sales: DataFrame, details: DataFrame, payments: DataFrame,
-                                     dim_date: DataFrame, dim_payment_method: DataFrame) -> DataFrame:
+                                     dim_date: DataFrame, dim_payment_method: DataFrame, *,
+                                     rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """C8 with the payment method replaced by its dimension key (inner join)."""
     pm = dim_payment_method.select(F.col("method").alias("_pm_method"), "method_id")
-    f = _fact_joined(sales, details, payments, dim_date)
+    f = _fact_joined(sales, details, payments, dim_date, rows_per_task)
     return f.join(pm, F.col("payment_method") == F.col("_pm_method")).select(
         "sale_id", "product_id", "store_id", "date_id", "method_id", "quantity", "unit_price",
         line_amount().alias("line_amount"), "VAT", F.col("_sale_date").alias("date"))

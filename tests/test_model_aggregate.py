@@ -118,3 +118,24 @@ def test_fact_with_method_id(spark, cleaned):
     f = op.create_fact_sales_with_method_id(sales, details, payments, op.create_dim_date(sales), dpm)
     assert "method_id" in f.columns and "payment_method" not in f.columns
     assert f.count() == 5
+
+
+def test_salted_fact_join_equals_plain_join(spark):
+    from pyspark.sql import functions as F
+    n = 2000
+    sales = spark.range(n).select(F.col("id").alias("sale_id"), (F.col("id") % 5).cast("int").alias("store_id"),
+                                  F.lit(dt.datetime(2025, 10, 20, 9)).cast("timestamp_ntz").alias("timestamp"),
+                                  F.lit(1.0).alias("total_amount"))
+    # sale 0 holds a third of all lines and has two payments
+    details = spark.range(3 * n).select(F.col("id").cast("string").alias("detail_id"),
+                                        F.when(F.col("id") < n, 0).otherwise(F.col("id") % n).alias("sale_id"),
+                                        (F.col("id") % 9).alias("product_id"), F.lit(1).alias("quantity"),
+                                        (F.col("id") % 7 + 1.0).alias("unit_price"), F.lit(0.2).alias("VAT"))
+    payments = spark.createDataFrame([(i, i, "Card", 1.0) for i in range(n)] + [(-1, 0, "Cash", 1.0)],
+                                     "payment_id long, sale_id long, method string, amount double")
+    dd = op.create_dim_date(sales)
+    salted = op.create_fact_sales(sales, details, payments, dd, rows_per_task=100)
+    plain = op.create_fact_sales(sales, details, payments, dd, rows_per_task=10**12)
+    # sale 0: n + 2 lines x 2 payments; the other sales: 2n - 2 lines x 1 payment
+    assert salted.count() == plain.count() == 4 * n + 2
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
