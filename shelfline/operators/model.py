@@ -54,21 +54,22 @@ def _fact_joined(sales: DataFrame, details: DataFrame, payments: DataFrame,
     # execution splits when skewed)
     header = s.join(p, "sale_id")
     # A sale holding a large share of all lines would make one task join all
-    # of them.  Its lines are spread over ceil(n / rows_per_task) salts by a
-    # row hash (stable across retries) and its header rows are repeated once
-    # per salt; the join on (sale_id, salt) returns exactly the same rows.
+    # of them.  Such sales are joined apart: their lines are spread over
+    # ceil(n / rows_per_task) salts by a row hash (stable across retries) and
+    # their header rows repeated once per salt, joined on (sale_id, salt).
+    # All other sales join on sale_id alone, keeping the inputs' partitioning
+    # (no extra shuffle of the lines).  Same rows as one plain join.
     hot = F.broadcast(_hot_sales(d, rows_per_task))
-    salts = F.col("_salts")
-    d = d.join(hot, "sale_id", "left").select(
-        *d.columns, F.when(salts.isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(*d.columns), salts)).cast("int").alias("_salt"))
-    header = header.join(hot, "sale_id", "left").select(
-        *header.columns, F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)).alias("_salt"))
+    cold = d.join(hot.select("sale_id"), "sale_id", "left_anti").join(header, "sale_id")
+    hot_lines = d.join(hot, "sale_id").select(
+        *d.columns, F.pmod(F.xxhash64(*d.columns), F.col("_salts")).cast("int").alias("_salt"))
+    hot_header = header.join(hot, "sale_id").select(
+        *header.columns, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+    joined = cold.unionByName(hot_lines.join(hot_header, ["sale_id", "_salt"]).drop("_salt"))
     # dim_date has one row per calendar day, so its size is bounded by the
     # number of days covered (about 366 rows a year): safe to broadcast.
     dd = F.broadcast(dim_date.select("date_id", F.col("date").alias("_dd_date")))
-    return (d.join(header, ["sale_id", "_salt"])
-            .join(dd, F.col("_sale_date") == F.col("_dd_date")))
+    return joined.join(dd, F.col("_sale_date") == F.col("_dd_date"))
 
 
 def create_fact_sales(sales: DataFrame, details: DataFrame, payments: DataFrame,
