@@ -482,7 +482,17 @@ def q_csv_reference(spark, sf_dir):
     return read_version(spark, root)
 
 
+def q_ingest_reference(spark, sf_dir):
+    """L3 + W4 + A10: monthly reference snapshot, written once, counted back."""
+    from ..session import fresh_path
+    from ..sources.layout import Lake
+    from . import jobs
+    lake = Lake(fresh_path(spark, "lake-reference"))
+    return jobs.ingest_reference(spark, lake, _sources(sf_dir), version=REF_VERSION)
+
+
 QUERIES.update({
+    "ingest_reference": q_ingest_reference,
     "ingest_full": q_ingest_full,
     "ingest_daily": q_ingest_daily,
     "transform_full": q_transform_full,

@@ -81,7 +81,7 @@ def ingest_reference(spark: SparkSession, lake: Lake, src: Sources, *, version:
         p = lake.table(RAW_REF, name, version)
         parquet.write_once(read(spark), p)
         out.append(read_parquet(spark, p).agg(F.count(F.lit(1)).alias("row_count"))
-                   .select(F.lit(name).alias("table"), "row_count"))
+                   .select(F.lit(name).alias("table_name"), "row_count"))
     return out[0].unionByName(out[1])
 
 

@@ -285,4 +285,8 @@ SQL.update({
     "snapshot_latest": SQL["upsert_dim_product"],
     "parquet_roundtrip": SQL["clean_payments"],
     "csv_reference": with_retail("SELECT * FROM r_products"),
+    "ingest_reference": with_retail("""
+SELECT 'products' AS table_name, count(*) AS row_count FROM r_products
+UNION ALL
+SELECT 'stores' AS table_name, count(*) AS row_count FROM r_stores"""),
 })

@@ -10,14 +10,14 @@ import __spark_entry__ as entry
 from scripts.oracle_check import TABLES, digest
 from tests.conftest import SF001
 
-JOB_QUERIES = {"ingest_full", "ingest_daily", "transform_full", "transform_daily", "model_full", "model_daily",
+JOB_QUERIES = {"ingest_reference", "ingest_full", "ingest_daily", "transform_full", "transform_daily", "model_full", "model_daily",
                "aggregate_full", "aggregate_daily", "aggregate_monthly", "replace_day", "replace_month",
                "append_day", "snapshot_as_of_version", "snapshot_as_of_time", "snapshot_latest",
                "parquet_roundtrip", "csv_reference"}
 FAST = sorted(set(entry.queries()) - JOB_QUERIES)
 # the job queries write date-partitioned tables (one folder per day); the
 # quick ones run by default, the full-history ones with SHELFLINE_SLOW=1
-QUICK_JOBS = ["ingest_daily", "snapshot_as_of_version", "snapshot_as_of_time", "snapshot_latest",
+QUICK_JOBS = ["ingest_reference", "ingest_daily", "snapshot_as_of_version", "snapshot_as_of_time", "snapshot_latest",
               "csv_reference", "replace_month"]
 SLOW = sorted(JOB_QUERIES - set(QUICK_JOBS))
 
