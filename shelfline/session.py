@@ -3,7 +3,6 @@ scratch folder used to cut lineage and to publish intermediate tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,12 +65,3 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the scratch folder."""
     base = scratch_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:")
-
-
-def ensure_parent(p: str) -> None:
-    if p.startswith("/"):
-        os.makedirs(os.path.dirname(p.rstrip("/")), exist_ok=True)
