@@ -9,6 +9,7 @@ from .. import config
 from ..functions.dates import sale_date
 from ..functions.money import as_double, capped, line_amount, money_sum, vat
 from ..functions.quantile import median_price
+from .skew import ROWS_PER_TASK, join_split_hot
 
 
 def price_cap(sales_details: DataFrame, *, median_method: str = "approx",
@@ -21,7 +22,8 @@ def price_cap(sales_details: DataFrame, *, median_method: str = "approx",
 def clean_sales_details(sales_details: DataFrame, products: DataFrame, sales: DataFrame, *,
                         cap=None, median_method: str = "approx",
                         cap_factor: float = config.CAP_FACTOR, vat_rate: float = config.VAT_RATE,
-                        relative_error: float = config.QUANTILE_ERROR) -> DataFrame:
+                        relative_error: float = config.QUANTILE_ERROR,
+                        rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keep lines with quantity > 0 and unit_price > 0, cap the price at
     cap_factor x median, add VAT, the sale's date and the product attributes
     (null when the product is unknown; the line is kept).
@@ -36,10 +38,11 @@ def clean_sales_details(sales_details: DataFrame, products: DataFrame, sales: Da
         .where((F.col("_qty") > 0) & (F.col("_price") > 0))
     prod = products.select(F.col("product_id").alias("_pid"), F.col("name").alias("product_name"),
                            "description", "category")
-    day = sales.select(F.col("sale_id").alias("_sid"), sale_date("timestamp").alias("date"))
+    day = sales.select("sale_id", sale_date("timestamp").alias("date"))
     price = capped("_price", cap)
-    return (lines.join(prod, lines.product_id == prod._pid, "left")
-            .join(day, lines.sale_id == day._sid, "left")
+    with_product = lines.join(prod, lines.product_id == prod._pid, "left").drop("_pid")
+    # the sale's date: a sale holding a large share of all lines is joined apart
+    return (join_split_hot(with_product, day, "sale_id", "left", rows_per_task)
             .select("detail_id", "sale_id", "product_id", F.col("_qty").alias("quantity"),
                     price.alias("unit_price"), vat(price, F.col("_qty"), vat_rate).alias("VAT"),
                     "date", "product_name", "description", "category"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import date_key, sale_date
 from ..functions.money import line_amount
+from .skew import ROWS_PER_TASK, join_split_hot
 
 
 def create_dim_product(details_cleaned: DataFrame) -> DataFrame:
@@ -30,20 +31,6 @@ def create_dim_date(sales: DataFrame) -> DataFrame:
                     F.month(d).alias("month"), F.quarter(d).alias("quarter"), F.year(d).alias("year")))
 
 
-# Lines of one sale that one task joins before the sale is split (salted).
-ROWS_PER_TASK = 2_000_000
-
-
-def _hot_sales(lines: DataFrame, rows_per_task: int) -> DataFrame:
-    """Sales with more lines than one task should take, with the number of
-    splits each needs.  A sale is hot only above ``rows_per_task`` lines, so
-    there are at most lines / rows_per_task of them (about 500,000 rows of
-    two numbers for a trillion lines): a proven bound, safe to broadcast."""
-    n = F.count(F.lit(1))
-    return (lines.groupBy("sale_id").agg(n.alias("_n")).where(F.col("_n") > rows_per_task)
-            .select("sale_id", F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")))
-
-
 def _fact_joined(sales: DataFrame, details: DataFrame, payments: DataFrame,
                  dim_date: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     s = sales.select("sale_id", "store_id", sale_date("timestamp").alias("_sale_date"))
@@ -53,19 +40,8 @@ def _fact_joined(sales: DataFrame, details: DataFrame, payments: DataFrame,
     # with many payments is a plain two-sided shuffle join that adaptive
     # execution splits when skewed)
     header = s.join(p, "sale_id")
-    # A sale holding a large share of all lines would make one task join all
-    # of them.  Such sales are joined apart: their lines are spread over
-    # ceil(n / rows_per_task) salts by a row hash (stable across retries) and
-    # their header rows repeated once per salt, joined on (sale_id, salt).
-    # All other sales join on sale_id alone, keeping the inputs' partitioning
-    # (no extra shuffle of the lines).  Same rows as one plain join.
-    hot = F.broadcast(_hot_sales(d, rows_per_task))
-    cold = d.join(hot.select("sale_id"), "sale_id", "left_anti").join(header, "sale_id")
-    hot_lines = d.join(hot, "sale_id").select(
-        *d.columns, F.pmod(F.xxhash64(*d.columns), F.col("_salts")).cast("int").alias("_salt"))
-    hot_header = header.join(hot, "sale_id").select(
-        *header.columns, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
-    joined = cold.unionByName(hot_lines.join(hot_header, ["sale_id", "_salt"]).drop("_salt"))
+    # a sale holding a large share of all lines is joined apart, salted
+    joined = join_split_hot(d, header, "sale_id", "inner", rows_per_task)
     # dim_date has one row per calendar day, so its size is bounded by the
     # number of days covered (about 366 rows a year): safe to broadcast.
     dd = F.broadcast(dim_date.select("date_id", F.col("date").alias("_dd_date")))

@@ -55,3 +55,21 @@ def test_audit_counts(spark):
     import datetime as dt
     df = spark.createDataFrame([(dt.date(2025, 1, 1),), (dt.date(2025, 1, 1),), (dt.date(2025, 1, 5),)], "date date")
     assert rows(op.audit_counts(df)) == [(3, 2, dt.date(2025, 1, 1), dt.date(2025, 1, 5))]
+
+
+def test_join_split_hot_matches_plain_join(spark):
+    from pyspark.sql import functions as F
+
+    from shelfline.operators.skew import hot_keys, join_split_hot
+    # key 0 holds a third of the left rows and has two right rows; key 1 is
+    # hot but has no right row (kept by the left join, dropped by the inner)
+    left = spark.range(3000).select(F.when(F.col("id") < 1000, 0).when(F.col("id") < 1500, 1)
+                                    .otherwise(F.col("id") % 300 + 2).alias("k"), F.col("id").alias("v"))
+    right = spark.createDataFrame([(0, "a"), (0, "b")] + [(k, f"r{k}") for k in range(2, 300)], "k long, w string")
+    assert sorted(r.k for r in hot_keys(left, "k", 100).collect()) == [0, 1]
+    for how in ("inner", "left"):
+        split = join_split_hot(left, right, "k", how, rows_per_task=100)
+        plain = left.join(right, "k", how)
+        assert sorted(split.columns) == sorted(plain.columns)
+        assert split.count() == plain.count()
+        assert split.exceptAll(plain.select(*split.columns)).count() == 0
