@@ -19,6 +19,7 @@ from .. import operators as op
 from ..config import CLEANED_TX, CURATED, RAW_REF, RAW_TX, SERVING
 from ..functions.dates import day_window, in_window, month_range, sale_date, to_day
 from ..sinks import parquet
+from ..session import scratch_dir
 from ..sinks.tables import SnapshotTable
 from ..sources.files import read_parquet, read_partition, read_version
 from ..sources.layout import Lake
@@ -99,6 +100,13 @@ def _transform(spark, lake: Lake, raw: dict[str, DataFrame], version, write, *,
                median_method: str, cap, day=None) -> None:
     products = read_version(spark, lake.table(RAW_REF, "products"), version)
     stores = read_version(spark, lake.table(RAW_REF, "stores"), version)
+    if cap is None and median_method == "exact":
+        # the exact median runs up to four passes; over the deduplicated lines
+        # each pass would redo the dedup shuffle, so the positive prices are
+        # checkpointed once (shared checkpoint folder) and the passes read that
+        scratch_dir(spark)
+        prices = raw["sales_details"].select("unit_price").where(F.col("unit_price") > 0).checkpoint()
+        cap = op.clean.price_cap(prices, median_method="exact")
     p_details = lake.table(CLEANED_TX, "sales_details")
     write(op.clean_sales_details(raw["sales_details"], products, raw["sales"], cap=cap,
                                  median_method=median_method), p_details)
