@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.llm.common import stored
+
 #: Source weights by code point order of the sources, repeating.
 WEIGHTS = (1, 2, 3)
 #: No document is taken more often than this.
@@ -89,9 +91,11 @@ def curriculum(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int
     """
     if any(abs(sum(r) / len(r) - 1) > 1e-9 or min(r) <= 0 for r in schedule):
         raise ValueError("each source rate must be positive and average 1")
-    rows = docs.select(
-        F.col("doc_id").cast("long"), F.col("source").cast("string").alias("source"), text_size(F.col("text").cast("string")).alias("size"),
-        F.xxhash64("doc_id").alias("order")).withColumn("slice", F.pmod("order", F.lit(slices)))
+    sizes = docs.select(
+        F.col("doc_id").cast("long"), F.col("source").cast("string").alias("source"),
+        text_size(F.col("text").cast("string")).alias("size"))
+    rows = stored(sizes, "mix-sizes").withColumn("order", F.xxhash64("doc_id")).withColumn(
+        "slice", F.pmod("order", F.lit(slices)))
     sums = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("slice_from", F.coalesce(F.sum("slice_size").over(before), F.lit(0)))
@@ -129,10 +133,19 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: all columns of ``docs`` for each copy taken, with
     mix_position and mix_words (fewer than the text's when the copy is cut after
     so many words), range-sorted by position.  Documents that are not taken go."""
-    plan = curriculum(docs).where("taken > 0").select(F.col("doc_id").alias("mix_doc_id"), F.explode("copies").alias("copy"))
-    plan = plan.select("mix_doc_id", F.col("copy.position").alias("mix_position"), F.col("copy.words").alias("mix_words"))
+    # repeated doc_ids: the k-th row by size gets the k-th plan by size
+    nth = lambda size: F.row_number().over(Window.partitionBy("mix_doc_id").orderBy(size))
+    plan = (
+        curriculum(docs).withColumnRenamed("doc_id", "mix_doc_id").withColumn("mix_nth", nth(F.col("size")))
+        .where("taken > 0").select("mix_doc_id", "mix_nth", F.explode("copies").alias("copy"))
+        .select(F.col("mix_doc_id").alias("plan_id"), F.col("mix_nth").alias("plan_nth"),
+                F.col("copy.position").alias("mix_position"), F.col("copy.words").alias("mix_words"))
+    )
+    rows = docs.withColumn("mix_doc_id", F.col("doc_id").cast("long"))
+    rows = rows.withColumn("mix_nth", nth(text_size(F.col("text").cast("string"))))
     return (
-        docs.join(plan, docs["doc_id"].eqNullSafe(plan["mix_doc_id"])).drop("mix_doc_id")
+        rows.join(plan, rows["mix_doc_id"].eqNullSafe(plan["plan_id"]) & (rows["mix_nth"] == plan["plan_nth"]))
+        .drop("mix_doc_id", "mix_nth", "plan_id", "plan_nth")
         .orderBy("mix_position", "doc_id")
     )
 
