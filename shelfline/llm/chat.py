@@ -9,8 +9,9 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from shelfline.llm.common import task_count
 
@@ -85,8 +86,8 @@ class Conversation:
         return [(role, "".join(parts)) for role, parts in self.messages.values()]
 
 
-def fold(events: DataFrame, finish: Callable[[object, list[tuple[str, str]]], Iterator[dict] | list[dict]],
-         schema: str, names: list[str]) -> DataFrame:
+def fold(events: DataFrame, finish: Callable[[object, list[tuple[str, str]]], list[dict]],
+         schema: pa.Schema) -> DataFrame:
     """Events dealt by conversation, sorted by seq and part, folded; ``finish``
     makes the rows of a finished conversation.
 
@@ -100,44 +101,34 @@ def fold(events: DataFrame, finish: Callable[[object, list[tuple[str, str]]], It
         "conv_id", "seq", "part", "kind", "message", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, current, out, held = None, None, [], 0
-
-        def made(rows: list[dict]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{n: r[n] for n in names} for r in rows], kinds)
-
-        kinds = arrow_schema
+        state, current, out = None, None, []
         for batch in batches:
             columns = [batch.column(n).to_pylist() for n in ("conv_id", "kind", "message", "role", "text")]
             for conv, kind, message, role, text in zip(*columns, strict=True):
                 if state is None or conv != current:
                     if state is not None:
                         out += finish(current, state.turns())
-                        held += 1
                     state, current = Conversation(), conv
+                    if len(out) >= 64:
+                        yield pa.RecordBatch.from_pylist(out, schema)
+                        out = []
                 state.apply(kind, message, role, text)
-                if held >= 64:
-                    yield made(out)
-                    out, held = [], 0
         if state is not None:
             out += finish(current, state.turns())
         if out:
-            yield made(out)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
+            yield pa.RecordBatch.from_pylist(out, schema)
 
-    arrow_schema = to_arrow_schema(_parse_datatype_string(schema))
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(run, from_arrow_schema(schema))
 
 
 def turn_events(conversations: DataFrame) -> DataFrame:
     """A table of finished turns (conv_id, turn, role, text) as a log: every row
-    starts a message and streams its text to it.  Messages are numbered by row
-    within their conversation, so rows with the same turn stay apart."""
+    starts a message and streams its text to it.  Messages are numbered by turn,
+    role and text, so rows with the same turn stay apart and reruns agree."""
     rows = conversations.select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long").alias("seq"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    message = F.monotonically_increasing_id()
+    message = F.row_number().over(Window.partitionBy("conv_id").orderBy("seq", "role", "text")).cast("long")
     none = F.lit(None).cast("string")
     parts = F.array(
         F.struct(F.lit("start").alias("kind"), F.col("role").alias("own_role"), none.alias("own_text")),
@@ -146,7 +137,9 @@ def turn_events(conversations: DataFrame) -> DataFrame:
         "conv_id", "seq", F.col("part").cast("long"), "e.kind", "message", F.col("e.own_role").alias("role"), F.col("e.own_text").alias("text"))
 
 
-FORMATTED = "conv_id long, n_turns long, formatted string, loss array<struct<first:long,after:long>>"
+FORMATTED = pa.schema([
+    ("conv_id", pa.int64()), ("n_turns", pa.int64()), ("formatted", pa.string()),
+    ("loss", pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())])))])
 
 
 def format_events(events: DataFrame, trained_role: str = "assistant") -> DataFrame:
@@ -166,7 +159,7 @@ def format_events(events: DataFrame, trained_role: str = "assistant") -> DataFra
             at += len(part)
         return [{"conv_id": conv, "n_turns": len(turns), "formatted": "".join(parts), "loss": loss}]
 
-    return fold(events, finish, FORMATTED, ["conv_id", "n_turns", "formatted", "loss"])
+    return fold(events, finish, FORMATTED)
 
 
 DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

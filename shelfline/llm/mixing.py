@@ -114,7 +114,7 @@ def curriculum(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int
     starts = F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), lambda e: e * F.col("source_size") + F.col("start"))
     copies = F.filter(
         F.transform(starts, lambda s: F.struct(
-            _position((s / F.col("target")), F.col("weight_class"), schedule).alias("position"),
+            _position(F.try_divide(s, F.col("target")), F.col("weight_class"), schedule).alias("position"),
             F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), goal - s)).alias("words"))),
         lambda c: c["words"] > 0)
     return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies")).select(
@@ -126,7 +126,7 @@ def mix_report(docs: DataFrame) -> DataFrame:
     """op10: words taken of every document, range-sorted by first position."""
     return curriculum(docs).select(
         "doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("long").alias("n_copies"),
-        F.col("copies")[0]["position"].alias("position")).orderBy(F.col("position").asc_nulls_last(), "doc_id")
+        F.get("copies", F.lit(0))["position"].alias("position")).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
