@@ -49,8 +49,8 @@ def source_targets(totals: DataFrame, weights: Sequence[float] = WEIGHTS, repeat
         .withColumn("limit", F.col("source_size") * float(repeats))
         .withColumn("level", (F.sum("source_size").over(whole) - F.coalesce(F.sum("limit").over(done), zero))
                     / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(done), zero)))
-        # the first source below its limit fixes the level of all later ones
-        .withColumn("level", F.min(F.when(F.col("limit") >= F.col("weight") * F.col("level"), F.col("level"))).over(whole))
+        # along that order the level rises while sources reach their limits and falls after: its top is the fill level
+        .withColumn("level", F.max("level").over(whole))
         .withColumn("target", F.least(F.col("limit"), F.col("weight") * F.coalesce("level", zero)))
         .select("source", "source_size", "weight_class", "target")
     )
@@ -150,14 +150,14 @@ def mixed(docs: DataFrame) -> DataFrame:
     )
 
 
-REPORT_SQL = r"""
+#: Source targets in DuckDB SQL; which documents a source gives depends on Spark's hash order.
+TARGET_SQL = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS bigint) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS bigint) AS source_size,
              1.0::double + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM d GROUP BY source),
 p AS (SELECT *, coalesce(sum(3.0::double * source_size) OVER r, 0) AS set_size, coalesce(sum(weight) OVER r, 0) AS set_weight,
              sum(source_size) OVER () AS whole, sum(weight) OVER () AS weights
       FROM s WINDOW r AS (ORDER BY 3.0::double * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-l AS (SELECT min((whole - set_size) / (weights - set_weight))
-             FILTER (WHERE 3.0::double * source_size >= weight * (whole - set_size) / (weights - set_weight)) AS level FROM p)
+l AS (SELECT max((whole - set_size) / (weights - set_weight)) AS level FROM p)
 SELECT source, source_size, least(3.0::double * source_size, weight * level) AS target FROM s, l
 """
