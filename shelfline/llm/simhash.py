@@ -145,26 +145,21 @@ def _replicas(prints: DataFrame, threshold: int, homes_only: bool) -> DataFrame:
 
 
 def _linked(rows: np.ndarray, homes: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links between the homes of an anchor and all its rows, each pair at the
-    home of its smaller fingerprint; within one block of rows a row is linked
-    once to each group of homes only."""
-    linked: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (y := linked.get(x, x)) != x:
-            linked[x] = x = linked.get(y, y)
-        return x
-
-    for h in homes.tolist():
-        near = rows[(np.bitwise_count(rows ^ np.uint64(h)) <= threshold) & (rows > h)]
-        keep = []
-        for r in near.tolist():
-            a, b = root(h), root(r)
-            if a != b:
-                linked[b] = a
-                keep.append(r)
-        if keep:
-            yield np.full(len(keep), h, np.uint64), np.array(keep, np.uint64)
+    """Links between homes and rows of one anchor, each pair at its smaller
+    fingerprint.  Rows that earlier links connect share a label; a home is
+    linked to one row of each label near it."""
+    label = np.arange(len(rows))
+    for h in homes:
+        near = np.flatnonzero((np.bitwise_count(rows ^ h) <= threshold) & (rows > h))
+        if len(near):
+            met, first = np.unique(label[near], return_index=True)
+            own = label[rows == h][:1]
+            new = near[first[met != own[0]]] if len(own) else near[first]
+            if len(new):
+                yield np.full(len(new), h), rows[new]
+            together = np.concatenate((met, own))
+            if len(together) > 1:
+                label[np.isin(label, together)] = together[0]
 
 
 def _compare(dealt: DataFrame, threshold: int) -> DataFrame:
