@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, chat, decontaminate, licenses, mixing
+from shelfline.llm import bpe, chat, decontaminate, licenses, mixing, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +27,22 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_table(spark, sf_dir, "documents"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_report(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -44,7 +56,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op5_decontaminate, op8_token_counts, op9_chat_format, op10_mix_sources)
+    f.__name__: f for f in (
+        op1_license_scan, op2_quality, op4_simhash, op5_decontaminate, op7_toxicity, op8_token_counts, op9_chat_format,
+        op10_mix_sources)
 }
 
 SQL: dict[str, str] = {
