@@ -26,9 +26,9 @@ EULER = 0.5772156649015329
 
 
 def token_features(word: bytes) -> list[str]:
-    """The whole word (with an end mark) and its leading parts."""
+    """The whole word (with an end mark), then its leading parts, longest first."""
     text = word.decode("utf-8", "replace")
-    return [text + "$", *(text[:k] for k in PREFIXES if k <= len(text))]
+    return [text + "$", *(text[:k] for k in reversed(PREFIXES) if k <= len(text))]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -62,8 +62,12 @@ def maximal_segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[
 
 @dataclass
 class ToxicityModel:
-    """Positive log-odds by feature, the score of every other word, and the
-    calibration: normalised scores are score - log(k * words)."""
+    """Log-odds by feature, the score of every word without a positive one, and
+    the calibration: normalised scores are score - log(k * words).
+
+    A word's feature is the most specific one in ``weights``; features with
+    weight 0 stand there to stop the search before a toxic leading part that the
+    word shares by chance."""
 
     weights: dict[str, float]
     drift: float = -0.02
@@ -102,8 +106,8 @@ class Scorer:
         self.known: dict[bytes, float] = {}
 
     def weight(self, word: bytes) -> float:
-        get = self.model.weights.get
-        w = max(get(f, 0.0) for f in token_features(word))
+        weights = self.model.weights
+        w = next((weights[f] for f in token_features(word) if f in weights), 0.0)
         if len(word) <= 64:
             if len(self.known) >= self.size:
                 self.known.clear()
@@ -144,20 +148,29 @@ def _feature_counts(train: DataFrame) -> DataFrame:
 
 def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, min_docs: int, min_z: float, limit: int) -> dict[str, float]:
     """Features whose log-odds ratio, each class having the corpus as Dirichlet
-    prior, is positive by ``min_z`` standard deviations; the weight is the lower
-    end of that interval."""
+    prior, is positive by ``min_z`` standard deviations (the weight is half a
+    deviation less), and with weight 0 the other features that extend one of
+    them.  ``counts`` has features seen often enough to go by."""
     whole = toxic_words + clean_words
-    strength = 0.05 * min(toxic_words, clean_words)  # words the prior counts for
+    strength = 0.2 * min(toxic_words, clean_words)  # words the prior counts for
     prior = (F.col("toxic") + F.col("clean")) / float(whole) * strength
     a, b = F.col("toxic") + prior, F.col("clean") + prior
     odds = F.log(a / (toxic_words + strength - a)) - F.log(b / (clean_words + strength - b))
     error = F.sqrt(1 / a + 1 / b)
     kept = (
         counts.where(F.col("toxic_docs") >= min_docs).select("feature", odds.alias("odds"), error.alias("error"))
-        .where(F.col("odds") > min_z * F.col("error"))
-        .orderBy((F.col("odds") / F.col("error")).desc(), "feature").limit(limit).collect()
+        .where((F.col("odds") > min_z * F.col("error")) & (F.col("odds") > 1 + 0.5 * F.col("error")))
+        .orderBy((F.col("odds") / F.col("error")).desc(), "feature").limit(limit)
+    )
+    weights = {r.feature: r.odds - 0.5 * r.error for r in kept.collect()}
+    parts = F.array(*[F.substring("feature", 1, k) for k in PREFIXES])
+    plain = (
+        counts.select("feature", (F.col("toxic") + F.col("clean")).alias("n"), F.explode(F.array_distinct(parts)).alias("part"))
+        .join(F.broadcast(kept.select(F.col("feature").alias("part"))), "part")
+        .groupBy("feature").agg(F.first("n").alias("n"))
+        .orderBy(F.col("n").desc(), "feature").limit(limit).collect()
     )
-    return {r.feature: w for r in kept if (w := r.odds - r.error) > 1.0}
+    return {r.feature: 0.0 for r in plain} | weights
 
 
 def _scored(train: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -187,7 +200,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, min_docs: int = 4, min_z: float = 3.0,
+def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, min_z: float = 5.0,
         limit: int = MODEL_FEATURES) -> ToxicityModel:
     """The model from at most ``training_rows`` labelled documents that are not
     held out.  A document with several labels is toxic if one says so.
@@ -206,11 +219,13 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).where("text is not null")
     train = stored(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"), "toxicity-training")
 
-    plain = _scored(train, ToxicityModel({})).groupBy("toxic").agg(F.sum("n").alias("n"))
-    sizes = {r.toxic: r.n for r in plain.collect()}
-    if not sizes.get(0) or not sizes.get(1):
+    plain = _scored(train, ToxicityModel({})).groupBy("toxic").agg(F.sum("n").alias("n"), F.count("*").alias("docs"))
+    sizes = {r.toxic: r for r in plain.collect()}
+    if not all(y in sizes and sizes[y].n for y in (0, 1)):
         return ToxicityModel({})
-    weights = _log_odds(_feature_counts(train), sizes[1], sizes[0], min_docs, min_z, limit)
+    min_docs = 3 + sizes[1].docs // 50  # toxic documents that a feature must be in
+    counts = stored(_feature_counts(train).where(F.col("toxic") + F.col("clean") >= 2 * min_docs), "toxicity-features")
+    weights = _log_odds(counts, sizes[1].n, sizes[0].n, min_docs, min_z, limit)
     model = ToxicityModel(weights)
     shares = {r.toxic: (r.hits + 0.5) / (r.n + 1) for r in
               _scored(train, model).groupBy("toxic").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()}
