@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import exp, lgamma, log
+from math import exp, lgamma, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -146,21 +146,28 @@ def _feature_counts(train: DataFrame) -> DataFrame:
     return counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("toxic_docs").alias("toxic_docs"))
 
 
-def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, min_docs: int, min_z: float, limit: int) -> dict[str, float]:
-    """Features whose log-odds ratio, each class having the corpus as Dirichlet
-    prior, is positive by ``min_z`` standard deviations (the weight is half a
-    deviation less), and with weight 0 the other features that extend one of
-    them.  ``counts`` has features seen often enough to go by."""
+def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, min_docs: int, limit: int) -> dict[str, float]:
+    """Log-odds ratios, each class having the corpus as Dirichlet prior, of the
+    features that are more frequent in toxic words beyond chance: the signed root
+    of their likelihood ratio exceeds what the largest of as many normal
+    variables would be.  The weight is half a standard error less.  The other
+    features that extend one of them have weight 0.  ``counts`` has features
+    seen often enough to go by."""
+    min_z = sqrt(2 * log(max(counts.count(), 2))) + 1
     whole = toxic_words + clean_words
     strength = 0.2 * min(toxic_words, clean_words)  # words the prior counts for
-    prior = (F.col("toxic") + F.col("clean")) / float(whole) * strength
+    both = F.col("toxic") + F.col("clean")
+    prior = both / float(whole) * strength
     a, b = F.col("toxic") + prior, F.col("clean") + prior
     odds = F.log(a / (toxic_words + strength - a)) - F.log(b / (clean_words + strength - b))
     error = F.sqrt(1 / a + 1 / b)
+    gain = lambda n, size: F.when(n > 0, n * F.log(n / (both * (size / whole)))).otherwise(0.0)
+    z = F.sqrt(F.greatest(F.lit(0.0), 2 * (gain(F.col("toxic"), toxic_words) + gain(F.col("clean"), clean_words))))
     kept = (
-        counts.where(F.col("toxic_docs") >= min_docs).select("feature", odds.alias("odds"), error.alias("error"))
-        .where((F.col("odds") > min_z * F.col("error")) & (F.col("odds") > 1 + 0.5 * F.col("error")))
-        .orderBy((F.col("odds") / F.col("error")).desc(), "feature").limit(limit)
+        counts.where(F.col("toxic_docs") >= min_docs)
+        .select("feature", odds.alias("odds"), error.alias("error"), z.alias("z"))
+        .where((F.col("z") > min_z) & (F.col("odds") > 1 + 0.5 * F.col("error")))
+        .orderBy(F.col("z").desc(), "feature").limit(limit)
     )
     weights = {r.feature: r.odds - 0.5 * r.error for r in kept.collect()}
     parts = F.array(*[F.substring("feature", 1, k) for k in PREFIXES])
@@ -200,7 +207,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, min_z: float = 5.0,
+def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
         limit: int = MODEL_FEATURES) -> ToxicityModel:
     """The model from at most ``training_rows`` labelled documents that are not
     held out.  A document with several labels is toxic if one says so.
@@ -225,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
         return ToxicityModel({})
     min_docs = 3 + sizes[1].docs // 50  # toxic documents that a feature must be in
     counts = stored(_feature_counts(train).where(F.col("toxic") + F.col("clean") >= 2 * min_docs), "toxicity-features")
-    weights = _log_odds(counts, sizes[1].n, sizes[0].n, min_docs, min_z, limit)
+    weights = _log_odds(counts, sizes[1].n, sizes[0].n, min_docs, limit)
     model = ToxicityModel(weights)
     shares = {r.toxic: (r.hits + 0.5) / (r.n + 1) for r in
               _scored(train, model).groupBy("toxic").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()}
