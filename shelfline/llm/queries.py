@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, chat, decontaminate, licenses, mixing, quality, simhash, toxicity
+from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, quality, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,8 +61,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op2_quality, op4_simhash, op5_decontaminate, op7_toxicity, op8_token_counts, op9_chat_format,
-        op10_mix_sources)
+        op1_license_scan, op2_quality, op4_simhash, op5_decontaminate, op6_merkle, op7_toxicity, op8_token_counts,
+        op9_chat_format, op10_mix_sources)
 }
 
 SQL: dict[str, str] = {
