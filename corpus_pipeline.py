@@ -1,5 +1,60 @@
-"""Corpus pipeline: documents through the stages of STAGES, each written and read again."""
-STAGES = []
+"""Corpus pipeline: documents pass the stages of STAGES in order; each stage works on
+all that its predecessor kept, written as Parquet and read again."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfline.llm import decontaminate, mixing, quality, simhash, suffix
+from shelfline.llm.common import stored
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak-label classifier, fitted on this stage's input, does not reject."""
+    return quality.keep_good(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest doc_id, of each SimHash component."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 400-byte strings that occur twice."""
+    return suffix.remove_repeats(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training mix: a row for each copy taken, with mix_position and
+    mix_words, range-sorted by position."""
+    return mixing.mixed(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality_stage),
+    ("simhash near-dedup", near_duplicate_stage),
+    ("suffix-array dedup", repeat_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("mixing to target weights", mixing_stage),
+]
+
+#: None: SQL can express neither the fitted classifier nor XXH64 fingerprints.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of the documents of ``sf_dir``.  Stage results lie in the shared
+    folder, so a lost executor repeats part of one stage at most."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = stored(docs, f"stage-{i + 1}")
+    return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, quality, simhash, toxicity
+from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, quality, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.suffix_report(_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(_table(spark, sf_dir, "documents"))
 
@@ -61,8 +65,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_license_scan, op2_quality, op4_simhash, op5_decontaminate, op6_merkle, op7_toxicity, op8_token_counts,
-        op9_chat_format, op10_mix_sources)
+        op1_license_scan, op2_quality, op3_suffix_dedup, op4_simhash, op5_decontaminate, op6_merkle, op7_toxicity,
+        op8_token_counts, op9_chat_format, op10_mix_sources)
 }
 
 SQL: dict[str, str] = {
