@@ -27,19 +27,3 @@ def vat(price="unit_price", qty="quantity", rate: float = config.VAT_RATE,
 
 def line_amount(price="unit_price", qty="quantity") -> Column:
     return _c(price) * _c(qty)
-
-
-# Fixed-point type of money sums: a sum of doubles depends on the order of
-# the additions (partitioning, retries); a decimal sum does not, so reruns
-# publish bit-identical totals.  Values up to 9.2e12 stay on Spark's compact
-# (long) decimal path.
-MONEY = "decimal(38,6)"
-
-
-def money_sum(c) -> Column:
-    """Exact sum of a money expression, as decimal(38,6)."""
-    return F.sum(_c(c).cast(MONEY))
-
-
-def as_double(c) -> Column:
-    return _c(c).cast("double")

@@ -13,31 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import month_label, month_of_parts
-from ..functions.money import as_double, money_sum
-
-
-def _avg(total, n):
-    """Average of money from an exact decimal total: decimal division rounded
-    half-up at 6 decimals (deterministic, no binary tie), null for no values
-    like ``avg``."""
-    return as_double(F.try_divide(total, n))
 
 
 def _pre(fact: DataFrame, keys: list[str]) -> DataFrame:
     return fact.groupBy(*keys).agg(
-        money_sum("line_amount").alias("_amt"), F.sum("quantity").alias("_qty"),
+        F.sum("line_amount").alias("_amt"), F.sum("quantity").alias("_qty"),
         F.count("sale_id").alias("_n"), F.count("line_amount").alias("_nl"))
 
 
+def _avg():
+    """Average of the amounts behind partial sums; null without any."""
+    return F.try_divide(F.sum("_amt"), F.sum("_nl"))
+
+
 def create_daily_store_sales(fact: DataFrame, dim_store: DataFrame) -> DataFrame:
     """G1: per date and store.  transaction_count counts fact rows (lines)."""
     pre = _pre(fact, ["date", "store_id"])
     ds = dim_store.select("store_id", "store_name", "town")
     return (pre.join(ds, "store_id")
             .groupBy("date", "store_id", "store_name", "town")
-            .agg(as_double(F.sum("_amt")).alias("daily_sales"), F.sum("_qty").alias("total_items_sold"),
+            .agg(F.sum("_amt").alias("daily_sales"), F.sum("_qty").alias("total_items_sold"),
                  F.sum("_n").alias("transaction_count"),
-                 _avg(F.sum("_amt"), F.sum("_nl")).alias("avg_transaction_value")))
+                 _avg().alias("avg_transaction_value")))
 
 
 def create_daily_product_sales(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -46,7 +43,7 @@ def create_daily_product_sales(fact: DataFrame, dim_product: DataFrame) -> DataF
     dp = dim_product.select("product_id", "product_name", "category")
     return (pre.join(dp, "product_id")
             .groupBy("date", "product_id", "product_name", "category")
-            .agg(as_double(F.sum("_amt")).alias("daily_revenue"), F.sum("_qty").alias("total_quantity_sold"),
+            .agg(F.sum("_amt").alias("daily_revenue"), F.sum("_qty").alias("total_quantity_sold"),
                  F.sum("_n").alias("times_sold")))
 
 
@@ -55,29 +52,37 @@ def create_monthly_customer_metrics(fact: DataFrame) -> DataFrame:
     the average line amount."""
     return (fact.groupBy(month_label("date").alias("month_year"))
             .agg(F.count_distinct("sale_id").alias("total_transactions"),
-                 as_double(money_sum("line_amount")).alias("monthly_revenue"),
-                 _avg(money_sum("line_amount"), F.count("line_amount")).alias("avg_sale_amount")))
+                 F.sum("line_amount").alias("monthly_revenue"), F.avg("line_amount").alias("avg_sale_amount")))
 
 
 def _store_month(fact: DataFrame, dim_store: DataFrame, dim_date: DataFrame) -> DataFrame:
-    ds = dim_store.select("store_id", "store_name", "town")
+    """Per store label and month: partial sums and the distinct sales and days.
+
+    The fact is reduced to (store, day, sale) first, with partial sums on the
+    map side; distinct sales and days are then plain counts of nested groups,
+    and store labels are joined to rows per store and month only.  Duplicate
+    dimension rows add to the sums and not to the distinct counts, as in a join
+    before grouping."""
     # dim_date: one row per day, bounded by the calendar -> broadcast
     dd = F.broadcast(dim_date.select("date_id", "year", "month"))
-    return (fact.select("store_id", "date_id", "date", "sale_id", "line_amount", "quantity")
-            .join(ds, "store_id").join(dd, "date_id"))
+    sale = _pre(fact, ["store_id", "date_id", "date", "sale_id"]).join(dd, "date_id")
+    month = ["store_id", "year", "month"]
+    parts = [F.sum(c).alias(c) for c in ("_amt", "_qty", "_nl")]
+    by_sale = (sale.groupBy(*month, "sale_id").agg(*parts)
+               .groupBy(*month).agg(*parts, F.count("sale_id").alias("_sales")))
+    by_day = sale.groupBy(*month, "date").agg(F.lit(1)).groupBy(*month).agg(F.count("date").alias("_days"))
+    ds = dim_store.select("store_id", "store_name", "town")
+    return (by_sale.join(by_day, month).join(ds, "store_id")
+            .groupBy("store_id", "store_name", "town", "year", "month")
+            .agg(F.sum("_amt").alias("monthly_revenue"), F.sum("_qty").alias("total_items_sold"),
+                 F.max("_sales").alias("transaction_count"), _avg().alias("avg_transaction_value"),
+                 F.max("_days").alias("trading_days")))
 
 
 def create_store_performance_dashboard(fact: DataFrame, dim_store: DataFrame,
                                        dim_date: DataFrame) -> DataFrame:
     """Per store and month.  transaction_count counts distinct sales here."""
-    return (_store_month(fact, dim_store, dim_date)
-            .groupBy("store_id", "store_name", "town", "year", "month")
-            .agg(as_double(money_sum("line_amount")).alias("monthly_revenue"),
-                 F.sum("quantity").alias("total_items_sold"),
-                 F.count_distinct("sale_id").alias("transaction_count"),
-                 _avg(money_sum("line_amount"), F.count("line_amount")).alias("avg_transaction_value"),
-                 F.count_distinct("date").alias("trading_days"))
-            .withColumn("month_year", month_of_parts("year", "month")))
+    return _store_month(fact, dim_store, dim_date).withColumn("month_year", month_of_parts("year", "month"))
 
 
 def create_store_performance_avg_daily(fact: DataFrame, dim_store: DataFrame,
@@ -85,13 +90,7 @@ def create_store_performance_avg_daily(fact: DataFrame, dim_store: DataFrame,
     """G4 without month_year plus revenue per trading day, sorted by store
     name, year and month."""
     return (_store_month(fact, dim_store, dim_date)
-            .groupBy("store_id", "store_name", "town", "year", "month")
-            .agg(as_double(money_sum("line_amount")).alias("monthly_revenue"),
-                 F.sum("quantity").alias("total_items_sold"),
-                 F.count_distinct("sale_id").alias("transaction_count"),
-                 _avg(money_sum("line_amount"), F.count("line_amount")).alias("avg_transaction_value"),
-                 F.count_distinct("date").alias("trading_days"),
-                 _avg(money_sum("line_amount"), F.count_distinct("date")).alias("avg_daily_revenue"))
+            .withColumn("avg_daily_revenue", F.try_divide("monthly_revenue", "trading_days"))
             .orderBy("store_name", "year", "month"))
 
 
@@ -104,5 +103,5 @@ def create_product_sales_trends(fact: DataFrame, dim_product: DataFrame,
     return (pre.join(dp, "product_id").join(dd, "date_id")
             .groupBy("product_id", "product_name", "category", "year", "month",
                      F.col("_d_date").alias("date"))
-            .agg(as_double(F.sum("_amt")).alias("daily_revenue"), F.sum("_qty").alias("daily_quantity_sold"),
+            .agg(F.sum("_amt").alias("daily_revenue"), F.sum("_qty").alias("daily_quantity_sold"),
                  F.sum("_n").alias("times_sold_today")))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.dates import sale_date
-from ..functions.money import as_double, capped, line_amount, money_sum, vat
+from ..functions.money import capped, line_amount, vat
 from ..functions.quantile import median_price
-from .skew import ROWS_PER_TASK, join_split_hot
+from .skew import ROWS_PER_TASK, hot_keys, join_split_hot
 
 
 def price_cap(sales_details: DataFrame, *, median_method: str = "approx",
@@ -42,7 +42,8 @@ def clean_sales_details(sales_details: DataFrame, products: DataFrame, sales: Da
     price = capped("_price", cap)
     with_product = lines.join(prod, lines.product_id == prod._pid, "left").drop("_pid")
     # the sale's date: a sale holding a large share of all lines is joined apart
-    return (join_split_hot(with_product, day, "sale_id", "left", rows_per_task)
+    hot = hot_keys(sales_details, "sale_id", rows_per_task)
+    return (join_split_hot(with_product, day, "sale_id", "left", hot=hot, salt_by="detail_id")
             .select("detail_id", "sale_id", "product_id", F.col("_qty").alias("quantity"),
                     price.alias("unit_price"), vat(price, F.col("_qty"), vat_rate).alias("VAT"),
                     "date", "product_name", "description", "category"))
@@ -53,13 +54,10 @@ def clean_sales(sales: DataFrame, details_cleaned: DataFrame, *,
     """A zero total becomes the sum of its cleaned lines (price x qty + VAT),
     or floor_total when it has none; a null total stays null.  Adds ``date``.
 
-    Line sums are only built for zero-total sales (a semi join first), so the
-    join that brings them back is against a small table in the normal case."""
+    Lines are summed by sale first, with partial sums on the map side, so a sale
+    that holds a large share of all lines reaches the join as one row."""
     total = F.col("total_amount")
-    zero_ids = sales.where(total == 0).select("sale_id")
-    sums = (details_cleaned.join(zero_ids, "sale_id", "left_semi")
-            .groupBy("sale_id")
-            .agg(as_double(money_sum(line_amount() + F.col("VAT"))).alias("_calculated_total")))
+    sums = details_cleaned.groupBy("sale_id").agg(F.sum(line_amount() + F.col("VAT")).alias("_calculated_total"))
     cols = [c for c in sales.columns if c != "date"]
     return (sales.join(sums, "sale_id", "left")
             .select(*[F.when(total == 0, F.coalesce(F.col("_calculated_total"), F.lit(floor_total)))
@@ -69,12 +67,15 @@ def clean_sales(sales: DataFrame, details_cleaned: DataFrame, *,
 
 def clean_payments(payments: DataFrame, sales_cleaned: DataFrame, *,
                    unknown: str = config.UNKNOWN_METHOD,
-                   default: str = config.DEFAULT_METHOD) -> DataFrame:
+                   default: str = config.DEFAULT_METHOD,
+                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keep payments whose sale exists, replace the unknown method, take the
     sale's date.  A null method stays null."""
-    s = sales_cleaned.select(F.col("sale_id").alias("_sid"), sale_date("timestamp").alias("_day"))
+    s = sales_cleaned.select("sale_id", sale_date("timestamp").alias("_day"))
     m = F.col("method")
-    return (payments.join(s, payments.sale_id == s._sid, "inner")
+    p = payments.select("payment_id", "sale_id", "method", "amount")
+    hot = hot_keys(payments, "sale_id", rows_per_task)
+    return (join_split_hot(p, s, "sale_id", "inner", hot=hot, salt_by="payment_id")
             .select("payment_id", "sale_id",
                     F.when(m == unknown, F.lit(default)).otherwise(m).alias("method"),
                     "amount", F.col("_day").alias("date")))

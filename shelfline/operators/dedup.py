@@ -11,8 +11,8 @@ def dedup_by_key(df: DataFrame, key: str | list[str]) -> DataFrame:
 
     Written as ``groupBy(key).agg(min(struct(other columns)))`` instead of a
     ``row_number`` window: the aggregate runs map-side before the shuffle, so a
-    key replayed millions of times is collapsed in every map task and no task
-    ever sorts a whole hot group.  Same result as
+    key replayed millions of times leaves each map task as one row.  (A struct
+    minimum is a sort aggregate: every map task sorts its own rows by key.)  Same result as
     ``row_number() over (partition by key order by all columns) = 1``.
     """
     keys = [key] if isinstance(key, str) else list(key)

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.dates import date_key, sale_date
 from ..functions.money import line_amount
-from .skew import ROWS_PER_TASK, join_split_hot
+from .skew import ROWS_PER_TASK, hot_keys, join_split_hot
+
+
+# A payment method dimension of up to this many rows is broadcast.
+MAX_METHODS = 10_000
 
 
 def create_dim_product(details_cleaned: DataFrame) -> DataFrame:
@@ -31,17 +35,17 @@ def create_dim_date(sales: DataFrame) -> DataFrame:
                     F.month(d).alias("month"), F.quarter(d).alias("quarter"), F.year(d).alias("year")))
 
 
-def _fact_joined(sales: DataFrame, details: DataFrame, payments: DataFrame,
+def _fact_joined(sales: DataFrame, details: DataFrame, payments: DataFrame, method: str,
                  dim_date: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Lines x payments of their sale; ``method`` is the payment column to keep."""
     s = sales.select("sale_id", "store_id", sale_date("timestamp").alias("_sale_date"))
-    d = details.select("sale_id", "product_id", "quantity", "unit_price", "VAT")
-    p = payments.select("sale_id", F.col("method").alias("payment_method"))
-    # one header row per sale x payment (payments per sale are few; a sale
-    # with many payments is a plain two-sided shuffle join that adaptive
-    # execution splits when skewed)
-    header = s.join(p, "sale_id")
-    # a sale holding a large share of all lines is joined apart, salted
-    joined = join_split_hot(d, header, "sale_id", "inner", rows_per_task)
+    d = details.select("detail_id", "sale_id", "product_id", "quantity", "unit_price", "VAT")
+    p = payments.select("payment_id", "sale_id", method)
+    # one header row per sale x payment, then its lines; on both sides a sale
+    # with many rows is salted
+    header = join_split_hot(p, s, "sale_id", hot=hot_keys(payments, "sale_id", rows_per_task),
+                            salt_by="payment_id").drop("payment_id")
+    joined = join_split_hot(d, header, "sale_id", hot=hot_keys(details, "sale_id", rows_per_task), salt_by="detail_id")
     # dim_date has one row per calendar day, so its size is bounded by the
     # number of days covered (about 366 rows a year): safe to broadcast.
     dd = F.broadcast(dim_date.select("date_id", F.col("date").alias("_dd_date")))
@@ -52,7 +56,8 @@ def create_fact_sales(sales: DataFrame, details: DataFrame, payments: DataFrame,
                       dim_date: DataFrame, *, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """grain = sale line x payment of the sale.  A sale without payment has
     no fact rows; a sale with k payments has each line k times."""
-    return _fact_joined(sales, details, payments, dim_date, rows_per_task).select(
+    paid = payments.withColumnRenamed("method", "payment_method")
+    return _fact_joined(sales, details, paid, "payment_method", dim_date, rows_per_task).select(
         "sale_id", "product_id", "store_id", "date_id", "payment_method", "quantity", "unit_price",
         line_amount().alias("line_amount"), "VAT", F.col("_sale_date").alias("date"))
 
@@ -77,9 +82,15 @@ def create_dim_payment_method(payments: DataFrame, existing: DataFrame | None =
 def create_fact_sales_with_method_id(sales: DataFrame, details: DataFrame, payments: DataFrame,
                                      dim_date: DataFrame, dim_payment_method: DataFrame, *,
                                      rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """C8 with the payment method replaced by its dimension key (inner join)."""
-    pm = dim_payment_method.select(F.col("method").alias("_pm_method"), "method_id")
-    f = _fact_joined(sales, details, payments, dim_date, rows_per_task)
-    return f.join(pm, F.col("payment_method") == F.col("_pm_method")).select(
+    """C8 with the payment method replaced by its dimension key (inner join).
+    The key is looked up on payments, before they meet the lines.  The dimension
+    is broadcast when it is counted to hold at most ``MAX_METHODS`` rows;
+    payments of one method may be many, so beyond that they are salted."""
+    pm = dim_payment_method.select("method", "method_id")
+    if pm.limit(MAX_METHODS + 1).count() <= MAX_METHODS:
+        paid = payments.join(F.broadcast(pm), "method")
+    else:
+        paid = join_split_hot(payments, pm, "method", hot=hot_keys(payments, "method", rows_per_task), salt_by="payment_id")
+    return _fact_joined(sales, details, paid, "method_id", dim_date, rows_per_task).select(
         "sale_id", "product_id", "store_id", "date_id", "method_id", "quantity", "unit_price",
         line_amount().alias("line_amount"), "VAT", F.col("_sale_date").alias("date"))

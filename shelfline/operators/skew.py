@@ -2,9 +2,10 @@
 
 Adaptive execution splits a skewed join only when both inputs are shuffle
 stages; a join whose other side comes straight out of an aggregate or of
-another join on the same key is not split.  ``join_split_hot`` finds the keys
-with more left rows than one task should take, joins them apart with salting,
-and joins all other keys normally (keeping the inputs' partitioning).
+another join on the same key is not split.  ``join_split_hot`` salts the keys
+with more left rows than one task should take.  Each input is evaluated once:
+the hot keys are counted on the bare key column of the table the left rows come
+from, not on the joined left input.
 """
 
 from __future__ import annotations
@@ -14,30 +15,33 @@ from pyspark.sql import functions as F
 
 # Left rows of one key that one task joins before the key is split.
 ROWS_PER_TASK = 2_000_000
+# Salts of left rows whose key is null: they match nothing, so they only need spreading.
+NULL_SALTS = 1024
 
 
-def hot_keys(left: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` left rows and the number of
-    splits each needs.  There are at most rows / rows_per_task of them (about
-    500,000 two-number rows for a trillion rows): a proven bound, safe to
-    broadcast.  Counted with map-side partial aggregation."""
-    return (left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+def hot_keys(keys: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows and the number of splits each
+    needs.  There are at most rows / rows_per_task of them (about 500,000
+    two-number rows for a trillion rows): a proven bound, safe to broadcast.
+    Counted with map-side partial aggregation over one column."""
+    return (keys.select(key).where(F.col(key).isNotNull())
+            .groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
             .select(key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")))
 
 
-def join_split_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
-                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``left.join(right, key, how)`` (how: inner or left) with hot keys of
-    the left side split.  Left rows of a hot key are spread over
-    ceil(n / rows_per_task) salts by a row hash (stable across retries); the
-    key's right rows are repeated once per salt.  Same rows as the plain join."""
+def join_split_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *,
+                   hot: DataFrame, salt_by: str) -> DataFrame:
+    """``left.join(right, key, how)`` (how: inner or left) with the ``hot`` keys
+    of the left side split.  Left rows of a hot key are spread over its salts by
+    a hash of ``salt_by`` (a column that tells its rows apart; stable across
+    retries), and the key's right rows are repeated once per salt.  Left rows
+    with a null key are spread too.  Same rows as the plain join."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    hot = F.broadcast(hot_keys(left, key, rows_per_task))
-    cold = left.join(hot.select(key), key, "left_anti").join(right, key, how)
-    lcols = [c for c in left.columns]
-    hot_left = left.join(hot, key).select(
-        *lcols, F.pmod(F.xxhash64(*lcols), F.col("_salts")).cast("int").alias("_salt"))
-    hot_right = right.join(hot, key).select(
-        *right.columns, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
-    return cold.unionByName(hot_left.join(hot_right, [key, "_salt"], how).drop("_salt"))
+    hot = F.broadcast(hot)
+    salts = F.when(F.col(key).isNull(), F.lit(NULL_SALTS)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted_left = left.join(hot, key, "left").select(
+        *left.columns, F.pmod(F.xxhash64(salt_by), salts).cast("int").alias("_salt"))
+    salted_right = right.join(hot, key, "left").select(
+        *right.columns, F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("_salt"))
+    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

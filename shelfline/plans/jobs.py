@@ -19,9 +19,9 @@ from .. import operators as op
 from ..config import CLEANED_TX, CURATED, RAW_REF, RAW_TX, SERVING
 from ..functions.dates import day_window, in_window, month_range, sale_date, to_day
 from ..sinks import parquet
-from ..session import scratch_dir
-from ..sinks.tables import SnapshotTable
-from ..sources.files import read_parquet, read_partition, read_version
+from ..session import stored
+from ..sinks.tables import FormatTable, SnapshotTable, open_table
+from ..sources.files import read_parquet, read_partition, read_version, read_version_as_of
 from ..sources.layout import Lake
 
 TX_KEYS = {"sales": "sale_id", "sales_details": "detail_id", "payments": "payment_id"}
@@ -41,14 +41,24 @@ class Sources:
 
 
 # ---------------------------------------------------------------- ingestion --
-def _ingest(spark, lake: Lake, src: Sources, sales: DataFrame, write) -> None:
-    p_sales = lake.table(RAW_TX, "sales")
-    write(sales.withColumn("date", sale_date("timestamp")), p_sales)
-    # children are attached to the published sales (J1, J2): the source is
-    # read once and the joins see the written table, not the source query
-    keys = read_parquet(spark, p_sales).select("sale_id", "date")
+def _ingest(spark, lake: Lake, src: Sources, sales: DataFrame, write, *, narrow: bool = False) -> None:
+    """Lines and payments of ``sales`` (J1, J2), then the sales themselves, so
+    that whoever sees a sale in raw sees its lines and payments.
+
+    The sales are read from the source once and kept in the scratch folder.
+    With ``narrow`` their sale_id range is pushed to the reads of the children
+    (the join still decides)."""
+    own = stored(sales.withColumn("date", sale_date("timestamp")), "ingest-sales")
+    keys = own.select("sale_id", "date")
+    span = own.agg(F.min("sale_id"), F.max("sale_id")).first() if narrow else None
     for t in ("sales_details", "payments"):
-        write(src.transactions(spark, t).join(keys, "sale_id"), lake.table(RAW_TX, t))
+        child = src.transactions(spark, t)
+        if narrow:
+            kind = child.schema["sale_id"].dataType
+            lo, hi = (F.lit(x).cast(kind) for x in span)
+            child = child.where((F.col("sale_id") >= lo) & (F.col("sale_id") <= hi))
+        write(child.join(keys, "sale_id"), lake.table(RAW_TX, t))
+    write(own, lake.table(RAW_TX, "sales"))
 
 
 def ingest_full(spark: SparkSession, lake: Lake, src: Sources, *, version: str) -> None:
@@ -62,17 +72,18 @@ def ingest_full(spark: SparkSession, lake: Lake, src: Sources, *, version: str)
 
 def ingest_daily(spark: SparkSession, lake: Lake, src: Sources, *, day, mode: str = "replace") -> None:
     """L2: the sales of ``day`` (half-open [day, day+1), pushed to the source)
-    and their lines and payments.  ``replace`` (default) makes reruns safe;
-    ``append`` adds rows like the original (rely on dedup downstream)."""
+    and their lines and payments; no other day of raw is read or written.
+    ``replace`` (default) makes reruns safe, and a day without rows at the source
+    is cleared; ``append`` adds rows like the original (rely on dedup downstream)."""
     lo, hi = day_window(day)
     s = src.transactions(spark, "sales")
     if mode == "replace":
-        write = lambda df, p: parquet.replace_partitions(df, p, "date")
+        write = lambda df, p: parquet.replace_partitions(df, p, "date", [to_day(day)])
     elif mode == "append":
         write = lambda df, p: parquet.write_partitioned(df, p, "date", mode="append")
     else:
         raise ValueError("mode must be 'replace' or 'append'")
-    _ingest(spark, lake, src, s.where(in_window(s, "timestamp", lo, hi)), write)
+    _ingest(spark, lake, src, s.where(in_window(s, "timestamp", lo, hi)), write, narrow=True)
 
 
 def ingest_reference(spark: SparkSession, lake: Lake, src: Sources, *, version: str) -> DataFrame:
@@ -87,26 +98,28 @@ def ingest_reference(spark: SparkSession, lake: Lake, src: Sources, *, version:
 
 
 # ----------------------------------------------------------- transformation --
-def _raw(spark, lake: Lake, day=None) -> dict[str, DataFrame]:
+def _deduplicated(spark, lake: Lake, where: tuple[str, str], day=None) -> dict[str, DataFrame]:
+    """The transactional tables of a layer, deduplicated on their keys, each
+    once: the result is kept in the scratch folder for all its readers."""
     out = {}
     for t, k in TX_KEYS.items():
-        p = lake.table(RAW_TX, t)
+        p = lake.table(where, t)
         df = read_parquet(spark, p) if day is None else read_partition(spark, p, day)
-        out[t] = op.dedup_by_key(df, k)
+        out[t] = stored(op.dedup_by_key(df, k), f"dedup-{t}")
     return out
 
 
-def _transform(spark, lake: Lake, raw: dict[str, DataFrame], version, write, *,
+def _reference(spark, lake: Lake, name: str, version: str | None, as_of: str | None) -> DataFrame:
+    root = lake.table(RAW_REF, name)
+    if version is None and as_of is not None:
+        return read_version_as_of(spark, root, as_of)
+    return read_version(spark, root, version)
+
+
+def _transform(spark, lake: Lake, raw: dict[str, DataFrame], version, as_of, write, *,
                median_method: str, cap, day=None) -> None:
-    products = read_version(spark, lake.table(RAW_REF, "products"), version)
-    stores = read_version(spark, lake.table(RAW_REF, "stores"), version)
-    if cap is None and median_method == "exact":
-        # the exact median runs up to four passes; over the deduplicated lines
-        # each pass would redo the dedup shuffle, so the positive prices are
-        # checkpointed once (shared checkpoint folder) and the passes read that
-        scratch_dir(spark)
-        prices = raw["sales_details"].select("unit_price").where(F.col("unit_price") > 0).checkpoint()
-        cap = op.clean.price_cap(prices, median_method="exact")
+    products = _reference(spark, lake, "products", version, as_of)
+    stores = _reference(spark, lake, "stores", version, as_of)
     p_details = lake.table(CLEANED_TX, "sales_details")
     write(op.clean_sales_details(raw["sales_details"], products, raw["sales"], cap=cap,
                                  median_method=median_method), p_details)
@@ -118,41 +131,35 @@ def _transform(spark, lake: Lake, raw: dict[str, DataFrame], version, write, *,
     write(op.clean_payments(raw["payments"], raw["sales"]), lake.table(CLEANED_TX, "payments"))
 
 
-def transform_full(spark: SparkSession, lake: Lake, *, version: str | None = None,
+def transform_full(spark: SparkSession, lake: Lake, *, version: str | None = None, as_of: str | None = None,
                    median_method: str = "approx", cap=None) -> None:
-    """L4: raw -> cleaned for all dates (reference snapshot ``version``, or
-    the latest one)."""
-    _transform(spark, lake, _raw(spark, lake), version,
+    """L4: raw -> cleaned for all dates (reference snapshot ``version``, or the
+    latest one, or the latest one up to ``as_of``)."""
+    _transform(spark, lake, _deduplicated(spark, lake, RAW_TX), version, as_of,
                lambda df, p: parquet.write_partitioned(df, p, "date"),
                median_method=median_method, cap=cap)
 
 
-def transform_daily(spark: SparkSession, lake: Lake, *, day, version: str | None = None,
+def transform_daily(spark: SparkSession, lake: Lake, *, day, version: str | None = None, as_of: str | None = None,
                     median_method: str = "approx", cap=None) -> None:
-    """Raw -> cleaned for one date partition.  The median is the day's
-    unless ``cap`` is passed (e.g. the full run's)."""
-    _transform(spark, lake, _raw(spark, lake, to_day(day)), version,
-               lambda df, p: parquet.replace_partitions(df, p, "date"),
+    """Raw -> cleaned for one date partition; a day without raw rows is
+    cleared.  The median is the day's unless ``cap`` is passed (e.g. the full
+    run's).  The reference snapshot is ``version``, or the latest one up to the
+    run date's month ``as_of`` (give the run's own when an old day is rerun), or
+    the latest one."""
+    _transform(spark, lake, _deduplicated(spark, lake, RAW_TX, to_day(day)), version, as_of,
+               lambda df, p: parquet.replace_partitions(df, p, "date", [to_day(day)]),
                median_method=median_method, cap=cap, day=to_day(day))
 
 
 # ------------------------------------------------------------------ modeling --
-def _cleaned(spark, lake: Lake, day=None) -> dict[str, DataFrame]:
-    out = {}
-    for t, k in TX_KEYS.items():
-        p = lake.table(CLEANED_TX, t)
-        df = read_parquet(spark, p) if day is None else read_partition(spark, p, day)
-        out[t] = op.dedup_by_key(df, k)
-    return out
-
-
-def table(spark: SparkSession, lake: Lake, where: tuple[str, str], name: str) -> SnapshotTable:
-    return SnapshotTable(spark, lake.table(where, name))
+def table(spark: SparkSession, lake: Lake, where: tuple[str, str], name: str) -> SnapshotTable | FormatTable:
+    return open_table(spark, lake.table(where, name), lake.fmt)
 
 
 def model_full(spark: SparkSession, lake: Lake) -> None:
     """Cleaned -> dimensions and fact (new snapshots; fact by date)."""
-    c = _cleaned(spark, lake)
+    c = _deduplicated(spark, lake, CLEANED_TX)
     table(spark, lake, CURATED, "dim_product").overwrite(op.create_dim_product(c["sales_details"]))
     table(spark, lake, CURATED, "dim_store").overwrite(op.create_dim_store(c["sales"]))
     dd = table(spark, lake, CURATED, "dim_date")
@@ -164,7 +171,7 @@ def model_full(spark: SparkSession, lake: Lake) -> None:
 def model_daily(spark: SparkSession, lake: Lake, *, day, fact_mode: str = "replace") -> DataFrame:
     """One day of cleaned data -> upsert dimensions on their keys, replace
     (or append) the day in the fact.  Returns the day's fact audit (A10)."""
-    c = _cleaned(spark, lake, to_day(day))
+    c = _deduplicated(spark, lake, CLEANED_TX, to_day(day))
     dim_date_new = op.create_dim_date(c["sales"])
     table(spark, lake, CURATED, "dim_product").merge(op.create_dim_product(c["sales_details"]), "product_id")
     table(spark, lake, CURATED, "dim_store").merge(op.create_dim_store(c["sales"]), "store_id")
@@ -172,7 +179,7 @@ def model_daily(spark: SparkSession, lake: Lake, *, day, fact_mode: str = "repla
     fact = op.create_fact_sales(c["sales"], c["sales_details"], c["payments"], dim_date_new)
     ft = table(spark, lake, CURATED, "fact_sales")
     if fact_mode == "replace":
-        ft.replace_partitions(fact, "date")
+        ft.replace_partitions(fact, "date", [to_day(day)])
     elif fact_mode == "append":
         ft.append(fact, "date")
     else:
@@ -211,18 +218,18 @@ def aggregate_daily(spark: SparkSession, lake: Lake, *, day) -> None:
     fact = m["fact_sales"].where(F.col("date") == F.lit(to_day(day)))
     builders = _aggregates(m, fact)
     for name in DAILY_AGGS:
-        table(spark, lake, SERVING, name).replace_partitions(builders[name](), "date")
+        table(spark, lake, SERVING, name).replace_partitions(builders[name](), "date", [to_day(day)])
 
 
 def aggregate_monthly(spark: SparkSession, lake: Lake, *, month: str) -> None:
     """The month's partition of the two monthly tables; other months are
-    kept (dynamic partition overwrite)."""
+    kept, and a month without fact rows is cleared."""
     m = _curated(spark, lake)
     lo, hi = month_range(month)
     fact = m["fact_sales"].where((F.col("date") >= F.lit(lo)) & (F.col("date") < F.lit(hi)))
     builders = _aggregates(m, fact)
     for name in MONTHLY_AGGS:
-        table(spark, lake, SERVING, name).replace_partitions(builders[name](), "month_year")
+        table(spark, lake, SERVING, name).replace_partitions(builders[name](), "month_year", [month])
 
 
 # ------------------------------------------------------------------ dispatch --

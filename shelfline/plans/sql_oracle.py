@@ -3,29 +3,8 @@ tables registered as views.  Used only to check results."""
 
 from __future__ import annotations
 
-from .catalog import ONE_DAY, ONE_MONTH, SPLIT_DAY
-
-def msum(x: str) -> str:
-    """Exact money sum (fixed point), as the Spark side computes it."""
-    return f"sum(CAST({x} AS DECIMAL(38,6)))"
-
-
-def r2sum(x: str) -> str:
-    return f"CAST(round({msum(x)}, 2) AS DOUBLE)"
-
-
-def avg6(x: str, n: str | None = None) -> str:
-    """Exact money sum / n, rounded half up at 6 decimals in integers."""
-    s = f"CAST({msum(x)} * 1000000 AS HUGEINT)"
-    n = n or f"count({x})"
-    q = (f"CASE WHEN {s} >= 0 THEN (2 * {s} + {n}) // (2 * {n}) "
-         f"ELSE -((2 * (-{s}) + {n}) // (2 * {n})) END")
-    return f"(CAST(CASE WHEN {n} > 0 THEN {q} END AS DOUBLE) / 1000000)"
-
-
-def r2(x: str) -> str:
-    """round(double, 2) of a value that is an exact 6-decimal number."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+from .catalog import (CLEANED_AMOUNTS, CURATED_AMOUNTS, NEW_FROM, OLD_UNTIL, ONE_DAY, ONE_MONTH, RAW_AMOUNTS,
+                      SERVING_AMOUNTS)
 
 
 RETAIL = """
@@ -41,19 +20,23 @@ r_sales_details AS (
          CASE WHEN l_partkey % 40 = 3 THEN CAST(-1 AS DOUBLE) ELSE l_extendedprice / l_quantity END AS unit_price
   FROM lineitem),
 r_payments AS (
-  SELECT o_orderkey AS payment_id, o_orderkey AS sale_id,
+  SELECT o_orderkey AS payment_id, CASE WHEN o_orderkey % 17 = 5 THEN -o_orderkey ELSE o_orderkey END AS sale_id,
          CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Unknown'
               WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Card' ELSE 'Cash' END AS method,
          o_totalprice AS amount
-  FROM orders WHERE o_orderkey % 17 <> 5),
+  FROM orders),
 r_products AS (
-  SELECT p_partkey AS product_id, p_name AS name, concat(p_brand, ' ', p_name) AS description,
+  SELECT CASE WHEN p_partkey % 30 = 11 THEN -p_partkey ELSE p_partkey END AS product_id, p_name AS name, concat(p_brand, ' ', p_name) AS description,
          p_type AS category, p_retailprice AS unit_price
-  FROM part WHERE p_partkey % 30 <> 11),
+  FROM part),
 r_stores AS (
-  SELECT n_nationkey AS store_id, n_name AS name, concat('Block ', CAST(n_nationkey AS VARCHAR)) AS address,
+  SELECT CASE WHEN n_nationkey = 24 THEN -n_nationkey ELSE n_nationkey END AS store_id, n_name AS name, concat('Block ', CAST(n_nationkey AS VARCHAR)) AS address,
          r_name AS town, CAST(5 + n_nationkey % 16 AS INTEGER) AS number_of_employees
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24)"""
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+
+# the same rows with every sale on the 16th of its month
+MONTHLY = RETAIL.replace(
+    'o.o_orderdate AS "timestamp"', 'date_trunc(\'month\', o.o_orderdate) + INTERVAL 15 DAY AS "timestamp"')
 
 
 def _cleaned(payments: str = "r_payments") -> str:
@@ -69,7 +52,7 @@ c_details AS (
   LEFT JOIN r_products p ON d.product_id = p.product_id
   LEFT JOIN r_sales s ON d.sale_id = s.sale_id
   WHERE d.quantity > 0 AND d.unit_price > 0),
-c_sums AS (SELECT sale_id, CAST({msum("unit_price * quantity + VAT")} AS DOUBLE) AS calculated_total
+c_sums AS (SELECT sale_id, sum(unit_price * quantity + VAT) AS calculated_total
            FROM c_details GROUP BY sale_id),
 c_sales AS (
   SELECT s.sale_id, s.store_id, s."timestamp",
@@ -106,26 +89,28 @@ m_fact AS (
   JOIN m_dim_date dd ON CAST(s."timestamp" AS DATE) = dd.date)"""
 
 
-def with_model(body: str, payments: str = "r_payments", extra: str = "") -> str:
-    return f"WITH {RETAIL},{_cleaned(payments)},{MODEL}{extra}\n{body}"
+def with_model(body: str, payments: str = "r_payments", extra: str = "", base: str = RETAIL) -> str:
+    return f"WITH {base},{_cleaned(payments)},{MODEL}{extra}\n{body}"
 
 
-def with_retail(body: str, extra: str = "") -> str:
-    return f"WITH {RETAIL}{extra}\n{body}"
+def with_retail(body: str, extra: str = "", base: str = RETAIL) -> str:
+    return f"WITH {base}{extra}\n{body}"
 
 
-def _dedup(table: str, key: str, cols: list[str]) -> str:
+def _dedup(table: str, key: str, cols: list[str], corrected: str) -> str:
     order = ", ".join(f'"{c}" ASC NULLS FIRST' for c in cols if c != key)
+    step = f"CASE WHEN sale_id % 2 = 0 THEN {corrected} - 1 ELSE {corrected} + 1 END"
     return with_retail(f"""
-SELECT * FROM (SELECT * FROM {table} UNION ALL SELECT * FROM {table} WHERE sale_id % 13 = 0)
+SELECT * FROM (SELECT * FROM {table}
+               UNION ALL SELECT * REPLACE ({step} AS {corrected}) FROM {table} WHERE sale_id % 13 = 0)
 QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1""")
 
 
 def g_daily_store(fact: str = "m_fact") -> str:
     return f"""
 SELECT f.date, s.store_id, s.store_name, s.town,
-       {r2sum("f.line_amount")} AS daily_sales, CAST(sum(f.quantity) AS BIGINT) AS total_items_sold,
-       count(f.sale_id) AS transaction_count, {avg6("f.line_amount")} AS avg_transaction_value
+       round(sum(f.line_amount), 2) AS daily_sales, CAST(sum(f.quantity) AS BIGINT) AS total_items_sold,
+       count(f.sale_id) AS transaction_count, round(avg(f.line_amount), 6) AS avg_transaction_value
 FROM {fact} f JOIN m_dim_store s ON f.store_id = s.store_id
 GROUP BY f.date, s.store_id, s.store_name, s.town"""
 
@@ -133,7 +118,7 @@ GROUP BY f.date, s.store_id, s.store_name, s.town"""
 def g_daily_product(fact: str = "m_fact") -> str:
     return f"""
 SELECT f.date, p.product_id, p.product_name, p.category,
-       {r2sum("f.line_amount")} AS daily_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity_sold,
+       round(sum(f.line_amount), 2) AS daily_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_quantity_sold,
        count(f.sale_id) AS times_sold
 FROM {fact} f JOIN m_dim_product p ON f.product_id = p.product_id
 GROUP BY f.date, p.product_id, p.product_name, p.category"""
@@ -142,19 +127,20 @@ GROUP BY f.date, p.product_id, p.product_name, p.category"""
 def g_monthly(fact: str = "m_fact") -> str:
     return f"""
 SELECT strftime(date_trunc('month', f.date), '%Y-%m') AS month_year,
-       count(DISTINCT f.sale_id) AS total_transactions, {r2sum("f.line_amount")} AS monthly_revenue,
-       {avg6("f.line_amount")} AS avg_sale_amount
+       count(DISTINCT f.sale_id) AS total_transactions, round(sum(f.line_amount), 2) AS monthly_revenue,
+       round(avg(f.line_amount), 6) AS avg_sale_amount
 FROM {fact} f GROUP BY 1"""
 
 
 def g_store_perf(fact: str = "m_fact", avg_daily: bool = False) -> str:
-    tail = (f"{r2(avg6('f.line_amount', 'count(DISTINCT f.date)'))} AS avg_daily_revenue"
+    tail = ("""round(sum(f.line_amount) / count(DISTINCT f.date), 6) AS avg_daily_revenue,
+       row_number() OVER (ORDER BY s.store_name NULLS FIRST, d.year, d.month) AS position"""
             if avg_daily else
             "concat(CAST(d.year AS VARCHAR), '-', lpad(CAST(d.month AS VARCHAR), 2, '0')) AS month_year")
     return f"""
 SELECT s.store_id, s.store_name, s.town, d.year, d.month,
-       {r2sum("f.line_amount")} AS monthly_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_items_sold,
-       count(DISTINCT f.sale_id) AS transaction_count, {avg6("f.line_amount")} AS avg_transaction_value,
+       round(sum(f.line_amount), 2) AS monthly_revenue, CAST(sum(f.quantity) AS BIGINT) AS total_items_sold,
+       count(DISTINCT f.sale_id) AS transaction_count, round(avg(f.line_amount), 6) AS avg_transaction_value,
        count(DISTINCT f.date) AS trading_days, {tail}
 FROM {fact} f JOIN m_dim_store s ON f.store_id = s.store_id JOIN m_dim_date d ON f.date_id = d.date_id
 GROUP BY s.store_id, s.store_name, s.town, d.year, d.month"""
@@ -163,7 +149,7 @@ GROUP BY s.store_id, s.store_name, s.town, d.year, d.month"""
 def g_trends(fact: str = "m_fact") -> str:
     return f"""
 SELECT p.product_id, p.product_name, p.category, d.year, d.month, d.date,
-       {r2sum("f.line_amount")} AS daily_revenue, CAST(sum(f.quantity) AS BIGINT) AS daily_quantity_sold,
+       round(sum(f.line_amount), 2) AS daily_revenue, CAST(sum(f.quantity) AS BIGINT) AS daily_quantity_sold,
        count(f.sale_id) AS times_sold_today
 FROM {fact} f JOIN m_dim_product p ON f.product_id = p.product_id JOIN m_dim_date d ON f.date_id = d.date_id
 GROUP BY p.product_id, p.product_name, p.category, d.year, d.month, d.date"""
@@ -189,8 +175,8 @@ UNION ALL
 SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE s.{key} = t.{key})"""
 
 
-_OLD = f"date < DATE '{SPLIT_DAY}'"
-_NEW = f"date >= DATE '{SPLIT_DAY}'"
+_OLD = f"date < DATE '{OLD_UNTIL}'"
+_NEW = f"date >= DATE '{NEW_FROM}'"
 _FACT_DAY = f", m_fact_day AS (SELECT * FROM m_fact WHERE date = DATE '{ONE_DAY}')"
 _FACT_MONTH = (f", m_fact_month AS (SELECT * FROM m_fact WHERE date >= DATE '{ONE_MONTH}-01' "
                f"AND date < DATE '{ONE_MONTH}-01' + INTERVAL 1 MONTH)")
@@ -202,10 +188,10 @@ _CASH = "(SELECT * FROM r_payments WHERE method = 'Cash')"
 _DAY_LO = f"TIMESTAMP '{ONE_DAY} 00:00:00'"
 
 SQL: dict[str, str] = {
-    "dedup_sales": _dedup("r_sales", "sale_id", ["sale_id", "store_id", "timestamp", "total_amount"]),
+    "dedup_sales": _dedup("r_sales", "sale_id", ["sale_id", "store_id", "timestamp", "total_amount"], "total_amount"),
     "dedup_details": _dedup("r_sales_details", "detail_id",
-                            ["detail_id", "sale_id", "product_id", "quantity", "unit_price"]),
-    "dedup_payments": _dedup("r_payments", "payment_id", ["payment_id", "sale_id", "method", "amount"]),
+                            ["detail_id", "sale_id", "product_id", "quantity", "unit_price"], "quantity"),
+    "dedup_payments": _dedup("r_payments", "payment_id", ["payment_id", "sale_id", "method", "amount"], "amount"),
     "ingest_details_by_sale": with_retail("""
 SELECT d.sale_id, d.detail_id, d.product_id, d.quantity, d.unit_price, CAST(s."timestamp" AS DATE) AS date
 FROM r_sales_details d JOIN r_sales s ON d.sale_id = s.sale_id"""),
@@ -222,10 +208,12 @@ SELECT any_value(m) AS median_price, count(unit_price) AS positive_count,
 FROM r_sales_details CROSS JOIN med WHERE unit_price > 0""",
                                 extra=""",
 med AS (SELECT quantile_disc(unit_price, 0.5) AS m FROM r_sales_details WHERE unit_price > 0)"""),
+    "median_price_approx": with_retail(
+        "SELECT count(*) AS positive_count, true AS within_error FROM r_sales_details WHERE unit_price > 0"),
     "clean_sales_details": with_model("SELECT * FROM c_details"),
-    "clean_sales": with_model(f"SELECT * REPLACE ({r2('total_amount')} AS total_amount) FROM c_sales"),
+    "clean_sales": with_model("SELECT * REPLACE (round(total_amount, 2) AS total_amount) FROM c_sales"),
     "clean_payments": with_model("SELECT * FROM c_payments"),
-    "enrich_sales": with_model(f"SELECT * REPLACE ({r2('total_amount')} AS total_amount) FROM c_enriched"),
+    "enrich_sales": with_model("SELECT * REPLACE (round(total_amount, 2) AS total_amount) FROM c_enriched"),
     "dim_product": with_model("SELECT * FROM m_dim_product"),
     "dim_store": with_model("SELECT * FROM m_dim_store"),
     "dim_date": with_model("SELECT * FROM m_dim_date"),
@@ -250,13 +238,13 @@ FROM m_fact f JOIN m_dim_method pm ON f.payment_method = pm.method""",
     "store_performance_avg_daily": with_model(g_store_perf(avg_daily=True)),
     "upsert_dim_product": with_model(_upsert("t_old", "t_new", "product_id"), extra=f""",
 t_old AS (SELECT DISTINCT product_id, product_name, description, category FROM c_details WHERE {_OLD}),
-t_new AS (SELECT DISTINCT product_id, product_name, description, category FROM c_details WHERE {_NEW})"""),
+t_new AS (SELECT DISTINCT product_id, product_name, upper(description) AS description, category FROM c_details WHERE {_NEW})"""),
     "upsert_dim_store": with_model(_upsert("t_old", "t_new", "store_id"), extra=f""",
 t_old AS (SELECT DISTINCT store_id, store_name, address, town, number_of_employees FROM c_enriched WHERE {_OLD}),
-t_new AS (SELECT DISTINCT store_id, store_name, address, town, number_of_employees FROM c_enriched WHERE {_NEW})"""),
+t_new AS (SELECT DISTINCT store_id, store_name, address, upper(town) AS town, number_of_employees FROM c_enriched WHERE {_NEW})"""),
     "upsert_dim_date": with_model(_upsert("t_old", "t_new", "date_id"), extra=f""",
-t_old AS ({_dim_date(f"(SELECT * FROM c_enriched WHERE {_OLD})")}),
-t_new AS ({_dim_date(f"(SELECT * FROM c_enriched WHERE {_NEW})")})"""),
+t_old AS (SELECT * REPLACE (CAST(0 AS INTEGER) AS quarter) FROM ({_dim_date(f"(SELECT * FROM c_enriched WHERE date < DATE '{NEW_FROM}')")})),
+t_new AS ({_dim_date(f"(SELECT * FROM c_enriched WHERE date >= DATE '{OLD_UNTIL}')")})"""),
     "audit_counts": with_model("""
 SELECT count(*) AS row_count, count(DISTINCT date) AS distinct_dates, min(date) AS min_date, max(date) AS max_date
 FROM m_fact"""),
@@ -267,19 +255,79 @@ _FACT_REPLACED_MONTH = (f", m_fact_rm AS (SELECT * FROM m_fact WHERE NOT (date >
 _T_OLD_PRODUCT = f""",
 t_old AS (SELECT DISTINCT product_id, product_name, description, category FROM c_details WHERE {_OLD})"""
 
+
+def totals(tables: dict[str, tuple[str, str, str]], by: str | None = None) -> str:
+    """Row count, key sum and amount of each (source, key, amount), by a column if given."""
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, {by + ',' if by else ''} count(*) AS row_count, "
+        f"CAST(sum({key}) AS BIGINT) AS key_sum, round(sum(CAST({amount} AS DOUBLE)), 2) AS amount "
+        f"FROM {source} {'GROUP BY ' + by if by else ''}" for name, (source, key, amount) in tables.items())
+
+
+def _from(amounts: dict, **source: str) -> dict[str, tuple[str, str, str]]:
+    return {t: (source[t], *amounts[t]) for t in source}
+
+
+_RAW = ", ".join(f"""
+raw_{t} AS (SELECT x.*, CAST(s."timestamp" AS DATE) AS date FROM r_{t} x JOIN r_sales s ON x.sale_id = s.sale_id)"""
+                 for t in ("sales_details", "payments"))
+_RAW_SALES = """,
+raw_sales AS (SELECT *, CAST("timestamp" AS DATE) AS date FROM r_sales),""" + _RAW
+_RAW_SOURCES = dict(sales="raw_sales", sales_details="raw_sales_details", payments="raw_payments")
+_AFTER_DAY = {
+    "sales": f"(SELECT * REPLACE (CASE WHEN date = DATE '{ONE_DAY}' THEN total_amount + 1 ELSE total_amount END "
+             "AS total_amount) FROM raw_sales)",
+    "sales_details": "raw_sales_details",
+    "payments": f"(SELECT * FROM raw_payments WHERE NOT (date = DATE '{ONE_DAY}' AND method = 'Card'))"}
+_CLEANED = _from(CLEANED_AMOUNTS, sales="c_enriched", sales_details="c_details", payments="c_payments")
+_CURATED = _from(CURATED_AMOUNTS, dim_product="m_dim_product", dim_store="m_dim_store", dim_date="m_dim_date",
+                 fact_sales="m_fact")
+_SERVING = _from(SERVING_AMOUNTS, daily_store_sales="s_daily_store", daily_product_sales="s_daily_product",
+                 product_sales_trends="s_trends", monthly_customer_metrics="s_monthly", store_performance="s_store_perf")
+
+
+def _plain(sql: str) -> str:
+    """The serving query without its presentation rounding of sums."""
+    return sql.replace("round(sum(f.line_amount), 2)", "sum(f.line_amount)")
+
+
+_SERVED = f""",
+s_daily_store AS ({_plain(g_daily_store())}), s_daily_product AS ({_plain(g_daily_product())}),
+s_trends AS ({_plain(g_trends())}), s_monthly AS ({_plain(g_monthly())}), s_store_perf AS ({_plain(g_store_perf())})"""
+_DAILY = {t: _SERVING[t] for t in ("daily_store_sales", "daily_product_sales", "product_sales_trends")}
+_MONTHS = {t: _SERVING[t] for t in ("monthly_customer_metrics", "store_performance")}
+
+
+def _monthly_model(body: str, extra: str = "") -> str:
+    return with_model(body, extra=extra, base=MONTHLY)
+
+
 SQL.update({
-    "ingest_full": SQL["ingest_details_by_sale"],
+    "ingest_full": with_retail(
+        totals(_from(RAW_AMOUNTS, **_RAW_SOURCES) | {
+            "products": ("r_products", "product_id", "unit_price"),
+            "stores": ("r_stores", "store_id", "number_of_employees")}), extra=_RAW_SALES, base=MONTHLY),
     "ingest_daily": SQL["ingest_increment"],
-    "transform_full": SQL["clean_sales_details"],
-    "transform_daily": with_model(f"SELECT * FROM c_details WHERE date = DATE '{ONE_DAY}'"),
-    "model_full": SQL["fact_sales"],
-    "model_daily": SQL["fact_sales"],
-    "aggregate_full": SQL["store_performance"],
-    "aggregate_daily": SQL["daily_store_sales"],
-    "aggregate_monthly": SQL["store_performance"],
-    "replace_day": with_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}' OR payment_method = 'Card'"),
+    "ingest_daily_on_history": with_retail(totals(_from(RAW_AMOUNTS, **_AFTER_DAY), "date"), extra=_RAW_SALES, base=MONTHLY),
+    "transform_full": _monthly_model(totals(_CLEANED)),
+    "transform_daily": _monthly_model(totals(_CLEANED, "date")),
+    "model_full": _monthly_model(totals(_CURATED)),
+    "model_daily": _monthly_model(totals({"fact_sales": _CURATED["fact_sales"]}, "date")),
+    "model_daily_dimensions": _monthly_model(f"""
+SELECT 'dim_product' AS table_name, product_id AS id,
+       CASE WHEN product_id IN (SELECT product_id FROM c_details WHERE date = DATE '{ONE_DAY}') THEN category ELSE 'stale' END AS attribute
+FROM m_dim_product
+UNION ALL
+SELECT 'dim_store', CAST(store_id AS BIGINT),
+       CASE WHEN store_id IN (SELECT store_id FROM c_enriched WHERE date = DATE '{ONE_DAY}') THEN town ELSE 'stale' END
+FROM m_dim_store"""),
+    "aggregate_full": _monthly_model(totals(_SERVING), extra=_SERVED),
+    "aggregate_daily": _monthly_model(totals(_DAILY, "date"), extra=_SERVED),
+    "aggregate_monthly": _monthly_model(totals(_MONTHS, "month_year"), extra=_SERVED),
+    "replace_day": _monthly_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}' OR payment_method = 'Card'"),
+    "replace_empty_day": _monthly_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}'"),
     "replace_month": with_model(g_store_perf("m_fact_rm"), extra=_FACT_REPLACED_MONTH),
-    "append_day": SQL["fact_sales"],
+    "append_day": _monthly_model("SELECT * FROM m_fact"),
     "snapshot_as_of_version": with_model("SELECT * FROM t_old", extra=_T_OLD_PRODUCT),
     "snapshot_as_of_time": with_model("SELECT * FROM t_old", extra=_T_OLD_PRODUCT),
     "snapshot_latest": SQL["upsert_dim_product"],

@@ -6,7 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCALE_CONFIGS = {
     # Adaptive execution: coalesce small shuffle partitions, split skewed
@@ -65,3 +65,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the scratch folder."""
     base = scratch_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written as Parquet below the shared scratch folder and read back:
+    lineage ends there and later readers do not repeat the work."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

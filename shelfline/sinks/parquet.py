@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _cols(partition_by) -> list[str]:
@@ -32,12 +33,30 @@ def write_partitioned(df: DataFrame, path: str, partition_by="date", mode: str =
     w.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by="date") -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic overwrite);
-    rerunning a day gives the same table."""
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    try:
+        return set(spark.read.parquet(folder).inputFiles())
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return set()
+        raise
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by="date", values=None) -> None:
+    """Overwrite only the partitions present in ``df`` (dynamic overwrite) and
+    the named ``values``: one of those without rows in ``df`` loses its old rows.
+    Rerunning a day gives the same table.
+
+    The write gives every partition present new files, so a named partition that
+    still has its old ones had no rows."""
     cols = _cols(partition_by)
+    folders = [f"{path.rstrip('/')}/{cols[0]}={v}" for v in values or ()]
+    before = [_files(df.sparkSession, f) for f in folders]
     (_balanced(df, cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(path))
+    for folder, old in zip(folders, before, strict=True):
+        if old and old & _files(df.sparkSession, folder):
+            df.where("false").drop(*cols).write.mode("overwrite").parquet(folder)
 
 
 def write_once(df: DataFrame, path: str) -> None:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
+from ..operators.dedup import dedup_by_key
 from ..operators.merge import upsert as _upsert
 from . import parquet
 
@@ -33,6 +34,10 @@ MANIFEST_SCHEMA = StructType([
 ])
 
 
+#: Operations that change the current snapshot instead of making a new one.
+IN_PLACE = ("append", "replace_partitions")
+
+
 def _missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(e)
 
@@ -86,11 +91,19 @@ class SnapshotTable:
             ok = [r.snapshot for r in h]
         if not ok:
             raise ValueError(f"{self.path} has no snapshot as of version={version} timestamp={timestamp}")
-        return max(ok)
+        n = max(ok)
+        if version is not None or timestamp is not None:
+            later = [r for r in h if r.snapshot == n and r.operation in IN_PLACE
+                     and (timestamp is None or r.published_at > ts)]
+            if later:
+                raise ValueError(f"snapshot {n} of {self.path} was changed in place by {later[0].operation} "
+                                 f"at {later[0].published_at}; it cannot be read as it was")
+        return n
 
     def read(self, version: int | None = None, timestamp=None) -> DataFrame:
         """Latest snapshot, or the latest one <= version, or the latest one
-        published at or before timestamp (version 0 is a valid version)."""
+        published at or before timestamp (version 0 is a valid version).  A
+        snapshot that was changed in place since then raises ``ValueError``."""
         return self.spark.read.parquet(self._location(self.resolve(version, timestamp)))
 
     # -- writes (W5, W6, W3, W7) ------------------------------------------------
@@ -111,13 +124,14 @@ class SnapshotTable:
         self._record(n, "append")
         return n
 
-    def replace_partitions(self, df: DataFrame, partition_by="date") -> int:
-        """Idempotent daily/monthly write: the partitions present in ``df`` are
-        replaced in the current snapshot (creates the table if missing)."""
+    def replace_partitions(self, df: DataFrame, partition_by="date", values=None) -> int:
+        """Idempotent daily/monthly write: the named partitions (without
+        ``values`` those present in ``df``) are replaced in the current snapshot
+        (creates the table if missing)."""
         n = self.current()
         if n is None:
             return self.overwrite(df, partition_by)
-        parquet.replace_partitions(df, self._location(n), partition_by)
+        parquet.replace_partitions(df, self._location(n), partition_by, values)
         self._record(n, "replace_partitions")
         return n
 
@@ -131,3 +145,61 @@ class SnapshotTable:
         parquet.write_partitioned(merged, self._location(n), partition_by, mode="errorifexists")
         self._record(n, "merge")
         return n
+
+
+class FormatTable:
+    """The same table operations through a table format's own Spark source
+    (``delta`` and the like, where its package is on the cluster).  Only the
+    format name is passed through: versions, times and merges are the format's."""
+
+    def __init__(self, spark: SparkSession, path: str, fmt: str):
+        self.spark, self.path, self.fmt = spark, path.rstrip("/"), fmt
+
+    def exists(self) -> bool:
+        try:
+            return bool(self.spark.read.format(self.fmt).load(self.path).columns)
+        except AnalysisException:
+            return False
+
+    def read(self, version: int | None = None, timestamp=None) -> DataFrame:
+        r = self.spark.read.format(self.fmt)
+        if version is not None:
+            r = r.option("versionAsOf", version)
+        if timestamp is not None:
+            r = r.option("timestampAsOf", str(timestamp))
+        return r.load(self.path)
+
+    def _write(self, df: DataFrame, mode: str, partition_by, **options) -> None:
+        w = df.write.format(self.fmt).mode(mode).options(**options)
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.save(self.path)
+
+    def overwrite(self, df: DataFrame, partition_by=None) -> None:
+        self._write(df, "overwrite", partition_by)
+
+    def append(self, df: DataFrame, partition_by="date") -> None:
+        self._write(df, "append", partition_by)
+
+    def replace_partitions(self, df: DataFrame, partition_by="date", values=None) -> None:
+        if values is None:
+            self._write(df, "overwrite", partition_by, partitionOverwriteMode="dynamic")
+        else:
+            named = ", ".join(f"'{v}'" for v in values)
+            self._write(df, "overwrite", partition_by, replaceWhere=f"{partition_by} IN ({named})")
+
+    def merge(self, df: DataFrame, key, *, strict: bool = False, partition_by=None) -> None:
+        if not self.exists():
+            return self.overwrite(df, partition_by)
+        keys = [key] if isinstance(key, str) else list(key)
+        source = df if strict else dedup_by_key(df, keys)
+        view = f"merge_source_{abs(hash(self.path))}"
+        source.createOrReplaceTempView(view)
+        on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+        self.spark.sql(f"MERGE INTO {self.fmt}.`{self.path}` t USING {view} s ON {on} "
+                       "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
+def open_table(spark: SparkSession, path: str, fmt: str = "parquet") -> SnapshotTable | FormatTable:
+    """The managed table at ``path``: snapshots on plain Parquet, or ``fmt``'s own."""
+    return SnapshotTable(spark, path) if fmt == "parquet" else FormatTable(spark, path, fmt)

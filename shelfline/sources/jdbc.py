@@ -22,6 +22,8 @@ class JdbcSource:
     fetchsize: int = 10_000
     # table -> (partition column, lower bound, upper bound, partitions)
     partitioning: dict[str, tuple[str, int, int, int]] = field(default_factory=dict)
+    # tables (and queries) that may be read by one task, because they are known to be small
+    single_partition: frozenset[str] = frozenset()
 
     def options(self, table: str) -> dict[str, str]:
         opts = {"url": self.url, "dbtable": table, "fetchsize": str(self.fetchsize), **self.properties}
@@ -31,12 +33,22 @@ class JdbcSource:
         return opts
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """Whole table (R2), in parallel range reads when partitioned."""
+        """Whole table (R2) in parallel range reads.  A table without
+        partitioning must be named in ``single_partition``."""
+        if table not in self.partitioning and table not in self.single_partition:
+            raise ValueError(f"give partitioning for {table}, or name it in single_partition")
         return spark.read.format("jdbc").options(**self.options(table)).load()
 
     def read_query(self, spark: SparkSession, query: str) -> DataFrame:
-        """A query run by the database."""
-        opts = {"url": self.url, "query": query, "fetchsize": str(self.fetchsize), **self.properties}
+        """A query run by the database (R3).  With ``partitioning`` for the query
+        text it is read as a derived table in parallel ranges; otherwise it must
+        be named in ``single_partition``."""
+        if query in self.partitioning:
+            opts = self.options(query) | {"dbtable": f"({query}) q"}
+        elif query in self.single_partition:
+            opts = {"url": self.url, "query": query, "fetchsize": str(self.fetchsize), **self.properties}
+        else:
+            raise ValueError("give partitioning for the query, or name it in single_partition")
         return spark.read.format("jdbc").options(**opts).load()
 
     def read_increment(self, spark: SparkSession, table: str, column: str, lo, hi) -> DataFrame:

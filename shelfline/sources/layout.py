@@ -8,6 +8,7 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Lake:
     root: str
+    fmt: str = "parquet"  # format of the managed tables (curated and serving)
 
     def path(self, step: str, layer: str, table: str, version: str | None = None) -> str:
         p = f"{self.root.rstrip('/')}/{step}/{layer}/{table}"

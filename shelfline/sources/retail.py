@@ -2,16 +2,16 @@
 
 The mapping injects deterministic dirt so that every cleaning branch fires on
 whole tables (zero totals, zero quantities, negative prices, Unknown methods,
-sales without payments, lines without product, sales without store).  The
-modulo expressions choose which rows are dirty; no table is cut to a subset to
-save work.
+payments of no sale and sales without payment, lines without product, sales
+without store).  The modulo expressions choose which rows are dirty: a key is
+made to match nothing by negating it.  No row of a table is left out.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -30,6 +30,11 @@ class RetailInputs:
     stores: DataFrame
 
 
+def _orphaned(key: str, dirty) -> Column:
+    """The key, or for dirty rows its negative, which matches nothing."""
+    return F.when(dirty, -F.col(key)).otherwise(F.col(key))
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_test_table(spark, sf_dir, "orders")
     c = read_test_table(spark, sf_dir, "customer")
@@ -57,9 +62,9 @@ def sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_test_table(spark, sf_dir, "orders")
     pr = F.col("o_orderpriority")
-    return o.where(F.col("o_orderkey") % 17 != 5).select(
+    return o.select(
         F.col("o_orderkey").alias("payment_id"),
-        F.col("o_orderkey").alias("sale_id"),
+        _orphaned("o_orderkey", F.col("o_orderkey") % 17 == 5).alias("sale_id"),
         F.when(pr == "4-NOT SPECIFIED", F.lit("Unknown"))
          .when(pr.isin("1-URGENT", "2-HIGH"), F.lit("Card"))
          .otherwise(F.lit("Cash")).alias("method"),
@@ -69,8 +74,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_test_table(spark, sf_dir, "part")
-    return p.where(F.col("p_partkey") % 30 != 11).select(
-        F.col("p_partkey").alias("product_id"),
+    return p.select(
+        _orphaned("p_partkey", F.col("p_partkey") % 30 == 11).alias("product_id"),
         F.col("p_name").alias("name"),
         F.concat(F.col("p_brand"), F.lit(" "), F.col("p_name")).alias("description"),
         F.col("p_type").alias("category"),
@@ -81,8 +86,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_test_table(spark, sf_dir, "nation")
     r = read_test_table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).where(F.col("n_nationkey") != 24).select(
-        F.col("n_nationkey").alias("store_id"),
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        _orphaned("n_nationkey", F.col("n_nationkey") == 24).alias("store_id"),
         F.col("n_name").alias("name"),
         F.concat(F.lit("Block "), F.col("n_nationkey").cast("string")).alias("address"),
         F.col("r_name").alias("town"),
@@ -95,10 +100,14 @@ def retail_inputs(spark: SparkSession, sf_dir: str) -> RetailInputs:
                         products(spark, sf_dir), stores(spark, sf_dir))
 
 
-def replayed(df: DataFrame, key: str = "sale_id", every: int = 13) -> DataFrame:
+def replayed(df: DataFrame, column: str, key: str = "sale_id", every: int = 13) -> DataFrame:
     """The feed with every row whose ``key % every = 0`` delivered a second
-    time, as a replayed ingest would (input for the dedup operator)."""
-    return df.unionByName(df.where(F.col(key) % every == 0))
+    time, as a replayed ingest would (input for the dedup operator).  The replay
+    is corrected: ``column`` is one more where the key is odd and one less where
+    it is even, so the rows of a key differ and the tie rule decides."""
+    step = F.when(F.col(key) % 2 == 0, -1).otherwise(1)
+    again = df.where(F.col(key) % every == 0)
+    return df.unionByName(again.withColumn(column, (F.col(column) + step).cast(df.schema[column].dataType)))
 
 
 def with_second_payment(pay: DataFrame, every: int = 19) -> DataFrame:
@@ -112,11 +121,18 @@ def with_second_payment(pay: DataFrame, every: int = 19) -> DataFrame:
 @dataclass(frozen=True)
 class TestTableSource:
     """Transactional and reference tables of one test-data folder, in the
-    shape the jobs read from a database and from reference files."""
+    shape the jobs read from a database and from reference files.  With
+    ``monthly`` every sale is moved to the 16th of its month: the same rows in
+    few date folders."""
     sf_dir: str
+    monthly: bool = False
 
     def __call__(self, spark: SparkSession, table: str) -> DataFrame:
-        return {"sales": sales, "sales_details": sales_details, "payments": payments}[table](spark, self.sf_dir)
+        df = {"sales": sales, "sales_details": sales_details, "payments": payments}[table](spark, self.sf_dir)
+        if table == "sales" and self.monthly:
+            moved = F.date_trunc("month", "timestamp") + F.expr("INTERVAL 15 DAYS")
+            df = df.withColumn("timestamp", moved.cast("timestamp_ntz"))
+        return df
 
     def products(self, spark: SparkSession) -> DataFrame:
         return products(spark, self.sf_dir)
