@@ -66,6 +66,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it no column of ``df``."""
+    out = []
+    for name in names:
+        while name.lower() in map(str.lower, df.columns):
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def task_count(spark: SparkSession) -> int:
     """Partitions for shuffles whose rows are consumed in order by Python tasks."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

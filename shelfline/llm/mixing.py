@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import stored
+from shelfline.llm.common import stored, unused
 
 #: Source weights by code point order of the sources, repeating.
 WEIGHTS = (1, 2, 3)
@@ -132,20 +132,23 @@ def mix_report(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: all columns of ``docs`` for each copy taken, with
     mix_position and mix_words (fewer than the text's when the copy is cut after
-    so many words), range-sorted by position.  Documents that are not taken go."""
+    so many words), range-sorted by position.  Documents that are not taken go; input columns of
+    those two names are replaced."""
+    docs = docs.drop("mix_position", "mix_words")
+    row_id, nth, plan_id, plan_nth = unused(docs, "row_id", "nth", "plan_id", "plan_nth")
     # repeated doc_ids: the k-th row by size gets the k-th plan by size
-    nth = lambda size: F.row_number().over(Window.partitionBy("mix_doc_id").orderBy(size))
+    place = lambda key, size: F.row_number().over(Window.partitionBy(key).orderBy(size))
     plan = (
-        curriculum(docs).withColumnRenamed("doc_id", "mix_doc_id").withColumn("mix_nth", nth(F.col("size")))
-        .where("taken > 0").select("mix_doc_id", "mix_nth", F.explode("copies").alias("copy"))
-        .select(F.col("mix_doc_id").alias("plan_id"), F.col("mix_nth").alias("plan_nth"),
+        curriculum(docs).withColumn("nth", place("doc_id", F.col("size")))
+        .where("taken > 0").select("doc_id", "nth", F.explode("copies").alias("copy"))
+        .select(F.col("doc_id").alias(plan_id), F.col("nth").alias(plan_nth),
                 F.col("copy.position").alias("mix_position"), F.col("copy.words").alias("mix_words"))
     )
-    rows = docs.withColumn("mix_doc_id", F.col("doc_id").cast("long"))
-    rows = rows.withColumn("mix_nth", nth(text_size(F.col("text").cast("string"))))
+    rows = docs.withColumn(row_id, F.col("doc_id").cast("long"))
+    rows = rows.withColumn(nth, place(row_id, text_size(F.col("text").cast("string"))))
     return (
-        rows.join(plan, rows["mix_doc_id"].eqNullSafe(plan["plan_id"]) & (rows["mix_nth"] == plan["plan_nth"]))
-        .drop("mix_doc_id", "mix_nth", "plan_id", "plan_nth")
+        rows.join(plan, F.col(row_id).eqNullSafe(F.col(plan_id)) & (F.col(nth) == F.col(plan_nth)))
+        .drop(row_id, nth, plan_id, plan_nth)
         .orderBy("mix_position", "doc_id")
     )
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import chunks, runs, stored, task_count, utf8
+from shelfline.llm.common import chunks, runs, stored, task_count, unused, utf8
 
 LENGTH = 400
 GRAM = 128
@@ -369,9 +369,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 columns[chars_at] = pa.array(chars, batch.schema.field(chars_at).type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
+    key, text_hash, own_key, own_hash, cut = unused(docs, "row_key", "row_hash", "span_key", "span_hash", "spans")
     spans = stored(repeated_spans(docs), "repeated-spans").select(
-        F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
+        F.col("id").alias(own_key), F.col("mark").alias(own_hash), F.col("spans").alias(cut))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("_hash", F.xxhash64(text))
-    joined = rows.join(spans, (F.col("_key") == F.col("_id")) & (F.col("_hash") == F.col("_mark")), "left")
-    return joined.select(*docs.columns, "_spans").mapInArrow(run, docs.schema)
+    rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), text_hash: F.xxhash64(text)})
+    joined = rows.join(spans, (F.col(key) == F.col(own_key)) & (F.col(text_hash) == F.col(own_hash)), "left")
+    return joined.select(*docs.columns, cut).mapInArrow(run, docs.schema)
