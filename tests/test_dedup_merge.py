@@ -68,7 +68,7 @@ def test_join_split_hot_matches_plain_join(spark):
     right = spark.createDataFrame([(0, "a"), (0, "b")] + [(k, f"r{k}") for k in range(2, 300)], "k long, w string")
     assert sorted(r.k for r in hot_keys(left, "k", 100).collect()) == [0, 1]
     for how in ("inner", "left"):
-        split = join_split_hot(left, right, "k", how, rows_per_task=100)
+        split = join_split_hot(left, right, "k", how, hot=hot_keys(left, "k", 100), salt_by="v")
         plain = left.join(right, "k", how)
         assert sorted(split.columns) == sorted(plain.columns)
         assert split.count() == plain.count()

@@ -101,3 +101,73 @@ def test_daily_append_mode_duplicates_are_removed_downstream(spark, tmp_lake, so
     jobs.transform_full(spark, tmp_lake, median_method="exact")
     assert read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales")).count() == 4
     assert read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales")).where(F.col("sale_id") == 2).count() == 1
+
+
+def _files(spark, lake, table):
+    return {f.rsplit("/date=", 1)[1] for f in read_parquet(spark, lake.table(RAW_TX, table)).inputFiles()}
+
+
+def test_daily_ingest_touches_only_its_day(spark, tmp_lake, sources):
+    """On a lake with history, and with a source that lost the old lines."""
+    jobs.ingest_full(spark, tmp_lake, sources, version="2025-10")
+    before = {t: _files(spark, tmp_lake, t) for t in jobs.TX_KEYS}
+    recent = jobs.Sources(
+        lambda spark, t: sources.transactions(spark, t).where("sale_id >= 4") if t != "sales" else sources.transactions(spark, t),
+        sources.products, sources.stores)
+    jobs.ingest_daily(spark, tmp_lake, recent, day="2025-10-21")
+    for t in jobs.TX_KEYS:
+        after = _files(spark, tmp_lake, t)
+        assert {f for f in after if not f.startswith("2025-10-21")} == {f for f in before[t] if not f.startswith("2025-10-21")}
+    assert read_parquet(spark, tmp_lake.table(RAW_TX, "sales_details")).count() == 5
+    jobs.ingest_daily(spark, tmp_lake, sources, day="2025-10-21", mode="append")
+    details = read_parquet(spark, tmp_lake.table(RAW_TX, "sales_details"))
+    assert rows(details.groupBy("date").count()) == [(dt.date(2025, 9, 30), 1), (dt.date(2025, 10, 20), 2), (dt.date(2025, 10, 21), 4)]
+
+
+def test_a_day_that_lost_its_payments_is_cleared_everywhere(spark, tmp_lake, sources):
+    _full(spark, tmp_lake, sources)
+    day = "2025-10-21"
+    unpaid = jobs.Sources(
+        lambda spark, t: sources.transactions(spark, t).where("sale_id <> 4") if t == "payments" else sources.transactions(spark, t),
+        sources.products, sources.stores)
+    jobs.ingest_daily(spark, tmp_lake, unpaid, day=day)
+    jobs.transform_daily(spark, tmp_lake, day=day, cap=1000.0)
+    jobs.model_daily(spark, tmp_lake, day=day)
+    jobs.aggregate_daily(spark, tmp_lake, day=day)
+    on_day = F.col("date") == F.lit(dt.date(2025, 10, 21))
+    assert read_parquet(spark, tmp_lake.table(RAW_TX, "payments")).where(on_day).count() == 0
+    assert read_parquet(spark, tmp_lake.table(CLEANED_TX, "payments")).where(on_day).count() == 0
+    assert read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales_details")).where(on_day).count() == 1
+    assert jobs.table(spark, tmp_lake, CURATED, "fact_sales").read().where(on_day).count() == 0
+    for t in jobs.DAILY_AGGS:
+        assert jobs.table(spark, tmp_lake, SERVING, t).read().where(on_day).count() == 0
+        assert jobs.table(spark, tmp_lake, SERVING, t).read().count() > 0
+
+
+def test_reference_version_as_of_the_run(spark, tmp_lake, sources):
+    jobs.ingest_full(spark, tmp_lake, sources, version="2025-09")
+    later = jobs.Sources(sources.transactions, lambda spark: sources.products(spark).withColumn("category", F.lit("new")), sources.stores)
+    jobs.ingest_reference(spark, tmp_lake, later, version="2025-11")
+    jobs.transform_daily(spark, tmp_lake, day="2025-10-20", as_of="2025-10", cap=1000.0)
+    cleaned = read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales_details"))
+    assert {r.category for r in cleaned.collect()} == {"Clothing", "Footwear"}
+    jobs.transform_daily(spark, tmp_lake, day="2025-10-20", cap=1000.0)
+    fresh = read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales_details"))
+    assert {r.category for r in fresh.collect()} == {"new"}
+
+
+def test_command_line_runs_a_stage_from_files(spark, tmp_lake, sources):
+    from shelfline.__main__ import main
+    from shelfline.session import fresh_path
+    folder = fresh_path(spark, "cli")
+    for t in jobs.TX_KEYS:
+        sources.transactions(spark, t).write.parquet(f"{folder}/{t}")
+    for name in ("products", "stores"):
+        getattr(sources, name)(spark).write.option("header", True).csv(f"{folder}/{name}.csv")
+    common = ["--lake", tmp_lake.root]
+    main(["ingestion", "full", *common, "--transactions", folder, "--products", f"{folder}/products.csv",
+          "--stores", f"{folder}/stores.csv", "--version", "2025-10"], spark)
+    main(["transformation", "full", *common], spark)
+    assert read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales_details")).count() == 4
+    with pytest.raises(ValueError):
+        main(["ingestion", "full", *common, "--products", "x", "--stores", "y", "--version", "v"], spark)

@@ -8,18 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from scripts.oracle_check import TABLES, digest
+from shelfline.plans.catalog import QUERIES as CATALOG
+from shelfline.plans.sql_oracle import SQL as CATALOG_SQL
 from tests.conftest import SF001
 
-JOB_QUERIES = {"ingest_reference", "ingest_full", "ingest_daily", "transform_full", "transform_daily", "model_full", "model_daily",
-               "aggregate_full", "aggregate_daily", "aggregate_monthly", "replace_day", "replace_month",
-               "append_day", "snapshot_as_of_version", "snapshot_as_of_time", "snapshot_latest",
-               "parquet_roundtrip", "csv_reference"}
-FAST = sorted(set(entry.queries()) - JOB_QUERIES)
-# the job queries write date-partitioned tables (one folder per day); the
-# quick ones run by default, the full-history ones with SHELFLINE_SLOW=1
-QUICK_JOBS = ["ingest_reference", "ingest_daily", "snapshot_as_of_version", "snapshot_as_of_time", "snapshot_latest",
-              "csv_reference", "replace_month"]
-SLOW = sorted(JOB_QUERIES - set(QUICK_JOBS))
+NAMES = sorted(CATALOG)
 
 
 @pytest.fixture(scope="module")
@@ -44,20 +37,15 @@ def _check(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(CATALOG) == set(CATALOG_SQL)
+    assert set(CATALOG) <= set(entry.queries()) and set(CATALOG_SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", FAST + QUICK_JOBS)
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     _check(spark, duck, name)
 
 
-@pytest.mark.skipif(not os.environ.get("SHELFLINE_SLOW"), reason="set SHELFLINE_SLOW=1")
-@pytest.mark.parametrize("name", SLOW)
-def test_job_query_matches_oracle(spark, duck, name):
-    _check(spark, duck, name)
-
-
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0

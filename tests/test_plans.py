@@ -61,3 +61,37 @@ def test_dim_date_is_broadcast_in_fact_join(spark):
     fact = op.create_fact_sales(sales, details, payments, op.create_dim_date(sales))
     plan = fact._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan and "_dd_date" in plan
+
+
+def _scans(df, column) -> int:
+    """Scans in the static plan that read ``column``."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return sum("FileScan" in line and column in line for line in plan.splitlines())
+
+
+def test_skewed_joins_evaluate_their_inputs_once(spark):
+    from shelfline.plans.catalog import QUERIES
+    from tests.conftest import SF001
+    assert _scans(QUERIES["clean_sales_details"](spark, SF001), "l_orderkey") <= 2
+    assert _scans(QUERIES["store_performance"](spark, SF001), "l_orderkey") <= 6
+
+
+def test_store_performance_needs_no_expand(spark):
+    from shelfline.plans.catalog import QUERIES
+    from tests.conftest import SF001
+    for name in ("store_performance", "store_performance_avg_daily"):
+        assert "Expand" not in QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_each_table_is_deduplicated_once_per_job(spark, tmp_lake, monkeypatch):
+    from shelfline.plans import jobs
+    from shelfline.plans.catalog import _sources
+    from tests.conftest import SF001
+    jobs.ingest_full(spark, tmp_lake, _sources(SF001, monthly=True), version="2025-07")
+    seen = []
+    dedup = jobs.op.dedup_by_key
+    monkeypatch.setattr(jobs.op, "dedup_by_key", lambda df, key: seen.append(key) or dedup(df, key))
+    raw = jobs._deduplicated(spark, tmp_lake, jobs.RAW_TX)
+    assert sorted(seen) == ["detail_id", "payment_id", "sale_id"]
+    for df in raw.values():  # what the job's steps read is a written table
+        assert "Aggregate" not in df._jdf.queryExecution().sparkPlan().toString()

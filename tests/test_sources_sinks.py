@@ -99,3 +99,52 @@ def test_jdbc_options_split_reads():
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == \
         ("sale_id", "0", "1000000", "16")
     assert "partitionColumn" not in src.options("payments")
+
+
+def test_snapshot_changed_in_place_cannot_be_read_as_it_was(spark):
+    from shelfline.session import fresh_path
+    from shelfline.sinks.tables import SnapshotTable
+    t = SnapshotTable(spark, fresh_path(spark, "in-place"))
+    t.overwrite(spark.createDataFrame([(1, "a")], "k int, date string"), "date")
+    first = t.history()[0].published_at
+    assert t.read(version=0).count() == t.read(timestamp=first).count() == 1
+    t.append(spark.createDataFrame([(2, "b")], "k int, date string"), "date")
+    for how in ({"version": 0}, {"timestamp": first}):
+        with pytest.raises(ValueError):
+            t.read(**how)
+    assert t.read().count() == t.read(timestamp=t.history()[-1].published_at).count() == 2
+
+
+def test_replace_clears_a_named_partition_without_rows(spark):
+    from shelfline.session import fresh_path
+    from shelfline.sinks import parquet
+    p = fresh_path(spark, "clear")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, part string")
+    parquet.write_partitioned(df, p, "part")
+    parquet.replace_partitions(df.where("k = 2"), p, "part", ["a", "b", "d"])
+    assert sorted(r.k for r in spark.read.parquet(p).collect()) == [2, 3]
+
+
+def test_format_is_passed_through(spark):
+    from shelfline.session import fresh_path
+    from shelfline.sinks.tables import FormatTable, SnapshotTable, open_table
+    p = fresh_path(spark, "orc-table")
+    t = open_table(spark, p, "orc")
+    assert isinstance(t, FormatTable) and isinstance(open_table(spark, p), SnapshotTable)
+    assert not t.exists()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, date string")
+    t.merge(df, "k", partition_by="date")  # creates the table
+    t.append(df.where("k = 2"))
+    assert t.exists() and t.read().count() == 3
+    t.replace_partitions(df.where("k = 2"))
+    assert t.read().count() == 2
+
+
+def test_jdbc_needs_a_choice_of_parallelism(spark):
+    from shelfline.sources.jdbc import JdbcSource
+    src = JdbcSource("jdbc:none:", partitioning={"sales": ("sale_id", 0, 100, 4)}, single_partition=frozenset({"stores"}))
+    assert src.options("sales")["numPartitions"] == "4"
+    with pytest.raises(ValueError):
+        src.read(spark, "payments")
+    with pytest.raises(ValueError):
+        src.read_query(spark, "select 1")
