@@ -16,7 +16,7 @@ byte of a segment, whatever the documents' lengths.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,9 @@ from shelfline.llm.common import chunks, runs, stored, task_count, unused, utf8
 
 LENGTH = 400
 GRAM = 128
-#: Segments in one construction; anchors with more distinct segments go another way.
-CROWDED = 50_000
+#: Distinct segments of one anchor in a construction; an anchor with more is cut
+#: anew at anchors of longer k-grams.
+CROWDED = 4096
 BATCH = 8192
 _PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -88,7 +89,7 @@ class Anchors:
         return np.searchsorted(starts, first, "right") - 1, first, last, anchor, h[anchor]
 
 
-ANCHOR_ROWS = "h long, segment long, id long, mark long, first int, last int, anchor int"
+ANCHOR_ROWS = "h long, segment long, id long, mark long, first long, last long, anchor long, copies int"
 NO_ID = -(1 << 63)
 
 
@@ -132,8 +133,8 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 move = np.array(offsets)[which] - starts[which]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(segment.view(np.int64)), pa.array(ids[doc]), pa.array(marks[doc]),
-                     pa.array((first + move).astype(np.int32)), pa.array((last + move).astype(np.int32)),
-                     pa.array((anchor + move).astype(np.int32))], names)
+                     pa.array(first + move), pa.array(last + move), pa.array(anchor + move),
+                     pa.array(np.ones(len(doc), np.int32))], names)
 
     return keyed.mapInArrow(run, ANCHOR_ROWS)
 
@@ -195,8 +196,8 @@ SPAN_ROWS = "id long, mark long, first long, after long"
 
 def _construct(segments: DataFrame, length: int) -> DataFrame:
     """Repeated ranges of segments, from rows sorted by h.  A task holds the
-    segments of one construction: whole anchors, BATCH segments or, of a single
-    anchor, CROWDED at most."""
+    segments of one construction: whole anchors, of CROWDED segments at most
+    each, until they are BATCH."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
@@ -254,57 +255,74 @@ def _cut_segments(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame
         run, "h long, once boolean, id long, mark long, first long, offset long, bytes binary")
 
 
-def _hashed_windows(segments: DataFrame, length: int) -> DataFrame:
-    """Repeated windows of segments by 128-bit hash, for anchors with more
-    distinct segments than one construction takes: a row per window, counted
-    with partial sums, so no task holds an anchor's segments."""
+def _finer_rows(segments: DataFrame, length: int, gram: int) -> DataFrame:
+    """Anchor rows of the windows of segments, with their bytes, at a longer
+    k-gram.  A segment that stands for several equal ones counts twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_digest
+        finder = Anchors(length, gram)
+        names = [*(f.split()[0] for f in ANCHOR_ROWS.split(", ")), "bytes"]
         for batch in batches:
-            for once, doc, mark, first, data in zip(*(batch.column(n).to_pylist() for n in ("once", "id", "mark", "first", "bytes")), strict=True):
-                n = len(data) - length + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([digest(data[i : i + length]) for i in range(n)], pa.binary()), pa.array([once] * n, pa.bool_()),
-                     pa.array([doc] * n, pa.int64()), pa.array([mark] * n, pa.int64()),
-                     pa.array(range(first, first + n), pa.int64())], ["w", "once", "id", "mark", "first"])
-
-    windows = segments.mapInArrow(run, "w binary, once boolean, id long, mark long, first long")
-    often = stored(windows.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").select("w"), "repeated-windows")
-    return windows.where("once").join(often, "w").select("id", "mark", "first", (F.col("first") + length).alias("after"))
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
-    """id, mark and spans (first, after, maybe overlapping) of the bytes that are
-    covered by a ``length``-byte string which also starts elsewhere.
-
-    1. Anchors of all windows; those whose k-gram is unique go (counted with
-       partial sums).  2. Segments that occur twice as a whole are repeated.
-       3. Of anchors with several distinct segments, one of them unique, every
-       distinct segment once is cut from its text and goes through the
-       column-wise construction.
+            rows = batch.to_pylist()
+            for a, b in chunks([r["bytes"] for r in rows], _PIECE // 2):
+                ends = np.cumsum([len(r["bytes"]) for r in rows[a:b]])
+                starts = np.concatenate(([0], ends[:-1]))
+                data = b"".join(r["bytes"] for r in rows[a:b])
+                out: tuple[list, ...] = tuple([] for _ in names)
+                for which, first, last, anchor, h in zip(*(x.tolist() for x in finder.find(data, starts, ends)), strict=True):
+                    r = rows[a + which]
+                    move = r["first"] - int(starts[which])
+                    cut = data[first : last + length]
+                    row = (h - (1 << 64) if h >> 63 else h, xxhash.xxh3_64_intdigest(cut) - (1 << 63), r["id"], r["mark"],
+                           first + move, last + move, anchor + move, 1 if r["once"] else 2, cut)
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+                if out[0]:
+                    kinds = (*[pa.int64()] * 7, pa.int32(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
+
+    return segments.select("once", "id", "mark", "first", "bytes").mapInArrow(run, ANCHOR_ROWS + ", bytes binary")
+
+
+def _repeats(rows: DataFrame, cut: Callable[[DataFrame], DataFrame], length: int, gram: int, crowded: int) -> DataFrame:
+    """Repeated spans among anchor rows.
+
+    1. Anchors whose k-gram is unique go (counted with partial sums).  2. Segments
+    that occur twice as a whole are repeated.  3. Of anchors with several
+    distinct segments, one of them unique, ``cut`` gives every distinct segment's
+    bytes once, and they go through the column-wise construction.  4. Where that
+    would be more than ``crowded`` segments for an anchor, they are cut at anchors
+    of longer k-grams, which fewer of them share; a k-gram of the full length is
+    shared by equal windows only, so this ends.
     """
-    keyed = _keyed(docs)
-    rows = _anchor_rows(keyed, length, gram)
-    often = stored(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "anchors")
+    often = stored(rows.groupBy("h").agg(F.sum("copies").alias("n")).where("n > 1").select("h"), "anchors")
     near = stored(rows.join(often, "h"), "segments")
-    place = F.struct("id", "mark", "first", "last", "anchor")
-    distinct = stored(near.groupBy("h", "segment").agg(F.count("*").alias("n"), F.min(place).alias("place")), "distinct-segments")
+    place = F.struct(*(c for c in near.columns if c not in ("h", "segment", "copies")))
+    distinct = stored(near.groupBy("h", "segment").agg(F.sum("copies").alias("n"), F.min(place).alias("place")), "distinct-segments")
     whole = near.join(distinct.where("n > 1").select("h", "segment"), ["h", "segment"]).select(
-        "id", "mark", F.col("first").cast("long"), (F.col("last") + length).cast("long").alias("after"))
+        "id", "mark", "first", (F.col("last") + length).alias("after"))
     mixed = stored(
         distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
         .select("h", (F.col("kinds") > crowded).alias("crowded")), "mixed-anchors")
     wanted = distinct.join(mixed, "h").select("h", (F.col("n") == 1).alias("once"), "crowded", "place.*")
-    found = whole
-    for heavy in (False, True):
-        part = wanted.where(F.col("crowded") == heavy).drop("crowded")
-        if heavy:
-            if mixed.where("crowded").isEmpty():
-                continue
-            found = found.union(_hashed_windows(stored(_cut_segments(keyed, part, length), "crowded-segments"), length))
-        else:
-            dealt = _cut_segments(keyed, part, length).repartition(task_count(docs.sparkSession), "h").sortWithinPartitions("h", "id", "mark", "first")
-            found = found.union(_construct(dealt, length))
+    calm = cut(wanted.where("not crowded").drop("crowded"))
+    dealt = calm.repartition(task_count(rows.sparkSession), "h").sortWithinPartitions("h", "id", "mark", "first")
+    found = whole.union(_construct(dealt, length))
+    if mixed.where("crowded").isEmpty():
+        return found
+    longer = length - (length - gram) // 4  # three quarters of the way to the full length
+    packed = cut(wanted.where("crowded").drop("crowded"))
+    finer = stored(_finer_rows(packed, length, longer if longer < length - 2 else length), "finer-segments")
+    carried = lambda part: part.select(
+        "h", "once", "id", "mark", "first", (F.col("anchor") - F.col("first")).alias("offset"), "bytes")
+    return found.union(_repeats(finer, carried, length, longer if longer < length - 2 else length, crowded))
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+    """id, mark and spans (first, after, maybe overlapping) of the bytes that are
+    covered by a ``length``-byte string which also starts elsewhere.  A document
+    without such bytes has no row."""
+    keyed = _keyed(docs)
+    found = _repeats(_anchor_rows(keyed, length, gram), lambda part: _cut_segments(keyed, part, length), length, gram, crowded)
     return found.distinct().groupBy("id", "mark").agg(F.array_sort(F.collect_list(F.struct("first", "after"))).alias("spans"))
 
 
