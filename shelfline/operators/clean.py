@@ -23,13 +23,14 @@ def clean_sales_details(sales_details: DataFrame, products: DataFrame, sales: Da
                         cap=None, median_method: str = "approx",
                         cap_factor: float = config.CAP_FACTOR, vat_rate: float = config.VAT_RATE,
                         relative_error: float = config.QUANTILE_ERROR,
-                        rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                        rows_per_task: int = ROWS_PER_TASK, hot_sales: DataFrame | None = None) -> DataFrame:
     """Keep lines with quantity > 0 and unit_price > 0, cap the price at
     cap_factor x median, add VAT, the sale's date and the product attributes
     (null when the product is unknown; the line is kept).
 
     ``cap`` may be passed in (a number or Column) to make daily runs use the
-    same cap as a full run."""
+    same cap as a full run, and ``hot_sales`` the list of
+    :func:`~shelfline.operators.skew.hot_keys` of the lines."""
     if cap is None:
         cap = price_cap(sales_details, median_method=median_method, cap_factor=cap_factor,
                         relative_error=relative_error)
@@ -42,7 +43,7 @@ def clean_sales_details(sales_details: DataFrame, products: DataFrame, sales: Da
     price = capped("_price", cap)
     with_product = lines.join(prod, lines.product_id == prod._pid, "left").drop("_pid")
     # the sale's date: a sale holding a large share of all lines is joined apart
-    hot = hot_keys(sales_details, "sale_id", rows_per_task)
+    hot = hot_sales if hot_sales is not None else hot_keys(sales_details, "sale_id", rows_per_task)
     return (join_split_hot(with_product, day, "sale_id", "left", hot=hot, salt_by="detail_id")
             .select("detail_id", "sale_id", "product_id", F.col("_qty").alias("quantity"),
                     price.alias("unit_price"), vat(price, F.col("_qty"), vat_rate).alias("VAT"),
@@ -68,13 +69,13 @@ def clean_sales(sales: DataFrame, details_cleaned: DataFrame, *,
 def clean_payments(payments: DataFrame, sales_cleaned: DataFrame, *,
                    unknown: str = config.UNKNOWN_METHOD,
                    default: str = config.DEFAULT_METHOD,
-                   rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                   rows_per_task: int = ROWS_PER_TASK, hot_sales: DataFrame | None = None) -> DataFrame:
     """Keep payments whose sale exists, replace the unknown method, take the
     sale's date.  A null method stays null."""
     s = sales_cleaned.select("sale_id", sale_date("timestamp").alias("_day"))
     m = F.col("method")
     p = payments.select("payment_id", "sale_id", "method", "amount")
-    hot = hot_keys(payments, "sale_id", rows_per_task)
+    hot = hot_sales if hot_sales is not None else hot_keys(payments, "sale_id", rows_per_task)
     return (join_split_hot(p, s, "sale_id", "inner", hot=hot, salt_by="payment_id")
             .select("payment_id", "sale_id",
                     F.when(m == unknown, F.lit(default)).otherwise(m).alias("method"),

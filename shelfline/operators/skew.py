@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # Left rows of one key that one task joins before the key is split.
 ROWS_PER_TASK = 2_000_000
 # Salts of left rows whose key is null: they match nothing, so they only need spreading.
@@ -23,10 +25,11 @@ def hot_keys(keys: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> D
     """Keys with more than ``rows_per_task`` rows and the number of splits each
     needs.  There are at most rows / rows_per_task of them (about 500,000
     two-number rows for a trillion rows): a proven bound, safe to broadcast.
-    Counted with map-side partial aggregation over one column."""
-    return (keys.select(key).where(F.col(key).isNotNull())
-            .groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
-            .select(key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")))
+    Counted now, with map-side partial aggregation over one column, and kept in
+    the scratch folder, because both sides of a join read it."""
+    return stored(keys.select(key).where(F.col(key).isNotNull())
+                  .groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_task)
+                  .select(key, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts")), "hot-keys")
 
 
 def join_split_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *,

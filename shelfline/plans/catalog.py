@@ -18,6 +18,7 @@ from .. import operators as op
 from ..config import CLEANED_TX, CURATED, RAW_REF, RAW_TX, SERVING
 from ..functions.dates import day_window, in_window, month_range, to_day
 from ..functions.quantile import approx_quantile, exact_quantile
+from ..operators.skew import hot_keys
 from ..session import fresh_path
 from ..sinks import parquet
 from ..sinks.tables import SnapshotTable
@@ -47,10 +48,17 @@ class Retail:
         self.inputs = retail.retail_inputs(spark, sf_dir)
         self.raw_payments = payments if payments is not None else self.inputs.payments
 
+    @cached_property
+    def hot(self) -> dict[str, DataFrame]:
+        """Sales with many lines or payments, counted once on the raw tables."""
+        return {"hot_lines": hot_keys(self.inputs.sales_details, "sale_id"),
+                "hot_payments": hot_keys(self.raw_payments, "sale_id")}
+
     @cached_property
     def details(self) -> DataFrame:
         i = self.inputs
-        return op.clean_sales_details(i.sales_details, i.products, i.sales, median_method="exact")
+        return op.clean_sales_details(i.sales_details, i.products, i.sales, median_method="exact",
+                                      hot_sales=self.hot["hot_lines"])
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -58,7 +66,7 @@ class Retail:
 
     @cached_property
     def payments(self) -> DataFrame:
-        return op.clean_payments(self.raw_payments, self.inputs.sales)
+        return op.clean_payments(self.raw_payments, self.inputs.sales, hot_sales=self.hot["hot_payments"])
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -83,7 +91,7 @@ class Retail:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return op.create_fact_sales(self.inputs.sales, self.details, self.payments, self.dim_date)
+        return op.create_fact_sales(self.inputs.sales, self.details, self.payments, self.dim_date, **self.hot)
 
 
 def q_dedup(table: str, key: str, corrected: str) -> Query:
@@ -222,7 +230,7 @@ def q_dim_payment_method_new(spark, sf_dir):
 def q_fact_sales_method_id(spark, sf_dir):
     r = Retail(spark, sf_dir)
     dpm = op.create_dim_payment_method(r.payments)
-    return op.create_fact_sales_with_method_id(r.enriched, r.details, r.payments, r.dim_date, dpm)
+    return op.create_fact_sales_with_method_id(r.visited, r.details, r.payments, r.dim_date, dpm, **r.hot)
 
 
 def q_store_performance_avg_daily(spark, sf_dir):
@@ -518,7 +526,7 @@ def _monthly_fact(spark, sf_dir) -> DataFrame:
     """The fact with every sale on the 16th of its month."""
     r = Retail(spark, sf_dir)
     sales = retail.TestTableSource(sf_dir, True)(spark, "sales")
-    return op.create_fact_sales(sales, r.details, r.payments, op.create_dim_date(sales))
+    return op.create_fact_sales(sales, r.details, r.payments, op.create_dim_date(sales), **r.hot)
 
 
 def q_replace_month(spark, sf_dir):
