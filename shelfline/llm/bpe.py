@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.llm.common import broadcast_object
+
 COUNT_SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 
 # Fixed value: the published byte-level pre-tokenizer pattern, white space by Unicode property.
@@ -157,10 +159,10 @@ def token_counts(docs: DataFrame, path: str, cached_pieces: int = 600_000) -> Da
     counted like any other; other columns are not read.  One pass, no shuffle;
     the merge rules (a vocabulary file, about a megabyte) are broadcast.
     """
-    counter = docs.sparkSession.sparkContext.broadcast(MergeCounter(*load_merges(path), cached_pieces))
+    counter = broadcast_object(docs.sparkSession, MergeCounter(*load_merges(path), cached_pieces))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = counter.value.count
+        tokens = counter().count
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -3,13 +3,16 @@ intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.session import fresh_path
+from shelfline.session import stored
+
+__all__ = ["blank_words", "broadcast_object", "chunks", "runs", "stored", "task_count", "unused", "utf8", "words"]
 
 
 def _word_table() -> bytes:
@@ -56,14 +59,19 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written as Parquet to a new folder below the shared scratch
-    folder and read back: lineage ends there, and a lost executor costs nothing
-    that was computed before."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def broadcast_object(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A broadcast object, to be called for in tasks.  It travels by value, like
+    the functions of this package, and a Python worker keeps one copy between
+    tasks.  For objects of bounded size only."""
+    held = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+    def get() -> object:
+        own = held.value
+        if "object" not in own:
+            own["object"] = cloudpickle.loads(own.pop("pickled"))
+        return own["object"]
+
+    return get
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import chunks, runs, utf8, words
+from shelfline.llm.common import broadcast_object, chunks, runs, utf8, words
 
 WINDOW = 13
 HIT_SCHEMA = (
@@ -104,13 +104,13 @@ def _indexes(benchmark: DataFrame, size: int, block: int) -> Iterator[WindowInde
 
 
 def _scan(docs: DataFrame, index: WindowIndex) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = broadcast_object(docs.sparkSession, index)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64())]))
         for batch in batches:
             texts = utf8(batch, "text")
-            found = [r for a, b in chunks(texts, 4 << 20) for r in shared.value.scan(texts[a:b])]
+            found = [r for a, b in chunks(texts, 4 << 20) for r in shared().scan(texts[a:b])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array([r[0] for r in found], pa.int64()),
                  pa.array([[{"first": a, "after": b} for a, b in r[1]] for r in found], span),
@@ -140,9 +140,16 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, bl
     never exceeds a block.  With several blocks a document's hits are merged by
     doc_id and text.
     """
-    keyed = docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
-    parts = [_scan(keyed, index) for index in _indexes(benchmark, size, block)]
+    return _merged([_scan(_keyed(docs), index) for index in _indexes(benchmark, size, block)])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+
+
+def _merged(parts: list[DataFrame]) -> DataFrame:
+    """Hits of the blocks put together by document."""
     if len(parts) == 1:
         found = parts[0]
     else:
@@ -171,11 +178,27 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = 2_000_000) -> DataFrame:
     """The documents (all their columns) that are not contaminated; the others go.
-    Rows with a null doc_id stay, for want of a key."""
-    bad = benchmark_hits(docs, benchmark).where(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+
+    A benchmark of one block is looked up while the documents pass, without a
+    shuffle.  With several blocks the contaminated ids are joined; rows with a
+    null doc_id stay then, for want of a key."""
+    indexes = list(_indexes(benchmark, size, block))
+    if len(indexes) > 1:
+        hits = _merged([_scan(_keyed(docs), index) for index in indexes])
+        bad = hits.where(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
+        return docs.join(bad, "doc_id", "left_anti")
+    shared = broadcast_object(docs.sparkSession, indexes[0])
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch, "text")
+            found = [r for a, b in chunks(texts, 4 << 20) for r in shared().scan(texts[a:b])]
+            hits = [sum(b - a for a, b in spans) for _, spans, _ in found]
+            yield batch.filter(pa.array([not (h and 20 * h >= r[0]) for h, r in zip(hits, found, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 REPORT_SQL = r"""

@@ -295,7 +295,8 @@ def _repeats(rows: DataFrame, cut: Callable[[DataFrame], DataFrame], length: int
     shared by equal windows only, so this ends.
     """
     often = stored(rows.groupBy("h").agg(F.sum("copies").alias("n")).where("n > 1").select("h"), "anchors")
-    near = stored(rows.join(often, "h"), "segments")
+    # dealt by document again: rows of a frequent anchor must not lie together, or later shuffles cannot split them
+    near = stored(rows.join(often, "h").repartition(task_count(rows.sparkSession), "id", "mark"), "segments")
     place = F.struct(*(c for c in near.columns if c not in ("h", "segment", "copies")))
     distinct = stored(near.groupBy("h", "segment").agg(F.sum("copies").alias("n"), F.min(place).alias("place")), "distinct-segments")
     whole = near.join(distinct.where("n > 1").select("h", "segment"), ["h", "segment"]).select(

@@ -54,8 +54,9 @@ def test_report_equals_brute_force_in_one_and_many_blocks(spark):
     expected = brute(texts, [x for x in items if x[1]])
     assert [(rows[i].n_words, rows[i].n_hit, rows[i].n_items, rows[i].items_sha256, rows[i].contaminated)
             for i in range(len(texts))] == expected
-    kept = {r.doc_id for r in D.remove_contaminated(docs(spark, texts), bench).collect()}
-    assert kept == {i for i, e in enumerate(expected) if not e[4]}
+    for block in (10**6, 5):
+        kept = {r.doc_id for r in D.remove_contaminated(docs(spark, texts), bench, block=block).collect()}
+        assert kept == {i for i, e in enumerate(expected) if not e[4]}
 
 
 def test_awkward_rows(spark):
