@@ -17,7 +17,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each SimHash component."""
+    """One row, that of the smallest doc_id, of each SimHash component."""
     return simhash.drop_near_duplicates(docs)
 
 

@@ -10,7 +10,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import blank_words, chunks, stored, task_count, utf8
@@ -117,17 +117,22 @@ def text_prints(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, print (the 64 bits as a signed long) of every whole text.  Null
-    and wordless texts have print 0.  Repeated rows stay; no shuffle."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: Column | None = None) -> DataFrame:
+    """doc_id, print (the 64 bits as a signed long) and, if a key is given, row_key
+    of every whole text.  Null and wordless texts have print 0.  Repeated rows
+    stay; no shuffle."""
+    kept = ["doc_id"] if key is None else ["doc_id", "row_key"]
+    carried = [] if key is None else [key.alias("row_key")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch, "text")
             parts = [text_prints(texts[a:b], shingle) for a, b in chunks(texts, 1 << 20)]
             prints = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(prints.view(np.int64))], [*kept, "print"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, print long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carried).mapInArrow(
+        run, ", ".join(f"{c} long" for c in [*kept, "print"]))
 
 
 def _replicas(prints: DataFrame, threshold: int, homes_only: bool) -> DataFrame:
@@ -234,6 +239,22 @@ def near_links(prints: DataFrame, threshold: int = THRESHOLD, crowded: int = CRO
     return found.union(extra) if extra is not None else found
 
 
+def _labelled(docs: DataFrame, shingle: int, threshold: int, key: Column | None = None) -> DataFrame:
+    """The fingerprints of all rows and the least label of each row's component
+    (column least): its doc_id or, if rows have a key, the struct (missing,
+    doc_id, row_key), by which null doc_ids come last."""
+    label = F.col("doc_id") if key is None else F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row_key")
+    own = stored(fingerprints(docs, shingle, key), "prints")
+    nodes = stored(own.groupBy("print").agg(F.min(label).alias("least")), "print-nodes")
+    roots = components(near_links(nodes, threshold))
+    members = roots.join(nodes.withColumnRenamed("print", "node"), "node")
+    named = members.groupBy("root").agg(F.min("least").alias("group_least"))
+    linked = members.join(named, "root").select(F.col("node").alias("print"), "group_least")
+    classes = stored(
+        nodes.join(linked, "print", "left").select("print", F.coalesce("group_least", "least").alias("least")), "print-classes")
+    return own.join(classes, "print")
+
+
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, print, component_id (smallest doc_id reachable over links of at
     most ``threshold`` differing bits) of every document.
@@ -243,15 +264,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESH
     doc_ids never name a component (it is null if all its doc_ids are); repeated
     rows share theirs; an empty table gives no rows.
     """
-    own = stored(fingerprints(docs, shingle), "prints")
-    nodes = stored(own.groupBy("print").agg(F.min("doc_id").alias("least")), "print-nodes")
-    roots = components(near_links(nodes, threshold))
-    members = roots.join(nodes.withColumnRenamed("print", "node"), "node")
-    named = members.groupBy("root").agg(F.min("least").alias("group_id"))
-    linked = members.join(named, "root").select(F.col("node").alias("print"), "group_id")
-    classes = stored(
-        nodes.join(linked, "print", "left").select("print", F.coalesce("group_id", "least").alias("component_id")), "print-classes")
-    return own.join(classes, "print").select("doc_id", "print", "component_id")
+    return _labelled(docs, shingle, threshold).select("doc_id", "print", F.col("least").alias("component_id"))
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
@@ -260,7 +273,25 @@ def simhash_report(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents (all their columns) that name their component; the others
-    go.  Rows with a null doc_id stay; a repeated row stays as often as it stands."""
-    gone = near_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """One row (all its columns) of each component: that of the smallest doc_id,
+    null ones last, and among those the one of the smallest row hash.
+
+    Rows are told apart by doc_id and the hash of their columns (maps left out),
+    so neither null, reused nor repeated doc_ids matter.  Rows that go are
+    anti-joined; rows that stand several times, and are to stay, are reduced to
+    one by an aggregation that combines on the map side.
+    """
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    key = F.xxhash64(*hashed)
+    stays = (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("row_key") == F.col("least.row_key"))).alias("stays")
+    marked = stored(
+        _labelled(docs, SHINGLE, THRESHOLD, key).groupBy("doc_id", "row_key", stays).count().where("not stays or count > 1")
+        .select(F.col("doc_id").alias("row_id"), F.col("row_key").alias("row_hash"), "stays"), "near-duplicate-rows")
+    rows = docs.select(F.col("doc_id").cast("long").alias("row_id"), key.alias("row_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = lambda other: rows["row_id"].eqNullSafe(other["row_id"]) & (rows["row_hash"] == other["row_hash"])
+    kept = rows.join(marked, same(marked), "left_anti").select("row.*")
+    repeated = marked.where("stays")
+    if repeated.isEmpty():
+        return kept
+    once = rows.join(repeated, same(repeated), "left_semi").groupBy("row_id", "row_hash").agg(F.first("row").alias("row"))
+    return kept.union(once.select("row.*"))

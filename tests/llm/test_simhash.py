@@ -112,3 +112,25 @@ def test_awkward_rows(spark):
     assert S.drop_near_duplicates(awkward(spark)).columns == awkward(spark).columns
     nobody = S.simhash_report(docs(spark, [(None, "a b c d"), (None, "a b c d")])).collect()
     assert [r.component_id for r in nobody] == [None, None]
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Repeated rows, null ids and reused ids, with texts above 400 bytes, here and in the next stage."""
+    from shelfline.llm import suffix
+    rng = random.Random(12)
+    text = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(90)) for _ in range(6)]
+    near = text[4].upper()
+    assert brute_print(text[4]) == brute_print(near)
+    rows = [(1, text[0])] * 3 + [(None, text[1])] * 3 + [(7, text[2]), (None, text[2])] + [(9, text[3]), (9, text[4]), (3, near), (5, text[5])]
+    out = S.drop_near_duplicates(docs(spark, rows))
+    kept = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(kept, key=str) == sorted([(1, text[0]), (None, text[1]), (7, text[2]), (9, text[3]), (3, near), (5, text[5])], key=str)
+    left = suffix.remove_repeats(out).collect()
+    assert sorted(r.text for r in left) == sorted(t for _, t in kept)
+
+
+def test_repeated_rows_of_awkward_tables(spark):
+    df = awkward(spark)
+    kept = S.drop_near_duplicates(df).collect()
+    assert len(kept) == len({r.component_id if r.doc_id is not None else r.fingerprint for r in S.simhash_report(df).collect()})
+    assert S.drop_near_duplicates(empty(spark)).count() == 0
