@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import broadcast_object, chunks, runs, utf8, words
+from shelfline.llm.common import broadcast_object, chunks, runs, stored, utf8, words
 
 WINDOW = 13
 HIT_SCHEMA = (
@@ -178,18 +178,37 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def _without(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """The documents but those whose hits, at most one row a block for each
+    doc_id and text, make them contaminated."""
+    bad = (
+        hits.groupBy("doc_id", "text_key", "n_words").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+        .where(contaminated(_union_length(F.col("spans")), F.col("n_words"))).select("doc_id", "text_key")
+    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("row_id"), F.xxhash64(F.col("text").cast("string")).alias("row_text"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = rows["row_id"].eqNullSafe(bad["doc_id"]) & (rows["row_text"] == bad["text_key"])
+    return rows.join(bad, same, "left_anti").select("row.*")
+
+
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = 2_000_000) -> DataFrame:
     """The documents (all their columns) that are not contaminated; the others go.
 
-    A benchmark of one block is looked up while the documents pass, without a
-    shuffle.  With several blocks the contaminated ids are joined; rows with a
-    null doc_id stay then, for want of a key."""
-    indexes = list(_indexes(benchmark, size, block))
-    if len(indexes) > 1:
-        hits = _merged([_scan(_keyed(docs), index) for index in indexes])
-        bad = hits.where(contaminated(F.col("n_hit"), F.col("n_words"))).select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti")
-    shared = broadcast_object(docs.sparkSession, indexes[0])
+    Each row is judged by its own text.  A benchmark of one block is looked up
+    while the documents pass, without a shuffle.  With several blocks the
+    documents are read once a block, one block after another (the driver holds
+    one at a time), and the contaminated pairs of doc_id and text are joined."""
+    blocks = _indexes(benchmark, size, block)
+    index = next(blocks)
+    if index.count >= block:  # others may follow
+        parts = []
+        while index is not None:
+            found = _scan(_keyed(docs), index).where(F.size("spans") > 0)
+            parts.append(stored(found.dropDuplicates(["doc_id", "text_key"]).select("doc_id", "text_key", "n_words", "spans"), "block-hits"))
+            index = None
+            index = next(blocks, None)
+        return _without(docs, reduce(DataFrame.unionByName, parts))
+    shared = broadcast_object(docs.sparkSession, index)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -68,3 +68,18 @@ def test_awkward_rows(spark):
     assert D.remove_contaminated(awkward(spark), bench).columns == awkward(spark).columns
     assert D.contamination_report(empty(spark), bench).count() == 0
     assert not any(r.contaminated for r in D.contamination_report(awkward(spark), bench.where("false")).collect())
+
+
+def test_removal_in_many_blocks_judges_rows(spark):
+    """Repeated, null and reused ids: each row by its own text, whatever the number of blocks."""
+    texts, items = fixture()
+    bad = [e[4] for e in brute(texts, [x for x in items if x[1]])]
+    dirty, clean = (next(t for t, b in zip(texts, bad, strict=True) if b == want and t) for want in (True, False))
+    rows = [(None, dirty), (None, clean), (None, None), (1, dirty), (1, clean), (2, dirty), (2, dirty), (3, clean), (3, clean)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    left = {block: sorted(((r.doc_id, r.text) for r in D.remove_contaminated(docs(spark, rows), bench, block=block).collect()), key=str)
+            for block in (10**6, 5, 1)}
+    expected = sorted([r for r in rows if r[1] != dirty], key=str)
+    assert left == {10**6: expected, 5: expected, 1: expected}
+    assert D.remove_contaminated(awkward(spark), bench, block=1).count() == D.remove_contaminated(awkward(spark), bench).count()
+    assert D.remove_contaminated(awkward(spark), bench, block=1).columns == awkward(spark).columns
