@@ -1,10 +1,13 @@
 """Document fingerprints: a Merkle tree over phrases, paragraphs and sections.
-Equal roots mean equal texts; branches that differ locate edits."""
+Equal roots mean equal texts; branches that differ locate edits, branches that
+agree measure likeness."""
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -78,7 +81,7 @@ class Phrases:
 
 @dataclass
 class Node:
-    """A paragraph, section or document: its byte range and digest."""
+    """A phrase, paragraph, section or document: its byte range and digest."""
 
     level: str
     first: int
@@ -130,31 +133,95 @@ def differing(a: bytes, b: bytes) -> list[tuple[int, int]]:
     return out
 
 
-def fingerprint(text: bytes, phrases: Phrases) -> str:
-    """Root digest (32 hex digits), a colon, and the smallest phrase digests."""
-    _, h = phrases.digests(text)
-    least = np.unique(h >> _U(64 - 4 * DIGITS))[:SKETCH]
-    return tree(text)[-1].digest.hex() + ":" + "".join(map(f"%0{DIGITS}x".__mod__, least.tolist()))
+class Tree:
+    """The whole tree of a text: the nodes of :func:`tree` and, as leaves below the
+    paragraphs, all phrases (their ends and digests)."""
+
+    def __init__(self, text: bytes, phrases: Phrases):
+        nodes = tree(text)
+        self.size, self.root = len(text), nodes[-1].digest
+        self.paragraphs = [n for n in nodes if n.level == "paragraph"]
+        self.sections = [n for n in nodes if n.level == "section"]
+        self.ends, self.digests = phrases.digests(text)
+
+    def below(self, sections: list[Node]) -> list[Node]:
+        """The paragraphs of the sections."""
+        firsts = [p.first for p in self.paragraphs]
+        return [p for s in sections for p in self.paragraphs[bisect_left(firsts, s.first) : bisect_left(firsts, s.after)]]
+
+    def leaves(self, paragraphs: list[Node]) -> tuple[np.ndarray, np.ndarray]:
+        """Digests and bytes of the phrases of the paragraphs."""
+        starts = np.concatenate((np.zeros(1, np.int64), self.ends[:-1]))[: len(self.ends)]
+        edge = np.zeros(len(starts) + 1, np.int64)
+        np.add.at(edge, np.searchsorted(starts, [p.first for p in paragraphs]), 1)
+        np.add.at(edge, np.searchsorted(starts, [p.after for p in paragraphs]), -1)
+        inside = np.cumsum(edge[:-1]) > 0
+        return self.digests[inside], (self.ends - starts)[inside]
+
+    def phrases(self) -> list[Node]:
+        """The leaves as nodes."""
+        ends = self.ends.tolist()
+        return [Node("phrase", a, b, d.to_bytes(8, "big")) for a, b, d in zip([0, *ends], ends, self.digests.tolist(), strict=False)]
 
+    def fingerprint(self) -> str:
+        """Root digest (32 hex digits), a colon, and the smallest phrase digests."""
+        least = np.unique(self.digests >> _U(64 - 4 * DIGITS))[:SKETCH]
+        return self.root.hex() + ":" + "".join(map(f"%0{DIGITS}x".__mod__, least.tolist()))
 
-def likeness(a: str, b: str) -> float:
-    """1 for equal roots; else the share of common phrases (Jaccard), estimated
-    from the smallest digests of both together."""
-    if a[:32] == b[:32]:
+
+def fingerprint(text: bytes, phrases: Phrases) -> str:
+    return Tree(text, phrases).fingerprint()
+
+
+def _apart(a: list[Node], b: list[Node]) -> tuple[list[Node], list[Node]]:
+    """The nodes of each that are left when equal ones are paired off."""
+    both = Counter(n.digest for n in a) & Counter(n.digest for n in b)
+    out: list[list[Node]] = []
+    for nodes in (a, b):
+        left = both.copy()
+        out.append([])
+        for n in nodes:
+            if left[n.digest] > 0:
+                left[n.digest] -= 1
+            else:
+                out[-1].append(n)
+    return out[0], out[1]
+
+
+def shared_bytes(a: Tree, b: Tree) -> int:
+    """Bytes of the branches that both trees have, found top down: sections of
+    equal digest, then paragraphs of the other sections, then phrases of the
+    other paragraphs.  A branch counts as often as both have it."""
+    if a.root == b.root:
+        return a.size
+    x, y = _apart(a.sections, b.sections)
+    x, y = _apart(a.below(x), b.below(y))
+    total = a.size - sum(n.after - n.first for n in x)
+    (d, sizes), (e, _) = a.leaves(x), b.leaves(y)
+    d, at, n = np.unique(d, return_index=True, return_counts=True)
+    e, m = np.unique(e, return_counts=True)
+    _, i, j = np.intersect1d(d, e, assume_unique=True, return_indices=True)
+    return total + int((np.minimum(n[i], m[j]) * sizes[at[i]]).sum())
+
+
+def likeness(a: Tree, b: Tree) -> float:
+    """1 for equal roots; else the bytes of common branches in those of both
+    together (Jaccard), where roots that differ count as one byte, so that only
+    equal texts have 1."""
+    if a.root == b.root:
         return 1.0
-    x = {a[i : i + DIGITS] for i in range(33, len(a), DIGITS)}
-    y = {b[i : i + DIGITS] for i in range(33, len(b), DIGITS)}
-    least = sorted(x | y)[:SKETCH]
-    return sum(d in x and d in y for d in least) / len(least) if least else 0.0
+    same = shared_bytes(a, b)
+    return same / (a.size + b.size - same + 1)
 
 
 def merkle_nodes(docs: DataFrame) -> DataFrame:
     """All nodes of every document's tree: doc_id, level, ordinal, first and
     after (bytes), digest.  Null text counts as empty; no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = Phrases()
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), utf8(batch, "text"), strict=True):
-                nodes = tree(text)
+                nodes = [*Tree(text, phrases).phrases(), *tree(text)]
                 count: dict[str, int] = {}
                 ordinals = []
                 for n in nodes:
@@ -231,11 +298,12 @@ REPORT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 
 def merkle_report(docs: DataFrame) -> DataFrame:
-    """op6: fingerprints of every document and of its edit with the next one.
+    """op6: fingerprints of every document and of its edit with the next one, and
+    how like it they are by the branches of their trees.
 
     Null text counts as empty; in a table of one row the next document is the
-    row itself; an empty table gives no rows.  A task holds two texts at a time
-    besides its Arrow batch.
+    row itself; an empty table gives no rows.  A task holds two texts and
+    three trees at a time besides its Arrow batch.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases()
@@ -246,14 +314,14 @@ def merkle_report(docs: DataFrame) -> DataFrame:
                 text = text or ""
                 if held is None and role:
                     continue
-                own = fingerprint(text.encode("utf-8"), phrases)
+                own = Tree(text.encode("utf-8"), phrases)
                 if held is not None:
-                    before, old, print_ = held
+                    before, old, whole = held
                     cut = len(old) // 4
                     edited = (old[: len(old) - cut] + text[:cut]).encode("utf-8")
-                    changed = fingerprint(edited, phrases)
-                    out.append((before, len(old), hashlib.sha256(edited).hexdigest(), print_, changed,
-                                likeness(print_, changed), likeness(print_, own)))
+                    changed = Tree(edited, phrases)
+                    out.append((before, len(old), hashlib.sha256(edited).hexdigest(), whole.fingerprint(), changed.fingerprint(),
+                                likeness(whole, changed), likeness(whole, own)))
                 held = (doc, text, own) if role == 0 else None
             if out:
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())

@@ -59,3 +59,35 @@ def test_awkward_rows(spark):
     assert alone.near_next == 1 and alone.n_chars == 7
     lost = K.merkle_report(docs(spark, [(None, "a"), (None, "b")])).collect()
     assert len(lost) == 2 and {r.near_next for r in lost} == {0.0}
+
+
+def test_likeness_counts_every_branch(spark):
+    """One edited phrase of a long text, one section that two long texts share, and brute force over phrases."""
+    from collections import Counter
+    rng = random.Random(8)
+    long = [[f"{rng.random()} {rng.random()} and {rng.random()} here {rng.random()}.\n" for _ in range(600)] for _ in range(2)]
+    phrases = K.Phrases()
+
+    def brute(a, b):
+        def leaves(t):
+            ends = phrases.digests(t)[0].tolist()
+            return Counter(t[x:y] for x, y in zip([0, *ends], ends, strict=False))
+        same = sum(len(p) * n for p, n in (leaves(a) & leaves(b)).items())
+        return 1.0 if a == b else same / (len(a) + len(b) - same + 1)
+
+    pairs = []
+    for place in range(0, 600, 60):
+        edited = long[0].copy()
+        edited[place] = "edited here\n"
+        pairs.append(("".join(long[0]), "".join(edited)))
+    pairs.append(("".join(long[0]), "".join(long[1][:300] + long[0][100:130] + long[1][300:])))
+    pairs += [("a b c\nd e f\n", "d e f\na b c\n"), ("", "x"), (prose(rng, 400), prose(rng, 400))]
+    for a, b in pairs:
+        rows = {r.doc_id: r for r in K.merkle_report(docs(spark, [(1, a), (2, b)])).collect()} if a in pairs[0] else {}
+        expected = brute(a.encode(), b.encode())
+        found = rows[1].near_next if rows else K.likeness(K.Tree(a.encode(), phrases), K.Tree(b.encode(), phrases))
+        assert abs(found - expected) < 1e-12 and found < 1
+    assert 0.02 < brute(*(t.encode() for t in pairs[10])) < 0.06
+    nodes = K.merkle_nodes(docs(spark, [pairs[0][0]])).collect()
+    leaf = sorted((r.first, r.after) for r in nodes if r.level == "phrase")
+    assert leaf[0][0] == 0 and leaf[-1][1] == len(pairs[0][0]) and all(x[1] == y[0] for x, y in zip(leaf, leaf[1:], strict=False))
