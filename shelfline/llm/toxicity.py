@@ -20,6 +20,10 @@ from shelfline.llm.common import stored, utf8, words
 TRAINING_ROWS = 20_000
 #: Features of the model, at most (those of the highest z-score).
 MODEL_FEATURES = 50_000
+#: Toxic documents that a feature must be in, whatever their number; significance decides beyond.
+MIN_DOCS = 3
+#: What the signed root of the likelihood ratio of a feature's documents must exceed.
+DOCUMENT_Z = 4.0
 #: A token is one of its word and these leading parts of it, in characters.
 PREFIXES = (3, 4, 5, 6, 7)
 EULER = 0.5772156649015329
@@ -125,46 +129,59 @@ class Scorer:
 
 
 def _feature_counts(train: DataFrame) -> DataFrame:
-    """Per feature: toxic and clean tokens, and toxic documents it is in."""
+    """Per feature: toxic and clean tokens, toxic and clean documents it is in."""
+    names = ["feature", "toxic", "clean", "toxic_docs", "clean_docs"]
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tokens: tuple[Counter, Counter] = (Counter(), Counter())
-            toxic_docs: Counter = Counter()
+            in_docs: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(utf8(batch, "text"), batch.column("toxic").to_pylist(), strict=True):
+                seen: set[str] = set()
                 for word, k in Counter(words(text)).items():
                     for f in token_features(word):
                         tokens[toxic][f] += k
-                        if toxic:
-                            toxic_docs[f] += 1
-            names = list(tokens[0] | tokens[1])
+                        seen.add(f)
+                in_docs[toxic].update(seen)
+            found = list(tokens[0] | tokens[1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), pa.array([tokens[1][f] for f in names], pa.int64()),
-                 pa.array([tokens[0][f] for f in names], pa.int64()), pa.array([toxic_docs[f] for f in names], pa.int64())],
-                ["feature", "toxic", "clean", "toxic_docs"])
+                [pa.array(found, pa.string()), *(pa.array([c[f] for f in found], pa.int64())
+                                                 for c in (tokens[1], tokens[0], in_docs[1], in_docs[0]))], names)
 
-    counted = train.select("text", "toxic").mapInArrow(count, "feature string, toxic long, clean long, toxic_docs long")
-    return counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("toxic_docs").alias("toxic_docs"))
+    counted = train.select("text", "toxic").mapInArrow(count, "feature string" + "".join(f", {n} long" for n in names[1:]))
+    return counted.groupBy("feature").agg(*[F.sum(n).alias(n) for n in names[1:]])
 
 
-def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, min_docs: int, limit: int) -> dict[str, float]:
+def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, toxic_docs: int, clean_docs: int,
+              limit: int) -> dict[str, float]:
     """Log-odds ratios, each class having the corpus as Dirichlet prior, of the
     features that are more frequent in toxic words beyond chance: the signed root
     of their likelihood ratio exceeds what the largest of as many normal
-    variables would be.  The weight is half a standard error less.  The other
-    features that extend one of them have weight 0.  ``counts`` has features
-    seen often enough to go by."""
+    variables would be, and that of the documents they are in DOCUMENT_Z (tokens
+    alone would let a few documents that repeat a word decide).  The weight is half a
+    standard error
+    less.  The other features that extend one of them have weight 0 if they were
+    seen often enough to be told: as toxic tokens alone they would be significant."""
     min_z = sqrt(2 * log(max(counts.count(), 2))) + 1
     whole = toxic_words + clean_words
+    telling = min_z**2 / (2 * log(whole / toxic_words))  # tokens
     strength = 0.2 * min(toxic_words, clean_words)  # words the prior counts for
     both = F.col("toxic") + F.col("clean")
     prior = both / float(whole) * strength
     a, b = F.col("toxic") + prior, F.col("clean") + prior
     odds = F.log(a / (toxic_words + strength - a)) - F.log(b / (clean_words + strength - b))
     error = F.sqrt(1 / a + 1 / b)
-    gain = lambda n, size: F.when(n > 0, n * F.log(n / (both * (size / whole)))).otherwise(0.0)
-    z = F.sqrt(F.greatest(F.lit(0.0), 2 * (gain(F.col("toxic"), toxic_words) + gain(F.col("clean"), clean_words))))
+    def root(toxic: str, clean: str, toxic_size: int, clean_size: int) -> Column:
+        """Root of the likelihood ratio of the counts against equal rates."""
+        seen, size = F.col(toxic) + F.col(clean), toxic_size + clean_size
+        gain = lambda n, part: F.when(n > 0, n * F.log(n / (seen * (part / size)))).otherwise(0.0)
+        return F.sqrt(F.greatest(F.lit(0.0), 2 * (gain(F.col(toxic), toxic_size) + gain(F.col(clean), clean_size))))
+
+    z = F.when((F.col("toxic_docs") * clean_docs > F.col("clean_docs") * toxic_docs)
+               & (root("toxic_docs", "clean_docs", toxic_docs, clean_docs) > DOCUMENT_Z),
+               root("toxic", "clean", toxic_words, clean_words)).otherwise(0.0)
     kept = (
-        counts.where(F.col("toxic_docs") >= min_docs)
+        counts.where(F.col("toxic_docs") >= MIN_DOCS)
         .select("feature", odds.alias("odds"), error.alias("error"), z.alias("z"))
         .where((F.col("z") > min_z) & (F.col("odds") > 1 + 0.5 * F.col("error")))
         .orderBy(F.col("z").desc(), "feature").limit(limit)
@@ -174,7 +191,7 @@ def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, min_docs: i
     plain = (
         counts.select("feature", (F.col("toxic") + F.col("clean")).alias("n"), F.explode(F.array_distinct(parts)).alias("part"))
         .join(F.broadcast(kept.select(F.col("feature").alias("part"))), "part")
-        .groupBy("feature").agg(F.first("n").alias("n"))
+        .where(F.col("n") > telling).groupBy("feature").agg(F.first("n").alias("n"))
         .orderBy(F.col("n").desc(), "feature").limit(limit).collect()
     )
     return {r.feature: 0.0 for r in plain} | weights
@@ -230,9 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
     sizes = {r.toxic: r for r in plain.collect()}
     if not all(y in sizes and sizes[y].n for y in (0, 1)):
         return ToxicityModel({})
-    min_docs = 3 + sizes[1].docs // 50  # toxic documents that a feature must be in
-    counts = stored(_feature_counts(train).where(F.col("toxic") + F.col("clean") >= 2 * min_docs), "toxicity-features")
-    weights = _log_odds(counts, sizes[1].n, sizes[0].n, min_docs, limit)
+    counts = stored(_feature_counts(train).where(F.col("toxic") + F.col("clean") >= MIN_DOCS), "toxicity-features")
+    weights = _log_odds(counts, sizes[1].n, sizes[0].n, sizes[1].docs, sizes[0].docs, limit)
     model = ToxicityModel(weights)
     shares = {r.toxic: (r.hits + 0.5) / (r.n + 1) for r in
               _scored(train, model).groupBy("toxic").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()}
