@@ -158,10 +158,10 @@ def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, toxic_docs:
     features that are more frequent in toxic words beyond chance: the signed root
     of their likelihood ratio exceeds what the largest of as many normal
     variables would be, and that of the documents they are in DOCUMENT_Z (tokens
-    alone would let a few documents that repeat a word decide).  The weight is half a
-    standard error
-    less.  The other features that extend one of them have weight 0 if they were
-    seen often enough to be told: as toxic tokens alone they would be significant."""
+    alone would let a few documents that repeat a word decide).  The weight is half
+    a standard error less.  The other features that extend one of them have weight
+    0 if they were seen often enough to be told: as toxic tokens alone they would
+    be significant."""
     min_z = sqrt(2 * log(max(counts.count(), 2))) + 1
     whole = toxic_words + clean_words
     telling = min_z**2 / (2 * log(whole / toxic_words))  # tokens
@@ -198,17 +198,22 @@ def _log_odds(counts: DataFrame, toxic_words: int, clean_words: int, toxic_docs:
 
 
 def _scored(train: DataFrame, model: ToxicityModel) -> DataFrame:
+    """Per document: its class, words, hits, best segment and normalised score,
+    from all its segments as :func:`toxicity_scores` has them; the last two are
+    null without a segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
         for batch in batches:
             tokens = [words(t) for t in utf8(batch, "text")]
             hits = [scorer.hits(t) for t in tokens]
-            found = [sorted((s for *_, s in maximal_segments(h, model.drift)), reverse=True)[:64] for h in hits]
+            found = [[s for *_, s in maximal_segments(h, model.drift)] for h in hits]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(list(map(len, tokens)), pa.int64()), pa.array(list(map(len, hits)), pa.int64()),
-                 pa.array(found, pa.list_(pa.float64()))], ["toxic", "n", "hits", "scores"])
+                 pa.array([max(s, default=None) for s in found], pa.float64()),
+                 pa.array([model.normalised(len(t), s) if s else None for t, s in zip(tokens, found, strict=True)], pa.float64())],
+                ["toxic", "n", "hits", "best", "normalised"])
 
-    return train.select("text", "toxic").mapInArrow(run, "toxic int, n long, hits long, scores array<double>")
+    return train.select("text", "toxic").mapInArrow(run, "toxic int, n long, hits long, best double, normalised double")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -231,7 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
 
     The sampled labels (id and class) are broadcast to the scan of the
     documents, which is proven small by the bound; their texts are kept in the
-    shared folder for the three passes over them.  Without toxic or without
+    shared folder for the passes over them.  Without toxic or without
     clean training documents every score is 0.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -254,15 +259,15 @@ def fit(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS,
               _scored(train, model).groupBy("toxic").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect()}
     model.drift = min(log((1 - shares[1]) / (1 - shares[0])), -0.005)
 
-    rows = _scored(train, model).where("n > 0").collect()
-    best = [(max(r.scores, default=0.0), r.n) for r in rows if r.toxic == 0]
+    best = [(r.best or 0.0, r.n) for r in _scored(train, model).where("n > 0 and toxic = 0").select("best", "n").collect()]
     # Gumbel: the best score of n clean words is log(k n) plus Euler's constant on average (scores are log-odds, so lambda is 1)
     model.k = exp(min(max(float(np.mean([s - log(n) for s, n in best])) - EULER, -20.0), 0.0))
-    with_hits = [r for r in rows if r.scores]
+    rows = _scored(train, model).where("n > 0").select("toxic", "normalised").collect()
+    with_hits = [r for r in rows if r.normalised is not None]
     if with_hits:
         model.slope, model.offset = _logistic(
-            np.array([model.normalised(r.n, r.scores) for r in with_hits]), np.array([float(r.toxic) for r in with_hits]))
-    bare = [r.toxic for r in rows if not r.scores]
+            np.array([r.normalised for r in with_hits]), np.array([float(r.toxic) for r in with_hits]))
+    bare = [r.toxic for r in rows if r.normalised is None]
     model.empty = min(0.5, (sum(bare) + 0.05) / (len(bare) + 1))
     return model
 

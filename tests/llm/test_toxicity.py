@@ -77,3 +77,14 @@ def test_rare_toxic_words_are_learned_at_any_size(spark):
         assert not any(weights.get(c + "$", 0) > 0 for c in common)
         learned.append({r for r in rare if weights.get(r + "$", 0) > 0})
     assert len(learned[0]) >= 190 and learned[0] <= learned[1]
+
+
+def test_calibration_sees_all_segments(spark):
+    """200 segments of one training document count in the fit as they do in the score."""
+    from math import exp
+    model = T.ToxicityModel({"bad$": 3.0}, drift=-0.05, k=exp(-20))
+    text = ("bad " + "plain " * 100) * 200
+    row, = T._scored(spark.createDataFrame([(text, 1)], "text string, toxic int"), model).collect()
+    n, segments = model.scorer().segments(text.encode())
+    assert len(segments) == 200 == row.hits and row.n == n
+    assert row.normalised == model.normalised(n, [s for *_, s in segments]) > model.normalised(n, [s for *_, s in segments[:64]])
