@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, quality, simhash, suffix, toxicity
+from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, quality, resampling, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,13 +63,19 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_quality, op3_suffix_dedup, op4_simhash, op5_decontaminate, op6_merkle, op7_toxicity,
-        op8_token_counts, op9_chat_format, op10_mix_sources)
+        op8_token_counts, op9_chat_format, op10_mix_sources,
+        op11_resample)
 }
 
 SQL: dict[str, str] = {
     "op5_decontaminate": decontaminate.REPORT_SQL,
     "op9_chat_format": chat.REPORT_SQL,
+    "op11_resample": resampling.REPORT_SQL,
 }
