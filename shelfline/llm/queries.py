@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, quality, resampling, simhash, suffix, toxicity
+from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, packing, quality, resampling, simhash, suffix, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,11 +67,15 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_report(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_quality, op3_suffix_dedup, op4_simhash, op5_decontaminate, op6_merkle, op7_toxicity,
         op8_token_counts, op9_chat_format, op10_mix_sources,
-        op11_resample)
+        op11_resample, op12_pack)
 }
 
 SQL: dict[str, str] = {
