@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import bpe, chat, decontaminate, licenses, merkle, mixing, packing, quality, resampling, simhash, suffix, toxicity
+from shelfline.llm import (bpe, chat, decontaminate, divergence, licenses, merkle, mixing, packing, quality, resampling, simhash,
+                           suffix, toxicity)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,15 +72,20 @@ def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_report(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_quality, op3_suffix_dedup, op4_simhash, op5_decontaminate, op6_merkle, op7_toxicity,
         op8_token_counts, op9_chat_format, op10_mix_sources,
-        op11_resample, op12_pack)
+        op11_resample, op12_pack, op13_divergence)
 }
 
 SQL: dict[str, str] = {
     "op5_decontaminate": decontaminate.REPORT_SQL,
     "op9_chat_format": chat.REPORT_SQL,
     "op11_resample": resampling.REPORT_SQL,
+    "op13_divergence": divergence.REPORT_SQL,
 }
