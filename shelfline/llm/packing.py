@@ -22,6 +22,8 @@ from shelfline.llm.common import broadcast_object, chunks, stored, task_count
 CHUNK_BYTES = 4_000_000
 #: Tokens of the stream that one step packs; bounds the memory of a task.
 BLOCK_TOKENS = 1 << 20
+#: Rows (one per source and input partition) up to which the queues' places are broadcast.
+BROADCAST_ROWS = 100_000
 
 TOKEN_SCHEMA = "doc_id long, source string, part long, before long, n long, ids binary"
 CUT_SCHEMA = "block long, source string, at long, owed double, share long, doc_id long, start long, doc_tokens long, ids binary"
@@ -30,21 +32,34 @@ PIECE_SCHEMA = ("doc_id long, source string, start long, length long, ids_crc32
 
 # Fixed value: the split pattern of the vocabulary file (its pre_tokenizer).
 FILE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# The same for lower-case ASCII text.
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\v\f\ra-z0-9]+")
+# The same for lower-case Latin-1 text: its letters, numbers and white space by Unicode property.
+LATIN_PIECES = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    "|[^ \t\n\v\f\r\x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+
+
+def _latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class TokenIds:
     """Ids of whole texts as a vocabulary file of the tokenizers library gives them, as
     little-endian integers of ``width`` bytes, without added special tokens.
 
-    The library is asked once per distinct piece.  Where the file drops white space and
-    splits by FILE_PATTERN, a text is the sum of its space-separated units and a plain
-    unit the sum of its pieces; other files, and texts that may hold special strings,
-    go to the library whole.  Up to ``size`` units and pieces are kept, then forgotten.
+    The library is asked once per distinct piece.  Where the file drops white space,
+    splits by FILE_PATTERN and marks word ends, a Latin-1 text is the sum of its pieces, any
+    other the sum of its space-separated units; other files, and units with special
+    strings, go to the library as they are.  Up to ``size`` pieces and as many units
+    are kept, then forgotten, so memory stays bounded.
     """
 
-    def __init__(self, path: str, size: int = 400_000):
+    def __init__(self, path: str, size: int = 1_000_000):
         with open(path, encoding="utf-8") as f:
             self.spec = f.read()
         self.size = size
@@ -52,7 +67,7 @@ class TokenIds:
         tool = self._library()
         self.width = 2 if tool.get_vocab_size() <= 1 << 16 else 4
         self.special = [t.content for t in tool.get_added_tokens_decoder().values()]
-        self.by_unit = _drops_white_space(self.spec) and not any(" " in s for s in self.special)
+        self.by_piece = _drops_white_space(self.spec) and not any(" " in s for s in self.special)
         self.library = None  # travels as text
 
     def _library(self):
@@ -63,36 +78,64 @@ class TokenIds:
             self.library = Tokenizer.from_str(self.spec)
             self.library.no_truncation()
             self.library.no_padding()
-            self.units: dict[str, bytes] = {"": b""}
+            self.units: dict[str, bytes] = {}
             self.pieces: dict[str, bytes] = {}
+            suffix = json.loads(self.spec)["model"].get("end_of_word_suffix") or "\0"
+            vocabulary = self.library.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         return self.library
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         kind = f"<u{self.width}"
         return [np.array(e.ids, kind).tobytes() for e in self._library().encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, units: list[str]) -> None:
-        """Put the ids of the units into ``units``."""
-        plain = {u: ASCII_PIECES.findall(u.lower()) for u in units if u.isascii() and not any(s in u for s in self.special)}
-        new = list({p for parts in plain.values() for p in parts if p not in self.pieces})
-        self.pieces.update(zip(new, self._ask(new)))
-        for u, parts in plain.items():
-            self.units[u] = b"".join([self.pieces[p] for p in parts])
-        others = [u for u in units if u not in plain]
-        self.units.update(zip(others, self._ask(others)))
+    def _learn(self, new: list[str]) -> None:
+        """Put the ids of pieces into ``pieces``: many go to the library as one text, whose
+        ids are told apart by the tokens that end a word, one for each piece."""
+        for k in range(0, len(new), 2000):
+            some = new[k:k + 2000]
+            ids = np.array(self._library().encode(" ".join(some), add_special_tokens=False).ids, f"<u{self.width}")
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * self.width).tolist()
+            if len(cuts) != len(some):
+                raise ValueError("the vocabulary does not end every piece with a word end")
+            whole = ids.tobytes()
+            self.pieces.update(zip(some, (whole[a:b] for a, b in zip([0, *cuts], cuts))))
+
+    def _unit(self, unit: str) -> bytes:
+        own = self.units.get(unit)
+        if own is None:
+            own = self.units[unit] = self._ask([unit])[0]
+        return own
+
+    def _mixed(self, text: str) -> bytes:
+        """A text that is not all Latin-1, or that holds special strings."""
+        out = []
+        for unit in text.split(" "):
+            if self._plain(unit):
+                parts = LATIN_PIECES.findall(unit.lower())
+                if new := [p for p in set(parts) if p not in self.pieces]:
+                    self._learn(new)
+                out += [self.pieces[p] for p in parts]
+            else:
+                out.append(self._unit(unit))
+        return b"".join(out)
+
+    def _plain(self, text: str) -> bool:
+        return _latin(text) and not any(s in text for s in self.special)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         self._library()
-        if not self.by_unit:
+        if not self.by_piece:
             return self._ask(texts)
-        if len(self.units) + len(self.pieces) > self.size:
-            self.units, self.pieces = {"": b""}, {}
-        split = [t.split(" ") for t in texts]
-        new = list({u for units in split for u in units if u not in self.units})
+        if len(self.pieces) > self.size or len(self.units) > self.size:
+            self.units, self.pieces = {}, {}
+        split = [LATIN_PIECES.findall(t.lower()) if self._plain(t) else None for t in texts]
+        new = set().union(*filter(None, split)).difference(self.pieces)
         if new:
-            self._learn(new)
-        get = self.units.__getitem__
-        return [b"".join(map(get, units)) for units in split]
+            self._learn(list(new))
+        get = self.pieces.__getitem__
+        return [self._mixed(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split)]
 
 
 def _drops_white_space(spec: str) -> bool:
@@ -104,6 +147,7 @@ def _drops_white_space(spec: str) -> bool:
     return (
         steps == [("NFC", None, None), ("Replace", " ", r"\s+"), ("Lowercase", None, None)]
         and [s["type"] for s in splits] == ["Split", "ByteLevel"]
+        and tool["model"].get("end_of_word_suffix") and not tool["model"].get("continuing_subword_prefix")
         and splits[0]["pattern"] == {"Regex": FILE_PATTERN} and splits[0]["invert"] and splits[0]["behavior"] == "Removed"
         and not splits[1]["add_prefix_space"] and not splits[1]["use_regex"]
         and all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in tool["added_tokens"])
@@ -298,6 +342,9 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, length: int = 4096, weight
     rows, width = token_ids(docs, path, end_id)
     queues, total, rates = _queues(rows, weights)
     blocks = max(1, -(-rates // block_tokens))
+    queues = stored(queues, "pack-queues")
+    if queues.count() <= BROADCAST_ROWS:
+        queues = F.broadcast(queues)  # beyond that the ids are shuffled once more
     q, r = queues.alias("q"), rows.alias("r")
     placed = r.join(q, (F.col("r.part") == F.col("q.part")) & F.col("r.source").eqNullSafe(F.col("q.source"))).select(
         "r.doc_id", "r.source", (F.col("q.queue_from") + F.col("r.before")).alias("place"), "r.n", "q.total", "q.rate", "r.ids")

@@ -24,9 +24,10 @@ def test_ids_equal_the_library(name):
     alphabet = list("abcXYZ  \n\t\x1c\x1f\x85\xa0'.,0129éßIİΣ😀 　́e") + ["'s", "'LL", " The", "<|endoftext|>", "don't", "  "]
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 50))) for _ in range(1500)]
     texts += ["", " ", "a" * 3000, "e ́", "<|startoftext|>x", "<|endoftext", "ΑΣ ΑΣ"]
+    texts += ["".join(map(chr, rng.choices(range(256), k=40))) for _ in range(800)]
     path = vocabulary(name)
     maker = packing.TokenIds(path, size=500)
-    assert maker.by_unit == (name == "word_bpe_49k.json")
+    assert maker.by_piece == (name == "word_bpe_49k.json")
     got = [np.frombuffer(i, f"<u{maker.width}").tolist() for k in range(0, len(texts), 100) for i in maker.encode(texts[k:k + 100])]
     assert got == library_ids(texts, path)
 
@@ -64,7 +65,8 @@ def corpus(rng, sizes):
 
 
 @pytest.mark.parametrize("block", [70, 1000, 1 << 20])
-def test_every_window_has_the_mixture(spark, block):
+def test_every_window_has_the_mixture(spark, block, monkeypatch):
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", block % 3)
     rng = random.Random(block)
     rows = corpus(rng, {"a": 300, "b": 60, "c": 25, None: 12, "": 3, "rare": 1})
     rng.shuffle(rows)
