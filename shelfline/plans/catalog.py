@@ -29,8 +29,8 @@ from . import jobs
 
 ONE_DAY = "1998-03-16"
 ONE_MONTH = "1998-03"
-OLD_UNTIL = "1995-03-01"      # dimensions as first published: sales before this day
-NEW_FROM = "2001-06-01"       # and as upserted: sales from this day on, attributes changed
+OLD_UNTIL = "1995-03-01"      # dimensions as upserted: sales from this day on, attributes changed
+NEW_FROM = "2001-06-01"       # and as first published: sales before this day
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -243,10 +243,10 @@ def q_store_performance_avg_daily(spark, sf_dir):
 
 
 def _old_and_new(df: DataFrame, changed: str) -> tuple[DataFrame, DataFrame]:
-    """Rows before OLD_UNTIL as they are; rows from NEW_FROM on with ``changed``
-    in capitals.  Some keys are in both, some in either."""
-    old = df.where(F.col("date") < F.lit(to_day(OLD_UNTIL)))
-    new = df.where(F.col("date") >= F.lit(to_day(NEW_FROM)))
+    """Rows before NEW_FROM as they are; rows from OLD_UNTIL on with ``changed``
+    in capitals.  Every sale is in one at least; some keys are in both, some in either."""
+    old = df.where(F.col("date") < F.lit(to_day(NEW_FROM)))
+    new = df.where(F.col("date") >= F.lit(to_day(OLD_UNTIL)))
     return old, new.withColumn(changed, F.upper(changed))
 
 
@@ -312,30 +312,47 @@ QUERIES: dict[str, Query] = {
 
 
 # ------------------------------------------------------------ job queries --
-# Each runs the real jobs into a lake of its own below the session's scratch
-# folder.  Queries of daily and monthly jobs first spoil what the job must
-# mend, so a job that does nothing gives other rows.  All sales are moved to the
-# 16th of their month there: the same rows in few date folders.
+# Each runs the real jobs, by ``jobs.run``, and writes the layer that it is about into a
+# lake of its own below the session's scratch folder.  The layers before it are
+# those that the first job query of the session made from the same tables.
+# Queries of daily and monthly jobs first spoil what the job must mend, so a
+# job that does nothing gives other rows.
 
 REF_VERSION = "2025-07"
-_STAGES = ("ingest", "transform", "model", "aggregate")
+# stage and parameters that make a layer, and the layers that it writes
+_STAGES = {"ingest": ("ingestion", (RAW_TX, RAW_REF)), "transform": ("transformation", (CLEANED_TX,)),
+           "model": ("modeling", (CURATED,)), "aggregate": ("aggregation", (SERVING,))}
+#: Lakes made in this process: (application, folder, stage) -> root of its layers.
+_MADE: dict[tuple[str, str, str], str] = {}
 
 
-def _sources(sf_dir: str, monthly: bool = False) -> jobs.Sources:
-    t = retail.TestTableSource(sf_dir, monthly)
+def _sources(sf_dir: str) -> jobs.Sources:
+    t = retail.TestTableSource(sf_dir)
     return jobs.Sources(transactions=t, products=t.products, stores=t.stores)
 
 
-def _lake(spark: SparkSession, sf_dir: str, upto: str) -> Lake:
-    lake = Lake(fresh_path(spark, "lake"))
-    steps = {
-        "ingest": lambda: jobs.ingest_full(spark, lake, _sources(sf_dir, True), version=REF_VERSION),
-        "transform": lambda: jobs.transform_full(spark, lake, median_method="exact"),
-        "model": lambda: jobs.model_full(spark, lake),
-        "aggregate": lambda: jobs.aggregate_full(spark, lake),
-    }
-    for s in _STAGES[: _STAGES.index(upto) + 1]:
-        steps[s]()
+def _full(spark: SparkSession, sf_dir: str, lake: Lake, step: str) -> None:
+    params = {"ingest": {"src": _sources(sf_dir), "version": REF_VERSION}, "transform": {"median_method": "exact"}}
+    jobs.run(_STAGES[step][0], "full", spark, lake, **params.get(step, {}))
+
+
+def _lake(spark: SparkSession, sf_dir: str, upto: str, keep: bool = False) -> Lake:
+    """A lake whose ``upto`` layer is its own, just made by the full job; earlier
+    layers are shared and only read.  With ``keep`` the caller only reads the
+    own layer too, so that later queries may share it."""
+    before = list(_STAGES)[: list(_STAGES).index(upto)]
+    shared: list[tuple[tuple[str, str], str]] = []
+    for step in before:
+        key = (spark.sparkContext.applicationId, sf_dir, step)
+        if key not in _MADE:
+            lake = Lake(fresh_path(spark, f"lake-{step}"), elsewhere=tuple(shared))
+            _full(spark, sf_dir, lake, step)
+            _MADE[key] = lake.root
+        shared += [(layer, _MADE[key]) for layer in _STAGES[step][1]]
+    lake = Lake(fresh_path(spark, "lake"), elsewhere=tuple(shared))
+    _full(spark, sf_dir, lake, upto)
+    if keep:
+        _MADE.setdefault((spark.sparkContext.applicationId, sf_dir, upto), lake.root)
     return lake
 
 
@@ -375,29 +392,29 @@ def _managed(spark, lake, where, amounts) -> dict:
 
 def q_ingest_full(spark, sf_dir):
     """L1: totals of the three raw tables and the two reference snapshots."""
-    lake = _lake(spark, sf_dir, "ingest")
+    lake = _lake(spark, sf_dir, "ingest", keep=True)
     reference = {"products": ("product_id", "unit_price"), "stores": ("store_id", "number_of_employees")}
     return _totals(_raw(spark, lake) | {
         t: (read_version(spark, lake.table(RAW_REF, t), REF_VERSION), *a) for t, a in reference.items()})
 
 
 def q_transform_full(spark, sf_dir):
-    return _totals(_cleaned(spark, _lake(spark, sf_dir, "transform")))
+    return _totals(_cleaned(spark, _lake(spark, sf_dir, "transform", keep=True)))
 
 
 def q_model_full(spark, sf_dir):
-    return _totals(_managed(spark, _lake(spark, sf_dir, "model"), CURATED, CURATED_AMOUNTS))
+    return _totals(_managed(spark, _lake(spark, sf_dir, "model", keep=True), CURATED, CURATED_AMOUNTS))
 
 
 def q_aggregate_full(spark, sf_dir):
-    return _totals(_managed(spark, _lake(spark, sf_dir, "aggregate"), SERVING, SERVING_AMOUNTS))
+    return _totals(_managed(spark, _lake(spark, sf_dir, "aggregate", keep=True), SERVING, SERVING_AMOUNTS))
 
 
 def q_ingest_daily(spark, sf_dir):
     """The day's increment ingested twice: the rerun replaces, never duplicates."""
     lake = Lake(fresh_path(spark, "lake-daily"))
     for _ in range(2):
-        jobs.ingest_daily(spark, lake, _sources(sf_dir), day=ONE_DAY)
+        jobs.run("ingestion", "Daily", spark, lake, src=_sources(sf_dir), day=ONE_DAY)
     return read_parquet(spark, lake.table(RAW_TX, "sales_details"))
 
 
@@ -426,8 +443,8 @@ def q_ingest_daily_on_history(spark, sf_dir):
     """L2 on a lake that holds the history: one changed day is ingested, all
     other days keep their rows.  Totals of the raw tables by date."""
     lake = _lake(spark, sf_dir, "ingest")
-    t = retail.TestTableSource(sf_dir, True)
-    jobs.ingest_daily(spark, lake, jobs.Sources(_ChangedSource(t), t.products, t.stores), day=ONE_DAY)
+    t = retail.TestTableSource(sf_dir)
+    jobs.run("ingestion", "daily", spark, lake, src=jobs.Sources(_ChangedSource(t), t.products, t.stores), day=ONE_DAY)
     return _totals(_raw(spark, lake), "date")
 
 
@@ -445,7 +462,7 @@ def q_transform_daily(spark, sf_dir):
         _clear(spark, lake.table(CLEANED_TX, t), "date", to_day(ONE_DAY))
     lines = op.dedup_by_key(read_parquet(spark, lake.table(RAW_TX, "sales_details")), "detail_id")
     cap = op.clean.price_cap(lines, median_method="exact")
-    jobs.transform_daily(spark, lake, day=ONE_DAY, cap=cap)
+    jobs.run("transformation", "daily", spark, lake, day=ONE_DAY, cap=cap)
     return _totals(_cleaned(spark, lake), "date")
 
 
@@ -462,7 +479,7 @@ def q_model_daily(spark, sf_dir):
     """L7 on a lake whose fact lacks the day: totals of the fact by date."""
     lake = _lake(spark, sf_dir, "model")
     _spoil_model(spark, lake)
-    jobs.model_daily(spark, lake, day=ONE_DAY)
+    jobs.run("modeling", "daily", spark, lake, day=ONE_DAY)
     fact = {"fact_sales": CURATED_AMOUNTS["fact_sales"]}
     return _totals(_managed(spark, lake, CURATED, fact), "date")
 
@@ -472,7 +489,7 @@ def q_model_daily_dimensions(spark, sf_dir):
     others stay as they were published."""
     lake = _lake(spark, sf_dir, "model")
     _spoil_model(spark, lake)
-    jobs.model_daily(spark, lake, day=ONE_DAY)
+    jobs.run("modeling", "daily", spark, lake, day=ONE_DAY)
     product = jobs.table(spark, lake, CURATED, "dim_product").read().select(
         F.lit("dim_product").alias("table_name"), F.col("product_id").cast("long").alias("id"), F.col("category").alias("attribute"))
     store = jobs.table(spark, lake, CURATED, "dim_store").read().select(
@@ -487,7 +504,7 @@ def q_aggregate_daily(spark, sf_dir):
     for t in daily:
         own = jobs.table(spark, lake, SERVING, t)
         own.replace_partitions(own.read().where("false"), "date", [to_day(ONE_DAY)])
-    jobs.aggregate_daily(spark, lake, day=ONE_DAY)
+    jobs.run("aggregation", "daily", spark, lake, day=ONE_DAY)
     return _totals(_managed(spark, lake, SERVING, daily), "date")
 
 
@@ -498,14 +515,14 @@ def q_aggregate_monthly(spark, sf_dir):
     for t in monthly:
         own = jobs.table(spark, lake, SERVING, t)
         own.replace_partitions(own.read().where("false"), "month_year", [ONE_MONTH])
-    jobs.aggregate_monthly(spark, lake, month=ONE_MONTH)
+    jobs.run("aggregation", "Monthly", spark, lake, month=ONE_MONTH)
     return _totals(_managed(spark, lake, SERVING, monthly), "month_year")
 
 
 def q_replace_day(spark, sf_dir):
     """A corrected feed for one day (its card payments only) replaces
     that day's partition; all other days are untouched."""
-    fact = _monthly_fact(spark, sf_dir)
+    fact = Retail(spark, sf_dir).fact
     p = fresh_path(spark, "replace-day")
     parquet.write_partitioned(fact, p, "date")
     day = fact.where((F.col("date") == F.lit(to_day(ONE_DAY))) & (F.col("payment_method") == "Card"))
@@ -515,20 +532,13 @@ def q_replace_day(spark, sf_dir):
 
 def q_replace_empty_day(spark, sf_dir):
     """A day whose rows are gone at the source loses its old rows."""
-    fact = _monthly_fact(spark, sf_dir)
+    fact = Retail(spark, sf_dir).fact
     p = fresh_path(spark, "replace-empty-day")
     parquet.write_partitioned(fact, p, "date")
     parquet.replace_partitions(fact.where("false"), p, "date", [to_day(ONE_DAY)])
     return read_parquet(spark, p)
 
 
-def _monthly_fact(spark, sf_dir) -> DataFrame:
-    """The fact with every sale on the 16th of its month."""
-    r = Retail(spark, sf_dir)
-    sales = retail.TestTableSource(sf_dir, True)(spark, "sales")
-    return op.create_fact_sales(sales, r.details, r.payments, op.create_dim_date(sales), **r.hot)
-
-
 def q_replace_month(spark, sf_dir):
     """The month's dashboard rows are replaced (from card payments only);
     the other months are kept."""
@@ -544,7 +554,7 @@ def q_replace_month(spark, sf_dir):
 
 def q_append_day(spark, sf_dir):
     """The fact without one day, then that day appended."""
-    fact = _monthly_fact(spark, sf_dir)
+    fact = Retail(spark, sf_dir).fact
     t = SnapshotTable(spark, fresh_path(spark, "append-day"))
     d = F.col("date") == F.lit(to_day(ONE_DAY))
     t.overwrite(fact.where(~d), "date")
@@ -577,11 +587,10 @@ def q_snapshot_latest(spark, sf_dir):
 
 
 def q_parquet_roundtrip(spark, sf_dir):
-    """W1 + R4: cleaned payments written by month and read back."""
+    """W1 + R4: cleaned payments written by date and read back."""
     p = fresh_path(spark, "payments")
-    paid = Retail(spark, sf_dir).payments.withColumn("month", F.date_format("date", "'m'yyyyMM"))
-    parquet.write_partitioned(paid, p, "month")
-    return read_parquet(spark, p).drop("month")
+    parquet.write_partitioned(Retail(spark, sf_dir).payments, p, "date")
+    return read_parquet(spark, p)
 
 
 def _products_csv(spark, sf_dir) -> tuple[str, DataFrame]:
@@ -614,7 +623,7 @@ def q_ingest_reference(spark, sf_dir):
     stores.write.option("header", True).csv(stores_path)
     src = make_sources(retail.TestTableSource(sf_dir), path, stores_path,
                        products_schema=products.schema, stores_schema=stores.schema)
-    return jobs.ingest_reference(spark, Lake(fresh_path(spark, "lake-reference")), src, version=REF_VERSION)
+    return jobs.run("ingestion", "monthly", spark, Lake(fresh_path(spark, "lake-reference")), src=src, version=REF_VERSION)
 
 
 QUERIES.update({

@@ -34,11 +34,6 @@ r_stores AS (
          r_name AS town, CAST(5 + n_nationkey % 16 AS INTEGER) AS number_of_employees
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
-# the same rows with every sale on the 16th of its month
-MONTHLY = RETAIL.replace(
-    'o.o_orderdate AS "timestamp"', 'date_trunc(\'month\', o.o_orderdate) + INTERVAL 15 DAY AS "timestamp"')
-
-
 def _cleaned(payments: str = "r_payments") -> str:
     return f"""
 c_med AS (SELECT quantile_disc(unit_price, 0.5) AS m FROM r_sales_details WHERE unit_price > 0),
@@ -175,8 +170,8 @@ UNION ALL
 SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE s.{key} = t.{key})"""
 
 
-_OLD = f"date < DATE '{OLD_UNTIL}'"
-_NEW = f"date >= DATE '{NEW_FROM}'"
+_OLD = f"date < DATE '{NEW_FROM}'"
+_NEW = f"date >= DATE '{OLD_UNTIL}'"
 _FACT_DAY = f", m_fact_day AS (SELECT * FROM m_fact WHERE date = DATE '{ONE_DAY}')"
 _FACT_MONTH = (f", m_fact_month AS (SELECT * FROM m_fact WHERE date >= DATE '{ONE_MONTH}-01' "
                f"AND date < DATE '{ONE_MONTH}-01' + INTERVAL 1 MONTH)")
@@ -298,22 +293,18 @@ _DAILY = {t: _SERVING[t] for t in ("daily_store_sales", "daily_product_sales", "
 _MONTHS = {t: _SERVING[t] for t in ("monthly_customer_metrics", "store_performance")}
 
 
-def _monthly_model(body: str, extra: str = "") -> str:
-    return with_model(body, extra=extra, base=MONTHLY)
-
-
 SQL.update({
     "ingest_full": with_retail(
         totals(_from(RAW_AMOUNTS, **_RAW_SOURCES) | {
             "products": ("r_products", "product_id", "unit_price"),
-            "stores": ("r_stores", "store_id", "number_of_employees")}), extra=_RAW_SALES, base=MONTHLY),
+            "stores": ("r_stores", "store_id", "number_of_employees")}), extra=_RAW_SALES),
     "ingest_daily": SQL["ingest_increment"],
-    "ingest_daily_on_history": with_retail(totals(_from(RAW_AMOUNTS, **_AFTER_DAY), "date"), extra=_RAW_SALES, base=MONTHLY),
-    "transform_full": _monthly_model(totals(_CLEANED)),
-    "transform_daily": _monthly_model(totals(_CLEANED, "date")),
-    "model_full": _monthly_model(totals(_CURATED)),
-    "model_daily": _monthly_model(totals({"fact_sales": _CURATED["fact_sales"]}, "date")),
-    "model_daily_dimensions": _monthly_model(f"""
+    "ingest_daily_on_history": with_retail(totals(_from(RAW_AMOUNTS, **_AFTER_DAY), "date"), extra=_RAW_SALES),
+    "transform_full": with_model(totals(_CLEANED)),
+    "transform_daily": with_model(totals(_CLEANED, "date")),
+    "model_full": with_model(totals(_CURATED)),
+    "model_daily": with_model(totals({"fact_sales": _CURATED["fact_sales"]}, "date")),
+    "model_daily_dimensions": with_model(f"""
 SELECT 'dim_product' AS table_name, product_id AS id,
        CASE WHEN product_id IN (SELECT product_id FROM c_details WHERE date = DATE '{ONE_DAY}') THEN category ELSE 'stale' END AS attribute
 FROM m_dim_product
@@ -321,13 +312,13 @@ UNION ALL
 SELECT 'dim_store', CAST(store_id AS BIGINT),
        CASE WHEN store_id IN (SELECT store_id FROM c_enriched WHERE date = DATE '{ONE_DAY}') THEN town ELSE 'stale' END
 FROM m_dim_store"""),
-    "aggregate_full": _monthly_model(totals(_SERVING), extra=_SERVED),
-    "aggregate_daily": _monthly_model(totals(_DAILY, "date"), extra=_SERVED),
-    "aggregate_monthly": _monthly_model(totals(_MONTHS, "month_year"), extra=_SERVED),
-    "replace_day": _monthly_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}' OR payment_method = 'Card'"),
-    "replace_empty_day": _monthly_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}'"),
+    "aggregate_full": with_model(totals(_SERVING), extra=_SERVED),
+    "aggregate_daily": with_model(totals(_DAILY, "date"), extra=_SERVED),
+    "aggregate_monthly": with_model(totals(_MONTHS, "month_year"), extra=_SERVED),
+    "replace_day": with_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}' OR payment_method = 'Card'"),
+    "replace_empty_day": with_model(f"SELECT * FROM m_fact WHERE date <> DATE '{ONE_DAY}'"),
     "replace_month": with_model(g_store_perf("m_fact_rm"), extra=_FACT_REPLACED_MONTH),
-    "append_day": _monthly_model("SELECT * FROM m_fact"),
+    "append_day": with_model("SELECT * FROM m_fact"),
     "snapshot_as_of_version": with_model("SELECT * FROM t_old", extra=_T_OLD_PRODUCT),
     "snapshot_as_of_time": with_model("SELECT * FROM t_old", extra=_T_OLD_PRODUCT),
     "snapshot_latest": SQL["upsert_dim_product"],

@@ -87,7 +87,7 @@ def test_each_table_is_deduplicated_once_per_job(spark, tmp_lake, monkeypatch):
     from shelfline.plans import jobs
     from shelfline.plans.catalog import _sources
     from tests.conftest import SF001
-    jobs.ingest_full(spark, tmp_lake, _sources(SF001, monthly=True), version="2025-07")
+    jobs.ingest_full(spark, tmp_lake, _sources(SF001), version="2025-07")
     seen = []
     dedup = jobs.op.dedup_by_key
     monkeypatch.setattr(jobs.op, "dedup_by_key", lambda df, key: seen.append(key) or dedup(df, key))
