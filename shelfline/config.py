@@ -17,6 +17,7 @@ METHOD_DESCRIPTION_PREFIX = "Payment via "
 # Layer and table names of the lake layout: (step, layer)
 RAW_TX = ("raw", "transactions")
 RAW_REF = ("raw", "reference")
+RAW_KEYS = ("raw", "keys")
 CLEANED_TX = ("cleaned", "transactions")
 CURATED = ("curated", "analytics")
 SERVING = ("serving", "aggregated")

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from .. import config
 from .. import operators as op
-from ..config import CLEANED_TX, CURATED, RAW_REF, RAW_TX, SERVING
+from ..config import CLEANED_TX, CURATED, RAW_KEYS, RAW_REF, RAW_TX, SERVING
 from ..functions.dates import day_window, in_window, month_range, sale_date, to_day
 from ..sinks import parquet
+from ..sinks.keyindex import KeyIndex
 from ..session import stored
 from ..sinks.tables import FormatTable, SnapshotTable, open_table
 from ..sources.files import read_parquet, read_partition, read_version, read_version_as_of
@@ -41,14 +42,18 @@ class Sources:
 
 
 # ---------------------------------------------------------------- ingestion --
-def _ingest(spark, lake: Lake, src: Sources, sales: DataFrame, write, *, narrow: bool = False) -> None:
+def _ingest(spark, lake: Lake, src: Sources, sales: DataFrame, write, *, narrow: bool = False,
+            index: KeyIndex | None = None) -> None:
     """Lines and payments of ``sales`` (J1, J2), then the sales themselves, so
     that whoever sees a sale in raw sees its lines and payments.
 
     The sales are read from the source once and kept in the scratch folder.
     With ``narrow`` their sale_id range is pushed to the reads of the children
-    (the join still decides)."""
+    (the join still decides).  With ``index`` sales that came on another day
+    before are left out, lines and payments with them."""
     own = stored(sales.withColumn("date", sale_date("timestamp")), "ingest-sales")
+    if index is not None:
+        own = stored(index.unseen(own), "ingest-unseen")
     keys = own.select("sale_id", "date")
     span = own.agg(F.min("sale_id"), F.max("sale_id")).first() if narrow else None
     for t in ("sales_details", "payments"):
@@ -59,6 +64,13 @@ def _ingest(spark, lake: Lake, src: Sources, sales: DataFrame, write, *, narrow:
             child = child.where((F.col("sale_id") >= lo) & (F.col("sale_id") <= hi))
         write(child.join(keys, "sale_id"), lake.table(RAW_TX, t))
     write(own, lake.table(RAW_TX, "sales"))
+    if index is not None:
+        index.add(own)
+
+
+def sale_index(spark: SparkSession, lake: Lake) -> KeyIndex:
+    """The lake's index of ingested sales (integer sale_id)."""
+    return KeyIndex(spark, lake.table(RAW_KEYS, "sales"), "sale_id")
 
 
 def ingest_full(spark: SparkSession, lake: Lake, src: Sources, *, version: str) -> None:
@@ -70,11 +82,15 @@ def ingest_full(spark: SparkSession, lake: Lake, src: Sources, *, version: str)
     parquet.overwrite(src.stores(spark), lake.table(RAW_REF, "stores", version))
 
 
-def ingest_daily(spark: SparkSession, lake: Lake, src: Sources, *, day, mode: str = "replace") -> None:
+def ingest_daily(spark: SparkSession, lake: Lake, src: Sources, *, day, mode: str = "replace",
+                 unique: bool = False) -> None:
     """L2: the sales of ``day`` (half-open [day, day+1), pushed to the source)
     and their lines and payments; no other day of raw is read or written.
     ``replace`` (default) makes reruns safe, and a day without rows at the source
-    is cleared; ``append`` adds rows like the original (rely on dedup downstream)."""
+    is cleared; ``append`` adds rows like the original (rely on dedup downstream).
+    With ``unique`` a sale that the lake's sale index has from another day is a
+    replay and is left out; the day's sales are then added to the index (for a
+    lake with history, first add that: ``sale_index(spark, lake).add(sales)``)."""
     lo, hi = day_window(day)
     s = src.transactions(spark, "sales")
     if mode == "replace":
@@ -83,7 +99,8 @@ def ingest_daily(spark: SparkSession, lake: Lake, src: Sources, *, day, mode: st
         write = lambda df, p: parquet.write_partitioned(df, p, "date", mode="append")
     else:
         raise ValueError("mode must be 'replace' or 'append'")
-    _ingest(spark, lake, src, s.where(in_window(s, "timestamp", lo, hi)), write, narrow=True)
+    _ingest(spark, lake, src, s.where(in_window(s, "timestamp", lo, hi)), write, narrow=True,
+            index=sale_index(spark, lake) if unique else None)
 
 
 def ingest_reference(spark: SparkSession, lake: Lake, src: Sources, *, version: str) -> DataFrame:

@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from scripts.oracle_check import TABLES, digest
-from shelfline.plans.catalog import QUERIES as CATALOG
-from shelfline.plans.sql_oracle import SQL as CATALOG_SQL
+from shelfline.plans import catalog, catalog_storage, sql_oracle
 from tests.conftest import SF001
 
+CATALOG = catalog.QUERIES | catalog_storage.QUERIES
+CATALOG_SQL = sql_oracle.SQL | catalog_storage.SQL
 NAMES = sorted(CATALOG)
 
 
