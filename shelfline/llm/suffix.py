@@ -28,6 +28,13 @@ from shelfline.llm.common import chunks, runs, stored, task_count, unused, utf8
 
 LENGTH = 400
 GRAM = 128
+#: Passages that stand in another document, as the pipeline removes them: found by
+#: strings of so many bytes, and of so many words at least.
+PASSAGE_LENGTH = 200
+PASSAGE_GRAM = 64
+PASSAGE_WORDS = 50
+#: Parts into which the occurrences of one segment are put together.
+PARTS = 1024
 #: Distinct segments of one anchor in a construction; an anchor with more is cut
 #: anew at anchors of longer k-grams.
 CROWDED = 4096
@@ -89,7 +96,7 @@ class Anchors:
         return np.searchsorted(starts, first, "right") - 1, first, last, anchor, h[anchor]
 
 
-ANCHOR_ROWS = "h long, segment long, id long, mark long, first long, last long, anchor long, copies int"
+ANCHOR_ROWS = "h long, segment long, id long, mark long, first long, last long, anchor long, copies int, many boolean"
 NO_ID = -(1 << 63)
 
 
@@ -134,14 +141,17 @@ def _anchor_rows(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h.view(np.int64)), pa.array(segment.view(np.int64)), pa.array(ids[doc]), pa.array(marks[doc]),
                      pa.array(first + move), pa.array(last + move), pa.array(anchor + move),
-                     pa.array(np.ones(len(doc), np.int32))], names)
+                     pa.array(np.ones(len(doc), np.int32)), pa.array(np.zeros(len(doc), bool))], names)
 
     return keyed.mapInArrow(run, ANCHOR_ROWS)
 
 
-def repeated_windows(segments: list[bytes], anchors: list[int], length: int) -> np.ndarray:
+def repeated_windows(segments: list[bytes], anchors: list[int], length: int,
+                     own: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Which windows of the segments occur in another one, by column-wise
     construction.  Segments are aligned at their anchors (offsets in them).
+    ``own`` gives the least and the largest number of the documents that a
+    segment stands for; windows then count that stand in two documents.
 
     Row r, column c of the result stands for the window of segment r that
     begins c bytes after the leftmost column.  Each round takes the next column
@@ -184,17 +194,21 @@ def repeated_windows(segments: list[bytes], anchors: list[int], length: int) ->
                 mins = np.minimum(mins[:-step], mins[step:])
             grown[same] = np.minimum(least + 1, length)
         order, common = order[move], grown
-        if c < columns:
+        if c < columns and own is None:
             hit = np.flatnonzero(common >= length)
             found[c, order[hit]] = True
             found[c, order[hit - 1]] = True
+        elif c < columns:
+            equal = np.flatnonzero(common < length)  # equal windows begin here
+            differ = np.minimum.reduceat(own[0][order], equal) != np.maximum.reduceat(own[1][order], equal)
+            found[c, order] = np.repeat(differ, np.diff(np.append(equal, k))) & (table[c + length - 1, order] != end)
     return found
 
 
 SPAN_ROWS = "id long, mark long, first long, after long"
 
 
-def _construct(segments: DataFrame, length: int) -> DataFrame:
+def _construct(segments: DataFrame, length: int, across: bool) -> DataFrame:
     """Repeated ranges of segments, from rows sorted by h.  A task holds the
     segments of one construction: whole anchors, of CROWDED segments at most
     each, until they are BATCH."""
@@ -205,7 +219,12 @@ def _construct(segments: DataFrame, length: int) -> DataFrame:
             if len(held) < 2:
                 return
             anchors = [r[5] for r in held]
-            found = repeated_windows([r[6] for r in held], anchors, length)
+            own = None
+            if across:  # a segment that stands for several documents begins below all numbers
+                numbers: dict[tuple, int] = {}
+                high = np.array([numbers.setdefault((r[2], r[3]), len(numbers)) for r in held])
+                own = np.where([r[1] for r in held], high, -1), high
+            found = repeated_windows([r[6] for r in held], anchors, length, own)
             left = max(anchors)
             out: tuple[list, ...] = ([], [], [], [])
             for r in np.flatnonzero(found.any(0)).tolist():
@@ -273,17 +292,17 @@ def _finer_rows(segments: DataFrame, length: int, gram: int) -> DataFrame:
                     move = r["first"] - int(starts[which])
                     cut = data[first : last + length]
                     row = (h - (1 << 64) if h >> 63 else h, xxhash.xxh3_64_intdigest(cut) - (1 << 63), r["id"], r["mark"],
-                           first + move, last + move, anchor + move, 1 if r["once"] else 2, cut)
+                           first + move, last + move, anchor + move, 1 if r["once"] else 2, not r["once"], cut)
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
                 if out[0]:
-                    kinds = (*[pa.int64()] * 7, pa.int32(), pa.binary())
+                    kinds = (*[pa.int64()] * 7, pa.int32(), pa.bool_(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
     return segments.select("once", "id", "mark", "first", "bytes").mapInArrow(run, ANCHOR_ROWS + ", bytes binary")
 
 
-def _repeats(rows: DataFrame, cut: Callable[[DataFrame], DataFrame], length: int, gram: int, crowded: int) -> DataFrame:
+def _repeats(rows: DataFrame, cut: Callable[[DataFrame], DataFrame], length: int, gram: int, crowded: int, across: bool) -> DataFrame:
     """Repeated spans among anchor rows.
 
     1. Anchors whose k-gram is unique go (counted with partial sums).  2. Segments
@@ -293,21 +312,45 @@ def _repeats(rows: DataFrame, cut: Callable[[DataFrame], DataFrame], length: int
     would be more than ``crowded`` segments for an anchor, they are cut at anchors
     of longer k-grams, which fewer of them share; a k-gram of the full length is
     shared by equal windows only, so this ends.
+
+    With ``across`` a segment is settled only if it occurs in two documents; the
+    others go through the construction with all their occurrences, of which one
+    document has no more than it has bytes.
+
+    Occurrences of a segment are put together in up to PARTS rows before they are
+    looked up, so a segment that every document holds is a few rows in the join;
+    the rows are dealt again by part before they are taken apart.
     """
+    tasks = task_count(rows.sparkSession)
     often = stored(rows.groupBy("h").agg(F.sum("copies").alias("n")).where("n > 1").select("h"), "anchors")
     # dealt by document again: rows of a frequent anchor must not lie together, or later shuffles cannot split them
-    near = stored(rows.join(often, "h").repartition(task_count(rows.sparkSession), "id", "mark"), "segments")
-    place = F.struct(*(c for c in near.columns if c not in ("h", "segment", "copies")))
-    distinct = stored(near.groupBy("h", "segment").agg(F.sum("copies").alias("n"), F.min(place).alias("place")), "distinct-segments")
-    whole = near.join(distinct.where("n > 1").select("h", "segment"), ["h", "segment"]).select(
-        "id", "mark", "first", (F.col("last") + length).alias("after"))
+    near = stored(rows.join(often, "h").repartition(tasks, "id", "mark"), "segments")
+    place = F.struct(*(c for c in near.columns if c not in ("h", "segment", "copies", "many")))
+    doc = F.struct("id", "mark")
+    distinct = stored(
+        near.groupBy("h", "segment").agg(F.sum("copies").alias("n"), F.min(place).alias("place"), F.max(doc).alias("last_doc"),
+                                         F.max("many").alias("many"))
+        .withColumn("settled", F.col("many") | (F.struct("place.id", "place.mark") != F.col("last_doc")) if across else F.col("n") > 1)
+        .drop("last_doc", "many"), "distinct-segments")
+    settled = distinct.where("settled").select("h", "segment")
+    part = F.pmod(F.xxhash64("id", "mark"), F.lit(PARTS))
+    gathered = near.groupBy("h", "segment", part.alias("part")).agg(F.collect_list(F.struct("id", "mark", "first", "last")).alias("places"))
+    whole = (gathered.join(settled, ["h", "segment"], "left_semi").repartition(tasks, "h", "segment", "part")
+             .select(F.explode("places").alias("p")).select("p.id", "p.mark", "p.first", (F.col("p.last") + length).alias("after")))
     mixed = stored(
-        distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
+        distinct.groupBy("h").agg(F.count("*").alias("kinds"), F.min("settled").alias("all_settled")).where("kinds > 1 and not all_settled")
         .select("h", (F.col("kinds") > crowded).alias("crowded")), "mixed-anchors")
-    wanted = distinct.join(mixed, "h").select("h", (F.col("n") == 1).alias("once"), "crowded", "place.*")
+    wanted = distinct.join(mixed, "h")
+    if across:
+        loose = near.join(wanted.where("not settled").select("h", "segment", "crowded"), ["h", "segment"]).select(
+            "h", F.lit(True).alias("once"), "crowded", place.alias("place"))
+        wanted = wanted.where("settled").select("h", F.lit(False).alias("once"), "crowded", "place").unionByName(loose)
+    else:
+        wanted = wanted.select("h", (~F.col("settled")).alias("once"), "crowded", "place")
+    wanted = wanted.select("h", "once", "crowded", "place.*")
     calm = cut(wanted.where("not crowded").drop("crowded"))
-    dealt = calm.repartition(task_count(rows.sparkSession), "h").sortWithinPartitions("h", "id", "mark", "first")
-    found = whole.union(_construct(dealt, length))
+    dealt = calm.repartition(tasks, "h").sortWithinPartitions("h", "id", "mark", "first")
+    found = whole.union(_construct(dealt, length, across))
     if mixed.where("crowded").isEmpty():
         return found
     longer = length - (length - gram) // 4  # three quarters of the way to the full length
@@ -315,15 +358,16 @@ def _repeats(rows: DataFrame, cut: Callable[[DataFrame], DataFrame], length: int
     finer = stored(_finer_rows(packed, length, longer if longer < length - 2 else length), "finer-segments")
     carried = lambda part: part.select(
         "h", "once", "id", "mark", "first", (F.col("anchor") - F.col("first")).alias("offset"), "bytes")
-    return found.union(_repeats(finer, carried, length, longer if longer < length - 2 else length, crowded))
+    return found.union(_repeats(finer, carried, length, longer if longer < length - 2 else length, crowded, across))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED, across: bool = False) -> DataFrame:
     """id, mark and spans (first, after, maybe overlapping) of the bytes that are
-    covered by a ``length``-byte string which also starts elsewhere.  A document
-    without such bytes has no row."""
+    covered by a ``length``-byte string which also starts elsewhere, or with
+    ``across`` in another document (rows alike in id and text are one document
+    there).  A document without such bytes has no row."""
     keyed = _keyed(docs)
-    found = _repeats(_anchor_rows(keyed, length, gram), lambda part: _cut_segments(keyed, part, length), length, gram, crowded)
+    found = _repeats(_anchor_rows(keyed, length, gram), lambda part: _cut_segments(keyed, part, length), length, gram, crowded, across)
     return found.distinct().groupBy("id", "mark").agg(F.array_sort(F.collect_list(F.struct("first", "after"))).alias("spans"))
 
 
@@ -367,10 +411,20 @@ def suffix_report(docs: DataFrame) -> DataFrame:
     return _keyed(docs).join(spans, ["id", "mark"], "left").select("id", "text", "spans").mapInArrow(run, REPORT)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def long_runs(text: bytes, cut: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
+    """The runs that hold ``min_words`` words (between white space) at least."""
+    return [(a, b) for a, b in cut if len(text[a:b].split()) >= min_words]
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, min_words: int = 0, across: bool = False) -> DataFrame:
     """The documents, all their columns, without repeated bytes in text (a code
-    point that is cut goes whole); n_chars, where there is one, follows.  Null
-    texts stay null."""
+    point that is cut goes whole); n_chars, where there is one, follows.
+
+    Bytes are repeated that a string of ``length`` bytes covers which also starts
+    elsewhere, with ``across`` in another document; runs of them with fewer than
+    ``min_words`` words stay.  Every copy goes.  Null texts stay null, empty ones
+    empty; null ids and repeated rows are documents like others, but rows alike in
+    id and text are one document to ``across``; an empty table gives no row."""
     text_at = docs.columns.index("text")
     chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
@@ -378,8 +432,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for batch in batches:
             old = batch.column(text_at).to_pylist()
             spans = batch.column(batch.num_columns - 1).to_pylist()
-            new = [t if t is None or not s else kept_bytes(t.encode("utf-8"), removed_runs(s)).decode("utf-8", "ignore")
-                   for t, s in zip(old, spans, strict=True)]
+            new = []
+            for t, s in zip(old, spans, strict=True):
+                if t is not None and s:
+                    raw = t.encode("utf-8")
+                    t = kept_bytes(raw, long_runs(raw, removed_runs(s), min_words)).decode("utf-8", "ignore")
+                new.append(t)
             columns = batch.columns[:-1]
             columns[text_at] = pa.array(new, pa.string())
             if chars_at is not None:
@@ -389,7 +447,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
     key, text_hash, own_key, own_hash, cut = unused(docs, "row_key", "row_hash", "span_key", "span_hash", "spans")
-    spans = stored(repeated_spans(docs), "repeated-spans").select(
+    spans = stored(repeated_spans(docs, length, gram, across=across), "repeated-spans").select(
         F.col("id").alias(own_key), F.col("mark").alias(own_hash), F.col("spans").alias(cut))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), text_hash: F.xxhash64(text)})

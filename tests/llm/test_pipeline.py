@@ -21,7 +21,8 @@ def test_run_equals_brute_force(spark):
     roots = brute_roots([brute_print(r.text) for r in rows])
     rows = [r for i, r in enumerate(rows) if roots[i] == i]
     raw = [(r.text or "").encode() for r in rows]
-    texts = [suffix.kept_bytes(t, cut).decode("utf-8", "ignore") for t, cut in zip(raw, brute_repeats(raw, 400), strict=True)]
+    texts = [suffix.kept_bytes(t, [(a, b) for a, b in cut if len(t[a:b].split()) >= 50]).decode("utf-8", "ignore")
+             for t, cut in zip(raw, brute_repeats(raw, 200, across=True), strict=True)]
     hits = brute_hits(texts, bench)
     left = [(r.doc_id, t, r.lang, r.source, len(t)) for r, t, h in zip(rows, texts, hits, strict=True) if not h[4]]
     assert 0 < len(left) < len(rows) <= docs.count()

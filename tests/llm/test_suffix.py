@@ -8,9 +8,10 @@ from shelfline.llm import suffix as X
 from tests.llm.helpers import awkward, docs, empty
 
 
-def brute(texts, length):
+def brute(texts, length, across=False):
     """Runs of covered bytes of each text."""
-    seen = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    parts = [[t[i:i + length] for i in range(len(t) - length + 1)] for t in texts]
+    seen = Counter(x for own in parts for x in (set(own) if across else own))
     out = []
     for t in texts:
         cover = np.zeros(len(t), bool)
@@ -29,8 +30,8 @@ def corpus(seed, alphabet, n=40):
     return [*texts, texts[0], texts[1][1:], "a" * 100, "ab" * 60, "", shared[0]]
 
 
-def found(df, length, gram, crowded=X.CROWDED):
-    spans = X.repeated_spans(df, length, gram, crowded).collect()
+def found(df, length, gram, crowded=X.CROWDED, across=False):
+    spans = X.repeated_spans(df, length, gram, crowded, across).collect()
     return {r.id: X.removed_runs([s.asDict() for s in r.spans]) for r in spans}
 
 
@@ -43,6 +44,30 @@ def test_spans_equal_brute_force(spark):
             assert [own.get(i, []) for i in range(len(texts))] == expected, (seed, crowded)
 
 
+def test_spans_across_documents_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(X, "PARTS", 3)
+    for seed, alphabet, length in ((1, "abcdefghij", 24), (3, "ab", 24), (6, "abc", 15)):
+        texts = corpus(seed, alphabet)
+        texts += [texts[5] * 3, "xyz" * 50, ("q" * 9 + "r" * 20) * 4]  # repeats inside one document only
+        expected = brute([t.encode() for t in texts], length, across=True)
+        assert expected != brute([t.encode() for t in texts], length)
+        for crowded in (X.CROWDED, 1):
+            own = found(docs(spark, texts), length, 8, crowded, across=True)
+            assert [own.get(i, []) for i in range(len(texts))] == expected, (seed, crowded)
+
+
+def test_passages_go_and_short_or_own_repeats_stay(spark):
+    rng = random.Random(11)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(n))
+    passage, short, own = words(55), words(44), words(70)
+    texts = [words(30) + " " + passage + " " + words(20), passage + " " + words(9), words(80), short + " " + words(9),
+             words(12) + " " + short, own + " and " + own, None, ""]
+    out = {r.doc_id: r.text for r in X.remove_repeats(
+        docs(spark, texts), X.PASSAGE_LENGTH, X.PASSAGE_GRAM, X.PASSAGE_WORDS, across=True).collect()}
+    assert passage not in out[0] and passage not in out[1] and len(out[0].split()) in (49, 50, 51)
+    assert all(out[i] == texts[i] for i in range(2, 8))
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(X, "_PIECE", 64)
     texts = corpus(5, "abcdef")
