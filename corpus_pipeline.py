@@ -22,8 +22,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of 400-byte strings that occur twice."""
-    return suffix.remove_repeats(docs)
+    """Texts without passages of 50 words or more that another document has too; the
+    documents all stay, some with a shorter text.  Rows as in ``suffix.remove_repeats``."""
+    return suffix.remove_repeats(docs, suffix.PASSAGE_LENGTH, suffix.PASSAGE_GRAM, suffix.PASSAGE_WORDS, across=True)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
