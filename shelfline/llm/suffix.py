@@ -396,34 +396,48 @@ def long_runs(text: bytes, cut: list[tuple[int, int]], min_words: int) -> list[t
     return [(a, b) for a, b in cut if len(text[a:b].split()) >= min_words]
 
 
-REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, passage_words long"
+REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def suffix_report(docs: DataFrame) -> DataFrame:
-    """op3: what is left of every document without its repeated bytes, and
-    passage_words, the words in passages of PASSAGE_WORDS words or more that another
-    document has too (a second construction, at PASSAGE_LENGTH bytes).
+    """op3: what is left of every document without its repeated bytes.
 
-    Null text is empty; null ids and repeated rows are documents like others, but rows
-    alike in id and text are one document to passage_words; an empty table gives no row."""
+    Null text is empty; null ids and repeated rows are documents like others; an empty
+    table gives no row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, spans, shared in zip(batch.column("id").to_pylist(), utf8(batch, "text"), batch.column("spans").to_pylist(),
-                                                batch.column("shared").to_pylist(), strict=True):
+            for doc, text, spans in zip(batch.column("id").to_pylist(), utf8(batch, "text"), batch.column("spans").to_pylist(), strict=True):
                 cut = removed_runs(spans)
                 kept = kept_bytes(text, cut)
-                passages = long_runs(text, removed_runs(shared), PASSAGE_WORDS)
-                rows.append((None if doc == NO_ID else doc, len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(),
-                             sum(len(text[a:b].split()) for a, b in passages)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
-            columns = list(zip(*rows, strict=True)) or [()] * 6
+                rows.append((None if doc == NO_ID else doc, len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in REPORT.split(", ")])
 
-    shared = stored(repeated_spans(docs, PASSAGE_LENGTH, PASSAGE_GRAM, across=True).withColumnRenamed("spans", "shared"), "shared-passages")
     spans = stored(repeated_spans(docs), "repeated-spans")
-    both = spans.join(shared, ["id", "mark"], "full")
-    return _keyed(docs).join(both, ["id", "mark"], "left").select("id", "text", "spans", "shared").mapInArrow(run, REPORT)
+    return _keyed(docs).join(spans, ["id", "mark"], "left").select("id", "text", "spans").mapInArrow(run, REPORT)
+
+
+def passage_report(docs: DataFrame) -> DataFrame:
+    """doc_id and passage_words of every document: its words in passages of PASSAGE_WORDS
+    words or more that another document has too, by a construction at PASSAGE_LENGTH
+    bytes.  Nulls, repeated rows and empty tables as in ``remove_repeats``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [None if doc == NO_ID else doc for doc in batch.column("id").to_pylist()]
+            words = [sum(len(text[a:b].split()) for a, b in long_runs(text, removed_runs(spans), PASSAGE_WORDS))
+                     for text, spans in zip(utf8(batch, "text"), batch.column("spans").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.int64())], ["doc_id", "passage_words"])
+
+    spans = stored(repeated_spans(docs, PASSAGE_LENGTH, PASSAGE_GRAM, across=True), "shared-passages")
+    return _keyed(docs).join(spans, ["id", "mark"], "left").select("id", "text", "spans").mapInArrow(
+        run, "doc_id long, passage_words long")
+
+
+def long_runs(text: bytes, cut: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
+    """The runs that hold ``min_words`` words (between white space) at least."""
+    return [(a, b) for a, b in cut if len(text[a:b].split()) >= min_words]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, min_words: int = 0, across: bool = False) -> DataFrame:

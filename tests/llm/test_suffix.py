@@ -64,7 +64,7 @@ def test_passages_go_and_short_or_own_repeats_stay(spark):
              words(12) + " " + short, own + " and " + own, None, ""]
     out = {r.doc_id: r.text for r in X.remove_repeats(
         docs(spark, texts), X.PASSAGE_LENGTH, X.PASSAGE_GRAM, X.PASSAGE_WORDS, across=True).collect()}
-    report = {r.doc_id: r.passage_words for r in X.suffix_report(docs(spark, texts)).collect()}
+    report = {r.doc_id: r.passage_words for r in X.passage_report(docs(spark, texts)).collect()}
     assert all((report[i] in (55, 56)) == (i < 2) and (i < 2 or report[i] == 0) for i in range(8))
     assert passage not in out[0] and passage not in out[1] and len(out[0].split()) in (49, 50, 51)
     assert all(out[i] == texts[i] for i in range(2, 8))
