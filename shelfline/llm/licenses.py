@@ -19,7 +19,7 @@ PHRASES = {
     "gpl": "general public license",
 }
 
-# Openings and short notices of common licences.
+# Sections and short notices of common licences.
 TEMPLATES = {
     "mit-notice": "released under the mit license",
     "mit-grant": (
@@ -28,6 +28,18 @@ TEMPLATES = {
         "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
         "copies of the software and to permit persons to whom the software is furnished to do so"
     ),
+    "mit-conditions": (
+        "the above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the software"
+    ),
+    "mit-warranty": (
+        "the software is provided as is without warranty of any kind express or implied including but not limited "
+        "to the warranties of merchantability fitness for a particular purpose and noninfringement in no event "
+        "shall the authors or copyright holders be liable for any claim damages or other liability whether in an "
+        "action of contract tort or otherwise arising from out of or in connection with the software or the use or "
+        "other dealings in the software"
+    ),
+    "apache-1.1": "licensed under the apache license version 1 1",
     "apache-2.0": "licensed under the apache license version 2 0",
     "apache-2.0-header": (
         "you may not use this file except in compliance with the license you may obtain a copy of the license at "
@@ -35,7 +47,11 @@ TEMPLATES = {
         "software distributed under the license is distributed on an as is basis without warranties or "
         "conditions of any kind either express or implied"
     ),
+    "gpl-2.0": "licensed under the gnu general public license version 2",
     "gpl-3.0": "licensed under the gnu general public license version 3",
+    "lgpl-2.1": "licensed under the gnu lesser general public license version 2 1",
+    "lgpl-3.0": "licensed under the gnu lesser general public license version 3",
+    "agpl-3.0": "licensed under the gnu affero general public license version 3",
     "gpl-header": (
         "this program is free software you can redistribute it and or modify it under the terms of the gnu "
         "general public license as published by the free software foundation"
@@ -44,6 +60,18 @@ TEMPLATES = {
         "redistribution and use in source and binary forms with or without modification are permitted provided "
         "that the following conditions are met"
     ),
+    "bsd-source": (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the "
+        "following disclaimer"
+    ),
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the "
+        "following disclaimer in the documentation and or other materials provided with the distribution"
+    ),
+    "bsd-names": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission"
+    ),
     "isc": (
         "permission to use copy modify and or distribute this software for any purpose with or without fee is "
         "hereby granted"
@@ -53,6 +81,24 @@ TEMPLATES = {
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
 
+# What must stand unbroken in a template's span, so that its neighbours
+# by name or version are not taken for it.
+DECISIVE = {
+    "mit-notice": "the mit license",
+    "apache-1.1": "apache license version 1 1",
+    "apache-2.0": "apache license version 2 0",
+    "apache-2.0-header": "license 2 0",
+    "gpl-2.0": "gnu general public license version 2",
+    "gpl-3.0": "gnu general public license version 3",
+    "lgpl-2.1": "gnu lesser general public license version 2 1",
+    "lgpl-3.0": "gnu lesser general public license version 3",
+    "agpl-3.0": "gnu affero general public license version 3",
+    "gpl-header": "gnu general public license",
+    "cc-by-nc-4.0": "cc by nc 4 0",
+    "cc-by-4.0": "cc by 4 0",
+    "mpl-2.0": "mozilla public license v 2 0",
+}
+
 SCAN_SCHEMA = (
     "doc_id long, n_words long, "
     "spans array<struct<label:string,kind:string,first_word:long,n_words:long,coverage:double>>"
@@ -139,7 +185,7 @@ class LicenseScanner:
     """The automaton with its vocabulary and the rules for phrases and spans."""
 
     def __init__(self, templates: dict[str, str], phrases: dict[str, str], min_match: int, max_gap: int,
-                 min_coverage: float):
+                 min_coverage: float, decisive: dict[str, str] | None = None):
         self.vocabulary: dict[bytes, int] = {}
         ids = lambda text: [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text.encode())]
         self.labels, self.phrase_labels = list(templates), list(phrases)
@@ -147,6 +193,17 @@ class LicenseScanner:
         self.sizes = [len(p) for p in parts]
         self.automaton = TemplateAutomaton(parts, [ids(p) for p in phrases.values()])
         self.min_match, self.max_gap, self.min_coverage = min_match, max_gap, min_coverage
+        self.decisive = [self._place(p, ids((decisive or {}).get(label, ""))) for label, p in zip(templates, parts, strict=True)]
+
+    @staticmethod
+    def _place(template: list[int], part: list[int]) -> tuple[int, int] | None:
+        """Where ``part`` stands last in the template; none if there is nothing to find."""
+        if not part:
+            return None
+        starts = [i for i in range(len(template) - len(part) + 1) if template[i : i + len(part)] == part]
+        if not starts:
+            raise ValueError("a decisive part must stand in its template")
+        return starts[-1], starts[-1] + len(part)
 
     def scan(self, text: bytes) -> tuple[int, list[tuple[str, str, int, int, float]]]:
         """Number of words, and (label, kind, first word, words, coverage) by first word."""
@@ -187,36 +244,42 @@ class LicenseScanner:
 
     def _match(self, end: int, state: int, n: int, spans: list, chains: dict) -> None:
         """A match that cannot grow to the right joins its template's chain, or ends it and begins one.
-        A chain is [first word, end, end in template, covered template words]."""
+        A chain is [first word, end, end in template, covered template words, has the decisive part]."""
         for t, t_end in self.automaton.ends[state]:
             chain = chains.get(t)
+            part = self.decisive[t]
+            has = part is None or (t_end - n <= part[0] and part[1] <= t_end)
             if chain and t_end > chain[2] and end - n - chain[1] <= self.max_gap:
                 chain[3] += min(n, t_end - chain[2])
-                chain[1], chain[2] = end, t_end
+                chain[1], chain[2], chain[4] = end, t_end, chain[4] or has
             elif chain and end == chain[1]:
                 continue
             else:
                 if chain:
                     self._close(t, chain, spans)
-                chains[t] = [end - n, end, t_end, n]
+                chains[t] = [end - n, end, t_end, n, has]
 
     def _close(self, t: int, chain: list[int], spans: list) -> None:
         coverage = min(1.0, chain[3] / self.sizes[t])
-        if coverage >= self.min_coverage:
+        if coverage >= self.min_coverage and chain[4]:
             spans.append((self.labels[t], "template", chain[0], chain[1] - chain[0], coverage))
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None,
-                 min_match: int = 3, max_gap: int = 8, min_coverage: float = 0.7) -> DataFrame:
+                 min_match: int = 3, max_gap: int = 8, min_coverage: float = 0.7,
+                 decisive: dict[str, str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, spans (phrases, and chained template
-    spans covering at least ``min_coverage`` of their template's words), in order.
+    spans covering at least ``min_coverage`` of their template's words and, where
+    ``decisive`` names one, that part of the template unbroken), in order.
 
     Null text counts as empty: no words, no spans.  A null doc_id stays null,
     repeated rows are scanned each, other columns are not read.  The templates
     are a parameter of a few thousand words and travel with the task; documents
     are read once, without a shuffle.
     """
-    scanner = LicenseScanner(templates or TEMPLATES, phrases or PHRASES, min_match, max_gap, min_coverage)
+    if templates is None:
+        templates, decisive = TEMPLATES, DECISIVE if decisive is None else decisive
+    scanner = LicenseScanner(templates, phrases or PHRASES, min_match, max_gap, min_coverage, decisive)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("label", pa.string()), ("kind", pa.string()), ("first_word", pa.int64()),

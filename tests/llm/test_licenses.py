@@ -3,7 +3,7 @@ import re
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from shelfline.llm.licenses import PHRASES, TEMPLATES, LicenseScanner, TemplateAutomaton, license_report, license_scan
+from shelfline.llm.licenses import DECISIVE, PHRASES, TEMPLATES, LicenseScanner, TemplateAutomaton, license_report, license_scan
 from tests.llm.helpers import awkward, docs, empty
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -43,7 +43,7 @@ def test_report_equals_brute_force(spark):
 
 
 def test_chained_span_over_changed_words():
-    scanner = LicenseScanner(TEMPLATES, PHRASES, 3, 8, 0.7)
+    scanner = LicenseScanner(TEMPLATES, PHRASES, 3, 8, 0.7, DECISIVE)
     words = TEMPLATES["mit-grant"].split()
     words[10:12] = ["some", "other", "thing"]
     n, spans = scanner.scan(("before it " + " ".join(words) + " after").encode())
@@ -55,3 +55,31 @@ def test_awkward_rows(spark):
     assert license_report(awkward(spark)).count() == 10
     assert license_scan(empty(spark)).count() == 0
     assert {(r.n_words, r.labels, r.score) for r in license_report(docs(spark, [None, "", " "])).collect()} == {(0, "", 0.0)}
+
+
+def test_versions_are_told_apart(spark):
+    cases = {
+        "Licensed under the GNU General Public License version 2": {"gpl-2.0"},
+        "Licensed under the GNU General Public License, version 3.": {"gpl-3.0"},
+        "licensed under the GNU Affero General Public License version 3": {"agpl-3.0"},
+        "licensed under the GNU Lesser General Public License, version 2.1": {"lgpl-2.1"},
+        "licensed under the GNU Lesser General Public License version 3": {"lgpl-3.0"},
+        "licensed under the Apache License version 1.1": {"apache-1.1"},
+        "licensed under the Apache License, Version 2.0": {"apache-2.0"},
+        "licensed under the Apache License": set(),
+        "licensed under CC BY 4.0": {"cc-by-4.0"},
+        "licensed under CC BY-NC 4.0": {"cc-by-nc-4.0"},
+        "licensed under CC BY-NC 3.0": set(),
+        TEMPLATES["gpl-header"].replace("gnu general", "gnu lesser general"): set(),
+        TEMPLATES["mpl-2.0"].replace("2 0", "1 1"): set(),
+    }
+    found = {r.doc_id: set(r.labels.split(",")) - {"", *PHRASES} for r in license_report(docs(spark, list(cases))).collect()}
+    assert found == dict(enumerate(cases.values()))
+
+
+def test_every_section_is_found_by_itself():
+    scanner = LicenseScanner(TEMPLATES, PHRASES, 3, 8, 0.7, DECISIVE)
+    assert set(DECISIVE) < set(TEMPLATES)
+    for label, text in TEMPLATES.items():
+        spans = scanner.scan(("before it " + text + " after").encode())[1]
+        assert [s[2:] for s in spans if s[0] == label] == [(2, len(text.split()), 1.0)], label
