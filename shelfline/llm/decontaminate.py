@@ -16,32 +16,36 @@ from shelfline.llm.common import broadcast_object, chunks, runs, stored, utf8, w
 WINDOW = 13
 HIT_SCHEMA = (
     "doc_id long, text_key long, n_words long, "
-    "spans array<struct<first:long,after:long>>, items array<long>"
+    "spans array<struct<first:long,after:long>>, items array<string>"
 )
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WindowIndex:
-    """Windows of benchmark items by length: word numbers as bytes to item ids,
-    and a sorted array of their hashes."""
+    """Windows of benchmark items by length: word numbers as bytes to item ids (none
+    for an item without id), and a sorted array of their hashes.  The rows of an item
+    are added one after another."""
 
     def __init__(self, size: int):
         self.size = size
         self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[int, dict[bytes, tuple[int, ...]]] = {}
+        self.windows: dict[int, dict[bytes, list[str]]] = {}
         self.hashes: dict[int, np.ndarray] = {}
         self.count = 0
 
-    def add(self, item_id: int, text: bytes) -> None:
+    def add(self, item_id: str | None, text: bytes) -> None:
         tokens = words(text)
         ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in tokens], np.int32)
         n = min(self.size, len(tokens))
         table = self.windows.setdefault(n, {}) if n else {}
         for i in range(len(ids) - n + 1 if n else 0):
             key = ids[i : i + n].tobytes()
-            if item_id not in (have := table.get(key, ())):
-                table[key] = (*have, item_id)
+            if (have := table.get(key)) is None:
+                have = table[key] = []
                 self.count += 1
+            if item_id is not None and have[-1:] != [item_id]:
+                have.append(item_id)
+                self.count += len(have) > 1
 
     def close(self) -> WindowIndex:
         for n, table in self.windows.items():
@@ -57,7 +61,7 @@ class WindowIndex:
             h ^= h >> np.uint64(29)
         return h
 
-    def scan(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], list[int]]]:
+    def scan(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
         """For each text: number of words, runs of hit words, items with an occurring window."""
         get = self.vocabulary.get
         ids: list[int] = []
@@ -72,14 +76,14 @@ class WindowIndex:
         known = np.concatenate(([0], np.cumsum(at > 0)))
         edge = np.zeros(len(at) + 1, np.int32)
         begin = np.array(starts)
-        items: list[set[int]] = [set() for _ in texts]
+        items: list[set[str]] = [set() for _ in texts]
         for n, table in self.windows.items():
             places = np.flatnonzero(known[n:] - known[:-n] == n)
             for part in np.array_split(places, len(places) // 100_000 + 1):
                 rows = at[part[:, None] + np.arange(n)]
                 for p in part[np.isin(self._hash(rows), self.hashes[n])].tolist():
                     found = table.get(at[p : p + n].tobytes())
-                    if found:
+                    if found is not None:
                         edge[p] += 1
                         edge[p + n] -= 1
                         items[int(np.searchsorted(begin, p, "right")) - 1].update(found)
@@ -94,8 +98,8 @@ class WindowIndex:
 def _indexes(benchmark: DataFrame, size: int, block: int) -> Iterator[WindowIndex]:
     """The benchmark in blocks of about ``block`` windows, read item by item."""
     index = WindowIndex(size)
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    for r in rows.where("item_id is not null and text is not null").orderBy("item_id", "text").toLocalIterator():
+    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    for r in rows.where("text is not null").orderBy("item_id", "text").toLocalIterator():
         index.add(r.item_id, r.text.encode("utf-8"))
         if index.count >= block:
             yield index.close()
@@ -114,7 +118,7 @@ def _scan(docs: DataFrame, index: WindowIndex) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array([r[0] for r in found], pa.int64()),
                  pa.array([[{"first": a, "after": b} for a, b in r[1]] for r in found], span),
-                 pa.array([r[2] for r in found], pa.list_(pa.int64()))],
+                 pa.array([r[2] for r in found], pa.list_(pa.string()))],
                 ["doc_id", "text_key", "n_words", "spans", "items"])
 
     return docs.mapInArrow(scan, HIT_SCHEMA)
@@ -131,11 +135,12 @@ def _union_length(spans: Column) -> Column:
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = 2_000_000) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, spans of hit words, items
-    (ids of items with an occurring window, ascending).
+    (ids, as strings, of items with an occurring window, ascending).
 
     A window is ``size`` consecutive words of an item; an item of fewer words,
-    but not none, is one window.  Null texts have no words; items without an id
-    or text are left out.  Repeated rows are scanned each.  Documents are read
+    but not none, is one window.  Null texts have no words.  The windows of an
+    item without id hit like others, but there is no id to name; item ids may be of
+    any type that has a string form.  Repeated rows are scanned each.  Documents are read
     once per ``block`` benchmark windows and not shuffled; what is broadcast
     never exceeds a block.  With several blocks a document's hits are merged by
     doc_id and text.
@@ -170,11 +175,11 @@ def contaminated(n_hit: Column, n_words: Column) -> Column:
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """op5: hit words and items of every document."""
-    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    """op5: hit words and items of every document; n_items and the digest are those of
+    the items with an id."""
     return benchmark_hits(docs, benchmark).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
@@ -193,6 +198,7 @@ def _without(docs: DataFrame, hits: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int = 2_000_000) -> DataFrame:
     """The documents (all their columns) that are not contaminated; the others go.
+    Null and empty texts stay, and so does everything if the benchmark has no words.
 
     Each row is judged by its own text.  A benchmark of one block is looked up
     while the documents pass, without a shuffle.  With several blocks the
@@ -226,7 +232,7 @@ WITH doc AS (
            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 item AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
 win AS (
   SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS key
   FROM (SELECT item_id, w, least(13, len(w)) AS n FROM item WHERE len(w) > 0)),
@@ -238,7 +244,7 @@ hit AS (SELECT doc_id, i, place.n, item_id FROM place JOIN win USING (key, n)),
 covered AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
 found AS (
   SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS items_sha256
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS varchar) AS id FROM hit) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS varchar) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)

@@ -26,7 +26,7 @@ def brute(texts, items):
             for k in range(len(w) - len(win) + 1):
                 if tuple(w[k:k + len(win)]) == win:
                     hit.update(range(k, k + len(win)))
-                    found |= ids
+                    found |= ids - {None}
         out.append((len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(),
                     bool(hit) and 20 * len(hit) >= len(w)))
     return out
@@ -44,7 +44,8 @@ def fixture():
 
 def test_report_equals_brute_force_in_one_and_many_blocks(spark):
     texts, items = fixture()
-    bench = spark.createDataFrame([*items, (None, "w1 w2")], "item_id long, text string")
+    items += [(None, "w1 w2"), (None, "w3 É"), (24, "w3 É")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
     for block in (10**6, 5):
         found = {r.doc_id: r for r in D.benchmark_hits(docs(spark, texts), bench, block=block).collect()}
         assert len(found) == len(texts)
@@ -83,3 +84,22 @@ def test_removal_in_many_blocks_judges_rows(spark):
     assert left == {10**6: expected, 5: expected, 1: expected}
     assert D.remove_contaminated(awkward(spark), bench, block=1).count() == D.remove_contaminated(awkward(spark), bench).count()
     assert D.remove_contaminated(awkward(spark), bench, block=1).columns == awkward(spark).columns
+
+
+def test_items_of_any_id_type(spark):
+    texts = ["a b c", "d e f", "g h"]
+    bench = spark.createDataFrame([("z-1", "b c"), ("é", "b c"), (None, "e f"), ("q", "b c"), ("q", "B, C")], "item_id string, text string")
+    rows = {r.doc_id: r for r in D.contamination_report(docs(spark, texts), bench).collect()}
+    digest = lambda ids: hashlib.sha256(",".join(ids).encode()).hexdigest()
+    assert (rows[0].n_hit, rows[0].n_items, rows[0].items_sha256) == (2, 3, digest(["q", "z-1", "é"]))
+    assert (rows[1].n_hit, rows[1].n_items, rows[1].items_sha256, rows[1].contaminated) == (2, 0, digest([]), True)
+    assert rows[2].n_hit == 0
+    kept = {r.doc_id for r in D.remove_contaminated(docs(spark, texts), bench).collect()}
+    assert kept == {2} == {r.doc_id for r in D.remove_contaminated(docs(spark, texts), bench, block=1).collect()}
+
+
+def test_one_passage_in_many_items():
+    index = D.WindowIndex(13)
+    for i in range(20_000):
+        index.add(str(i), b"the same question")
+    assert index.count == 20_000 and len(index.close().scan([b"is the same question"])[0][2]) == 20_000
