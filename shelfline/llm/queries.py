@@ -86,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op5_decontaminate": decontaminate.REPORT_SQL,
     "op9_chat_format": chat.REPORT_SQL,
+    "op10_mix_sources": mixing.REPORT_SQL,
     "op11_resample": resampling.REPORT_SQL,
     "op13_divergence": divergence.REPORT_SQL,
 }

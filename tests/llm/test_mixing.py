@@ -1,7 +1,9 @@
 import random
 import re
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline.llm import mixing as M
 from tests.llm.helpers import DOCS, awkward, empty
@@ -92,3 +94,46 @@ def test_awkward_rows(spark):
     assert M.mix_report(empty(spark)).count() == 0 and M.mixed(empty(spark)).count() == 0
     bare = spark.createDataFrame([(1, None, "en", "a", 0), (2, "", "en", None, 0)], DOCS)
     assert [(r.target, r.taken) for r in M.mix_report(bare).collect()] == [(0.0, 0), (0.0, 0)]
+
+
+def test_report_equals_its_sql(spark):
+    df, rows = fixture(spark)
+    many = df.where("doc_id = 3").crossJoin(spark.range(1300)).drop("id")  # more equal rows than a block holds
+    df = df.unionByName(many).unionByName(df.where("doc_id < 40").selectExpr("cast(null as long) doc_id", "text", "lang", "source", "n_chars"))
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    expected = con.execute(M.REPORT_SQL).to_arrow_table().to_pylist()
+    out = [r.asDict() for r in M.mix_report(df).collect()]
+    assert sorted(map(repr, (sorted(r.items()) for r in out))) == sorted(map(repr, (sorted(r.items()) for r in expected)))
+
+
+def test_mix_is_stable_for_shared_ids(spark):
+    """Two sources with texts of one size under one id, null ids, and rows that differ in another column."""
+    rows = [(i, f"{s} {i} w w", "en", s, 0) for i in range(150) for s in "ab"]
+    rows += [(None, f"n{i} w", "en", "b", 0) for i in range(100)] + [(7, "x y", "en", "b", k % 3) for k in range(6)]
+    df = spark.createDataFrame(rows, DOCS)
+    first = sorted(map(str, M.mixed(df).collect()))
+    assert first == sorted(map(str, M.mixed(df.repartition(5, "text")).collect()))
+    assert first == sorted(map(str, M.mixed(df.orderBy("n_chars", F.desc("text"))).collect()))
+    taken = {}
+    for r in M.mixed(df).collect():
+        taken[r.source] = taken.get(r.source, 0) + r.mix_words
+    target = {r.source: r.target for r in M.curriculum(df).select("source", "target").distinct().collect()}
+    assert all(abs(taken[s] - target[s]) <= 1 for s in target)
+
+
+def test_no_hot_slice_for_null_ids(spark):
+    rows = [(None if i % 2 else i, f"text {i}", "en", "a", 0) for i in range(2000)]
+    placed = M._placed(spark.createDataFrame(rows, DOCS), F.lit(""), M.WEIGHTS, M.REPEATS)
+    slices = placed.groupBy(F.col("start")).count()
+    assert slices.count() == 2000  # every text has a place of its own
+    hashed = spark.createDataFrame(rows, DOCS).select(F.substring(F.md5(F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5("text"), F.lit("0"))), 1, M.SLICE_DIGITS).alias("slice"))
+    assert hashed.groupBy("slice").count().agg(F.max("count")).first()[0] < 10
+
+
+def test_mix_of_awkward_rows(spark):
+    df = awkward(spark)
+    out = M.mixed(df)
+    assert out.columns == [*df.columns, "mix_position", "mix_words"]
+    assert sum(r.mix_words for r in out.select("mix_words").collect()) == sum(r.size for r in M.mix_report(df).collect())
