@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions.dates import sale_date, to_day
-from ..operators import asof, colocated, pruning, states
+from ..operators import asof, colocated, digests, ids, pruning, states
 from ..session import fresh_path, stored
 from ..sinks import parquet
 from ..sinks.bucketed import read_bucketed, write_bucketed
@@ -161,7 +161,26 @@ def q_ingest_replay_once(spark, sf_dir):
     return sales.unionByName(fresh).drop("timestamp")
 
 
+def q_changed_days(spark, sf_dir):
+    """Digests of all days are kept; then some sales are altered, some deleted and
+    some moved to another day.  The days concerned, and only these, are told."""
+    before = retail.sales(spark, sf_dir).withColumn("date", sale_date("timestamp"))
+    kept = stored(digests.day_digests(before), "day-digests")
+    k = F.col("sale_id")
+    after = before.where(k % 991 != 2).withColumns({
+        "total_amount": F.when(k % 997 == 1, F.col("total_amount") + 1).otherwise(F.col("total_amount")),
+        "date": F.when(k % 983 == 3, F.date_add("date", 40)).otherwise(F.col("date"))})
+    return digests.changed_days(digests.day_digests(after), kept)
+
+
+def q_dense_product_ids(spark, sf_dir):
+    """Ids of all products sold."""
+    return ids.dense_ids(retail.sales_details(spark, sf_dir), ["product_id"], "product_key")
+
+
 QUERIES: dict[str, Query] = {
+    "changed_days": q_changed_days,
+    "dense_product_ids": q_dense_product_ids,
     "bucketed_ingest_details": q_bucketed_ingest_details,
     "bucketed_ingest_payments": q_bucketed_ingest_payments,
     "bucketed_clean_sales": q_bucketed_clean_sales,
@@ -192,6 +211,15 @@ def _sums_off_ties(name: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "changed_days": sql_oracle.with_retail("""
+SELECT date, CASE WHEN date NOT IN (SELECT date FROM b) THEN 'new' WHEN date NOT IN (SELECT date FROM a) THEN 'gone'
+                  ELSE 'changed' END AS status
+FROM (SELECT date FROM (FROM b EXCEPT ALL FROM a) UNION SELECT date FROM (FROM a EXCEPT ALL FROM b))""", extra=""",
+b AS (SELECT s.*, CAST(s."timestamp" AS DATE) AS date FROM r_sales s),
+a AS (SELECT sale_id, store_id, "timestamp", CASE WHEN sale_id % 997 = 1 THEN total_amount + 1 ELSE total_amount END AS total_amount,
+             CASE WHEN sale_id % 983 = 3 THEN CAST(date + INTERVAL 40 DAY AS DATE) ELSE date END AS date FROM b WHERE sale_id % 991 <> 2)"""),
+    "dense_product_ids": sql_oracle.with_retail("""
+SELECT row_number() OVER (ORDER BY product_id) AS product_key, product_id FROM (SELECT DISTINCT product_id FROM r_sales_details)"""),
     "bucketed_ingest_details": sql_oracle.SQL["ingest_details_by_sale"],
     "bucketed_ingest_payments": sql_oracle.SQL["ingest_payments_by_sale"],
     "bucketed_clean_sales": sql_oracle.SQL["clean_sales"],

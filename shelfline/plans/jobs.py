@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from .. import config
 from .. import operators as op
 from ..config import CLEANED_TX, CURATED, RAW_KEYS, RAW_REF, RAW_TX, SERVING
 from ..functions.dates import day_window, in_window, month_range, sale_date, to_day
+from ..operators.digests import changed_days, day_digests
 from ..sinks import parquet
 from ..sinks.keyindex import KeyIndex
 from ..session import stored
@@ -169,6 +171,32 @@ def transform_daily(spark: SparkSession, lake: Lake, *, day, version: str | None
                median_method=median_method, cap=cap, day=to_day(day))
 
 
+def transform_changed(spark: SparkSession, lake: Lake, **options) -> list:
+    """L5 for the days whose raw sales, lines or payments differ from what was transformed
+    last (all days at first); returns them.  Digests by day are kept in the lake and
+    renewed last, so a failed run is simply run again.  Options as for ``transform_daily``."""
+    now = None
+    for t in TX_KEYS:
+        d = day_digests(read_parquet(spark, lake.table(RAW_TX, t))).withColumn("table_name", F.lit(t))
+        now = d if now is None else now.unionByName(d)
+    now = stored(now, "raw-digests")
+    path = lake.table(RAW_KEYS, "day_digests")
+    try:
+        kept = read_parquet(spark, path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        kept = now.where("false")
+    days = set()
+    for t in TX_KEYS:  # a row per calendar day at most
+        own = F.col("table_name") == t
+        days |= {r.date for r in changed_days(now.where(own), kept.where(own)).where("date is not null").collect()}
+    for day in sorted(days):
+        transform_daily(spark, lake, day=day, **options)
+    parquet.overwrite(now, path)
+    return sorted(days)
+
+
 # ------------------------------------------------------------------ modeling --
 def table(spark: SparkSession, lake: Lake, where: tuple[str, str], name: str) -> SnapshotTable | FormatTable:
     return open_table(spark, lake.table(where, name), lake.fmt)
