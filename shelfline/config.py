@@ -18,6 +18,7 @@ METHOD_DESCRIPTION_PREFIX = "Payment via "
 RAW_TX = ("raw", "transactions")
 RAW_REF = ("raw", "reference")
 RAW_KEYS = ("raw", "keys")
+RAW_REJECTED = ("raw", "rejected")
 CLEANED_TX = ("cleaned", "transactions")
 CURATED = ("curated", "analytics")
 SERVING = ("serving", "aggregated")

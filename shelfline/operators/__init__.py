@@ -8,6 +8,6 @@ from .aggregate import (create_daily_store_sales, create_daily_product_sales,
                         create_monthly_customer_metrics, create_store_performance_dashboard,
                         create_product_sales_trends, create_store_performance_avg_daily)
 from .merge import upsert, replace_partitions, append_rows
-from .audit import audit_counts
+from .audit import WriteAudit, audit_counts
 
 __all__ = [n for n in dir() if not n.startswith("_")]

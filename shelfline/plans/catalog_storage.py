@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config
 from .. import operators as op
 from ..functions.dates import sale_date, to_day
 from ..operators import asof, colocated, digests, ids, pruning, states
@@ -14,8 +15,10 @@ from ..sinks import parquet
 from ..sinks.bucketed import read_bucketed, write_bucketed
 from ..sinks.keyindex import KeyIndex
 from ..sources import retail
-from . import sql_oracle
-from .catalog import G4_R, Query, Retail, _round
+from ..sources.factory import make_sources
+from ..sources.layout import Lake
+from . import jobs, sql_oracle
+from .catalog import G4_R, OFF_TIES, REF_VERSION, Query, Retail, _round
 
 #: Buckets of the sale tables in these queries.
 BUCKETS = 16
@@ -24,11 +27,6 @@ VERSIONS = ("1993-01", "1995-06", "1997-10")
 REPLAY_DAY = "2002-03-01"
 
 
-#: Capped prices make sums that end in half a cent; sums of sums differ in the last bits,
-#: so both sides add this before they round to cents.
-OFF_TIES = 0.0002
-
-
 def _off_ties(df: DataFrame, column: str = "monthly_revenue") -> DataFrame:
     return df.withColumn(column, F.col(column) + OFF_TIES)
 
@@ -178,7 +176,47 @@ def q_dense_product_ids(spark, sf_dir):
     return ids.dense_ids(retail.sales_details(spark, sf_dir), ["product_id"], "product_key")
 
 
+def q_audit_of_write(spark, sf_dir):
+    """A10 while writing: the fact's audit, as metrics of its write by date."""
+    audit = op.WriteAudit()
+    parquet.write_partitioned(Retail(spark, sf_dir).fact, fresh_path(spark, "audited-fact"), "date", observe=audit)
+    return audit.frame(spark)
+
+
+def damaged_products_csv(spark, sf_dir) -> str:
+    """The products as CSV with prices in whole cents and every fifth name quoted with a comma;
+    some lines have a word as price, a field too many, a field too few or no product_id."""
+    k = F.abs("product_id")
+    name = F.when(k % 5 == 0, F.concat(F.lit('"'), "name", F.lit(', "" new"'))).otherwise(F.col("name"))
+    price = F.when(k % 11 == 2, "free").otherwise(F.round(F.col("unit_price") * 100).cast("long").cast("string"))
+    key = F.when(k % 19 != 5, F.col("product_id").cast("string")).otherwise("")
+    line = F.concat_ws(",", key, name, "description", F.when(k % 17 != 4, F.col("category")), price,
+                       F.when(k % 13 == 3, "more"))
+    path = fresh_path(spark, "damaged-csv")
+    products = retail.products(spark, sf_dir)
+    (products.select(line.alias(",".join(products.columns)))  # one column, so lines are written as they are
+     .write.option("header", True).option("sep", "\t").option("quote", "\x01").option("escape", "\x01").csv(path))
+    return path
+
+
+def q_csv_bad_lines(spark, sf_dir):
+    """R1, L1, L3 with bad lines: the monthly reference job over a damaged file; kept and
+    rejected rows as they were published."""
+    stores = retail.stores(spark, sf_dir)
+    stores_path, lake = fresh_path(spark, "stores-csv"), Lake(fresh_path(spark, "lake-checked"))
+    stores.write.option("header", True).csv(stores_path)
+    schema = retail.products(spark, sf_dir).schema
+    src = make_sources(retail.TestTableSource(sf_dir), damaged_products_csv(spark, sf_dir), stores_path,
+                       products_schema=schema, stores_schema=stores.schema, checked=True)
+    jobs.run("ingestion", "monthly", spark, lake, src=src, version=REF_VERSION)
+    kept = spark.read.parquet(lake.table(config.RAW_REF, "products", REF_VERSION))
+    rejected = spark.read.parquet(lake.table(config.RAW_REJECTED, "products", REF_VERSION))
+    return kept.unionByName(rejected, allowMissingColumns=True)
+
+
 QUERIES: dict[str, Query] = {
+    "audit_of_write": q_audit_of_write,
+    "csv_bad_lines": q_csv_bad_lines,
     "changed_days": q_changed_days,
     "dense_product_ids": q_dense_product_ids,
     "bucketed_ingest_details": q_bucketed_ingest_details,
@@ -211,6 +249,27 @@ def _sums_off_ties(name: str) -> str:
 
 
 SQL: dict[str, str] = {
+    "audit_of_write": sql_oracle.SQL["audit_counts"],
+    "csv_bad_lines": sql_oracle.with_retail("""
+SELECT CASE WHEN reason IS NULL THEN product_id END AS product_id,
+       CASE WHEN reason IS NULL THEN CASE WHEN k % 5 = 0 THEN concat(name, ', " new') ELSE name END END AS name,
+       CASE WHEN reason IS NULL THEN description END AS description, CASE WHEN reason IS NULL THEN category END AS category,
+       CASE WHEN reason IS NULL THEN round(unit_price * 100) END AS unit_price,
+       CASE WHEN reason = 'no product_id' THEN json_fields WHEN reason IS NOT NULL THEN line END AS line, reason
+FROM (SELECT *, CASE WHEN k % 17 = 4 AND k % 13 <> 3 THEN 'wrong number of fields'
+                     WHEN k % 17 = 4 AND k % 13 = 3 THEN 'unit_price: not double'
+                     WHEN k % 11 = 2 THEN 'unit_price: not double'
+                     WHEN k % 13 = 3 THEN 'wrong number of fields'
+                     WHEN k % 19 = 5 THEN 'no product_id' END AS reason,
+             concat_ws(',', key, quoted, description, CASE WHEN k % 17 <> 4 THEN category END, price,
+                       CASE WHEN k % 13 = 3 THEN 'more' END) AS line,
+             concat('{"name":', to_json(CASE WHEN k % 5 = 0 THEN concat(name, ', " new') ELSE name END), ',"description":', to_json(description),
+                    ',"category":', to_json(category), ',"unit_price":', price, '.0}') AS json_fields
+      FROM (SELECT *, abs(product_id) AS k,
+                   CASE WHEN abs(product_id) % 19 <> 5 THEN CAST(product_id AS VARCHAR) ELSE '' END AS key,
+                   CASE WHEN abs(product_id) % 5 = 0 THEN concat('"', name, ', "" new"') ELSE name END AS quoted,
+                   CASE WHEN abs(product_id) % 11 = 2 THEN 'free' ELSE CAST(CAST(round(unit_price * 100) AS BIGINT) AS VARCHAR) END AS price
+            FROM r_products))"""),
     "changed_days": sql_oracle.with_retail("""
 SELECT date, CASE WHEN date NOT IN (SELECT date FROM b) THEN 'new' WHEN date NOT IN (SELECT date FROM a) THEN 'gone'
                   ELSE 'changed' END AS status

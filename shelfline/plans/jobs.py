@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 
 from .. import config
 from .. import operators as op
-from ..config import CLEANED_TX, CURATED, RAW_KEYS, RAW_REF, RAW_TX, SERVING
+from ..config import CLEANED_TX, CURATED, RAW_KEYS, RAW_REF, RAW_REJECTED, RAW_TX, SERVING
 from ..functions.dates import day_window, in_window, month_range, sale_date, to_day
 from ..operators.digests import changed_days, day_digests
 from ..sinks import parquet
 from ..sinks.keyindex import KeyIndex
 from ..session import stored
 from ..sinks.tables import FormatTable, SnapshotTable, open_table
-from ..sources.files import read_parquet, read_partition, read_version, read_version_as_of
+from ..sources.files import CheckedCsv, read_parquet, read_partition, read_version, read_version_as_of
 from ..sources.layout import Lake
 
 TX_KEYS = {"sales": "sale_id", "sales_details": "detail_id", "payments": "payment_id"}
@@ -37,10 +37,11 @@ MONTHLY_AGGS = ("monthly_customer_metrics", "store_performance")
 class Sources:
     """Where the jobs read from.  ``transactions(spark, table)`` returns
     sales / sales_details / payments (a JDBC source, or any DataFrame
-    provider); ``products`` and ``stores`` return the reference tables."""
+    provider); ``products`` and ``stores`` return the reference tables, as a
+    DataFrame or, with the lines that did not parse, as a ``CheckedCsv``."""
     transactions: Callable[[SparkSession, str], DataFrame]
-    products: Callable[[SparkSession], DataFrame]
-    stores: Callable[[SparkSession], DataFrame]
+    products: Callable[[SparkSession], DataFrame | CheckedCsv]
+    stores: Callable[[SparkSession], DataFrame | CheckedCsv]
 
 
 # ---------------------------------------------------------------- ingestion --
@@ -75,13 +76,22 @@ def sale_index(spark: SparkSession, lake: Lake) -> KeyIndex:
     return KeyIndex(spark, lake.table(RAW_KEYS, "sales"), "sale_id")
 
 
+def _kept(reference: DataFrame | CheckedCsv, lake: Lake, name: str, version: str) -> DataFrame:
+    """The rows to publish.  The rejected ones of a checked file are written beside them
+    first (replaced by a rerun), so whoever sees the snapshot finds them."""
+    if isinstance(reference, DataFrame):
+        return reference
+    parquet.overwrite(reference.rejected, lake.table(RAW_REJECTED, name, version))
+    return reference.kept
+
+
 def ingest_full(spark: SparkSession, lake: Lake, src: Sources, *, version: str) -> None:
     """L1: whole transactional tables -> raw, partitioned by sale date;
     reference tables -> snapshot ``version`` (overwritten)."""
     _ingest(spark, lake, src, src.transactions(spark, "sales"),
             lambda df, p: parquet.write_partitioned(df, p, "date"))
-    parquet.overwrite(src.products(spark), lake.table(RAW_REF, "products", version))
-    parquet.overwrite(src.stores(spark), lake.table(RAW_REF, "stores", version))
+    for name, read in (("products", src.products), ("stores", src.stores)):
+        parquet.overwrite(_kept(read(spark), lake, name, version), lake.table(RAW_REF, name, version))
 
 
 def ingest_daily(spark: SparkSession, lake: Lake, src: Sources, *, day, mode: str = "replace",
@@ -106,14 +116,16 @@ def ingest_daily(spark: SparkSession, lake: Lake, src: Sources, *, day, mode: st
 
 
 def ingest_reference(spark: SparkSession, lake: Lake, src: Sources, *, version: str) -> DataFrame:
-    """L3: write-once reference snapshot ``version``; returns the row counts."""
+    """L3: write-once reference snapshot ``version``; returns the row counts, metrics
+    of the writes (A10)."""
     out = []
     for name, read in (("products", src.products), ("stores", src.stores)):
-        p = lake.table(RAW_REF, name, version)
-        parquet.write_once(read(spark), p)
-        out.append(read_parquet(spark, p).agg(F.count(F.lit(1)).alias("row_count"))
-                   .select(F.lit(name).alias("table_name"), "row_count"))
-    return out[0].unionByName(out[1])
+        audit, path = op.WriteAudit(None), lake.table(RAW_REF, name, version)
+        if parquet.has_files(spark, path):  # before rejected rows are replaced
+            raise FileExistsError(f"{path} is written once")
+        parquet.write_once(_kept(read(spark), lake, name, version), path, audit)
+        out.append((name, audit.values["row_count"]))
+    return spark.createDataFrame(out, "table_name string, row_count long")
 
 
 # ----------------------------------------------------------- transformation --
@@ -215,7 +227,8 @@ def model_full(spark: SparkSession, lake: Lake) -> None:
 
 def model_daily(spark: SparkSession, lake: Lake, *, day, fact_mode: str = "replace") -> DataFrame:
     """One day of cleaned data -> upsert dimensions on their keys, replace
-    (or append) the day in the fact.  Returns the day's fact audit (A10)."""
+    (or append) the day in the fact.  Returns the day's fact audit (A10): metrics of
+    the write where the day is replaced, a read of the whole day where rows are added."""
     c = _deduplicated(spark, lake, CLEANED_TX, to_day(day))
     dim_date_new = op.create_dim_date(c["sales"])
     table(spark, lake, CURATED, "dim_product").merge(op.create_dim_product(c["sales_details"]), "product_id")
@@ -224,11 +237,12 @@ def model_daily(spark: SparkSession, lake: Lake, *, day, fact_mode: str = "repla
     fact = op.create_fact_sales(c["sales"], c["sales_details"], c["payments"], dim_date_new)
     ft = table(spark, lake, CURATED, "fact_sales")
     if fact_mode == "replace":
-        ft.replace_partitions(fact, "date", [to_day(day)])
-    elif fact_mode == "append":
-        ft.append(fact, "date")
-    else:
+        audit = op.WriteAudit()
+        ft.replace_partitions(fact, "date", [to_day(day)], observe=audit)
+        return audit.frame(spark)
+    if fact_mode != "append":
         raise ValueError("fact_mode must be 'replace' or 'append'")
+    ft.append(fact, "date")
     return op.audit_counts(ft.read().where(F.col("date") == F.lit(to_day(day))))
 
 

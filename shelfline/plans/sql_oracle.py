@@ -3,8 +3,8 @@ tables registered as views.  Used only to check results."""
 
 from __future__ import annotations
 
-from .catalog import (CLEANED_AMOUNTS, CURATED_AMOUNTS, NEW_FROM, OLD_UNTIL, ONE_DAY, ONE_MONTH, RAW_AMOUNTS,
-                      SERVING_AMOUNTS)
+from .catalog import (CLEANED_AMOUNTS, CURATED_AMOUNTS, NEW_FROM, OFF_TIES, OLD_UNTIL, ONE_DAY, ONE_MONTH,
+                      RAW_AMOUNTS, SERVING_AMOUNTS)
 
 
 RETAIL = """
@@ -255,7 +255,7 @@ def totals(tables: dict[str, tuple[str, str, str]], by: str | None = None) -> st
     """Row count, key sum and amount of each (source, key, amount), by a column if given."""
     return "\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, {by + ',' if by else ''} count(*) AS row_count, "
-        f"CAST(sum({key}) AS BIGINT) AS key_sum, round(sum(CAST({amount} AS DOUBLE)), 2) AS amount "
+        f"CAST(sum({key}) AS BIGINT) AS key_sum, round(sum(CAST({amount} AS DOUBLE)) + {OFF_TIES}, 2) AS amount "
         f"FROM {source} {'GROUP BY ' + by if by else ''}" for name, (source, key, amount) in tables.items())
 
 

@@ -4,30 +4,38 @@ Before a partitioned write the rows are rebalanced on the partition columns
 (REBALANCE hint): each partition value lands in few tasks, so a day is a few
 files instead of one file per task, and adaptive execution splits a hot day
 over several tasks instead of sending it to one.
+
+``observe`` (a function of a DataFrame, such as an ``operators.audit.WriteAudit``) is
+applied to the rows as they are written, after that shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+Observe = Callable[[DataFrame], DataFrame]
+
+
 def _cols(partition_by) -> list[str]:
     if partition_by is None:
         return []
     return [partition_by] if isinstance(partition_by, str) else list(partition_by)
 
 
-def _balanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.hint("rebalance", *cols) if cols else df
+def _balanced(df: DataFrame, cols: Sequence[str], observe: Observe | None = None) -> DataFrame:
+    df = df.hint("rebalance", *cols) if cols else df
+    return observe(df) if observe else df
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by="date", mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, partition_by="date", mode: str = "overwrite",
+                      observe: Observe | None = None) -> None:
     """W1 (overwrite) / W2 (append) of a dataset partitioned by ``partition_by``."""
     cols = _cols(partition_by)
-    w = _balanced(df, cols).write.mode(mode)
+    w = _balanced(df, cols, observe).write.mode(mode)
     if cols:
         w = w.partitionBy(*cols)
     w.parquet(path)
@@ -42,7 +50,12 @@ def _files(spark: SparkSession, folder: str) -> set[str]:
         raise
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by="date", values=None) -> None:
+def has_files(spark: SparkSession, folder: str) -> bool:
+    return bool(_files(spark, folder))
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by="date", values=None,
+                       observe: Observe | None = None) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic overwrite) and
     the named ``values``: one of those without rows in ``df`` loses its old rows.
     Rerunning a day gives the same table.
@@ -52,16 +65,16 @@ def replace_partitions(df: DataFrame, path: str, partition_by="date", values=Non
     cols = _cols(partition_by)
     folders = [f"{path.rstrip('/')}/{cols[0]}={v}" for v in values or ()]
     before = [_files(df.sparkSession, f) for f in folders]
-    (_balanced(df, cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_balanced(df, cols, observe).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(path))
     for folder, old in zip(folders, before, strict=True):
         if old and old & _files(df.sparkSession, folder):
             df.where("false").drop(*cols).write.mode("overwrite").parquet(folder)
 
 
-def write_once(df: DataFrame, path: str) -> None:
+def write_once(df: DataFrame, path: str, observe: Observe | None = None) -> None:
     """Write-once snapshot; fails if the folder exists."""
-    df.write.mode("errorifexists").parquet(path)
+    _balanced(df, (), observe).write.mode("errorifexists").parquet(path)
 
 
 def overwrite(df: DataFrame, path: str) -> None:

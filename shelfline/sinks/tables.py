@@ -107,11 +107,11 @@ class SnapshotTable:
         return self.spark.read.parquet(self._location(self.resolve(version, timestamp)))
 
     # -- writes (W5, W6, W3, W7) ------------------------------------------------
-    def overwrite(self, df: DataFrame, partition_by=None) -> int:
+    def overwrite(self, df: DataFrame, partition_by=None, observe: parquet.Observe | None = None) -> int:
         """Full overwrite as a new snapshot."""
         cur = self.current()
         n = 0 if cur is None else cur + 1
-        parquet.write_partitioned(df, self._location(n), partition_by, mode="errorifexists")
+        parquet.write_partitioned(df, self._location(n), partition_by, mode="errorifexists", observe=observe)
         self._record(n, "overwrite")
         return n
 
@@ -124,14 +124,15 @@ class SnapshotTable:
         self._record(n, "append")
         return n
 
-    def replace_partitions(self, df: DataFrame, partition_by="date", values=None) -> int:
+    def replace_partitions(self, df: DataFrame, partition_by="date", values=None,
+                           observe: parquet.Observe | None = None) -> int:
         """Idempotent daily/monthly write: the named partitions (without
         ``values`` those present in ``df``) are replaced in the current snapshot
         (creates the table if missing)."""
         n = self.current()
         if n is None:
-            return self.overwrite(df, partition_by)
-        parquet.replace_partitions(df, self._location(n), partition_by, values)
+            return self.overwrite(df, partition_by, observe)
+        parquet.replace_partitions(df, self._location(n), partition_by, values, observe)
         self._record(n, "replace_partitions")
         return n
 
@@ -181,7 +182,9 @@ class FormatTable:
     def append(self, df: DataFrame, partition_by="date") -> None:
         self._write(df, "append", partition_by)
 
-    def replace_partitions(self, df: DataFrame, partition_by="date", values=None) -> None:
+    def replace_partitions(self, df: DataFrame, partition_by="date", values=None,
+                           observe: parquet.Observe | None = None) -> None:
+        df = observe(df) if observe else df
         if values is None:
             self._write(df, "overwrite", partition_by, partitionOverwriteMode="dynamic")
         else:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.dates import to_day
+from ..session import stored
+
+#: Columns that a checked CSV read adds while it parses.
+CORRUPT, REASON = "_line", "_reason"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -19,6 +25,44 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     return r.csv(path)
 
 
+@dataclass(frozen=True)
+class CheckedCsv:
+    """A CSV file parsed once: ``kept`` (the schema's columns) and ``rejected``
+    (``line`` as it stands in the file, ``reason``); together every line but headers."""
+    kept: DataFrame
+    rejected: DataFrame
+
+
+def _reason(schema: StructType, key: str | None) -> Column:
+    """Why a row is rejected, else null.  Fields are looked at again as text, in lines
+    that did not parse only."""
+    names = schema.fieldNames()
+    text = F.from_csv(F.col(CORRUPT), ", ".join(f"`{n}` string" for n in names), {"quote": '"', "escape": '"'})
+    bad = F.array_compact(F.array(*[F.when(text[n].isNotNull() & F.col(f"`{n}`").isNull(), F.lit(f"{n}: not {t}"))
+                                    for n, t in ((f.name, f.dataType.simpleString()) for f in schema)]))
+    malformed = F.when(F.size(bad) > 0, F.concat_ws(", ", bad)).otherwise("wrong number of fields")
+    reason = F.when(F.col(CORRUPT).isNotNull(), malformed)
+    return reason if key is None else reason.when(F.col(f"`{key}`").isNull(), f"no {key}")
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, key: str | None = None) -> CheckedCsv:
+    """R1 with bad lines told apart: lines whose fields are too many, too few or not of
+    the declared type, and with ``key`` rows without one, are rejected with a reason.
+
+    The file is parsed once, permissively, into the scratch folder; both tables read
+    that.  A quoted field may hold commas, not line ends.  Rejected rows of a missing key
+    show their fields as JSON, for the parser keeps the text of malformed lines only.  Of
+    an empty file both tables are empty."""
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    parsed = (spark.read.schema(wide).option("header", True).option("quote", '"').option("escape", '"')
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    names = [F.col(f"`{n}`") for n in schema.fieldNames()]
+    rows = stored(parsed.withColumn(REASON, _reason(schema, key)), "checked-csv")
+    line = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names)))
+    return CheckedCsv(rows.where(F.col(REASON).isNull()).select(*names),
+                      rows.where(F.col(REASON).isNotNull()).select(line.alias("line"), F.col(REASON).alias("reason")))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -14,6 +14,8 @@ from shelfline.sinks import parquet
 from shelfline.sinks.bucketed import read_bucketed, write_bucketed
 from shelfline.sinks.keyindex import KeyIndex
 from shelfline.sources import retail
+from shelfline.sources.factory import make_sources
+from shelfline.sources.files import read_csv_checked
 from tests.conftest import SF001, rows
 
 
@@ -187,3 +189,54 @@ def test_daily_ingest_takes_a_replayed_sale_once(spark, tmp_lake):
         for t in ("sales", "sales_details"):
             raw = spark.read.parquet(tmp_lake.table(jobs.RAW_TX, t))
             assert rows(raw.select("sale_id", F.dayofmonth("date"))) == [(1, 20), (2, 20), (3, 21)]
+
+
+def test_write_audit_needs_no_second_read(spark):
+    fact = _fact(spark)
+    path = fresh_path(spark, "audited")
+    audit = op.WriteAudit()
+    parquet.write_partitioned(fact, path, "date", observe=audit)
+    assert rows(audit.frame(spark)) == rows(op.audit_counts(spark.read.parquet(path)))
+    plan = op.WriteAudit()(fact.hint("rebalance", "date"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("RebalancePartitions")  # counted after the shuffle
+    assert "FileScan" not in _plan(audit.frame(spark))
+    day = dt.date(2025, 2, 3)
+    for part in (fact.where(F.col("date") == F.lit(day)), fact.where("false")):  # then the day is cleared
+        audit = op.WriteAudit()
+        parquet.replace_partitions(part, path, "date", [day], observe=audit)
+        now = spark.read.parquet(path).where(F.col("date") == F.lit(day))
+        assert rows(audit.frame(spark)) == rows(op.audit_counts(now))
+    assert rows(audit.frame(spark)) == [(0, 0, None, None)]
+
+
+def test_checked_csv_tells_bad_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(
+        'id,name,price\n1,"a, ""b""",2.5\n2,b\n3,c,free\n4,d,1,more\n,e,5\n6,,\n7,f,1,\nx,g,y\n"9,h,1\n')
+    (tmp_path / "b.csv").write_text("id,name,price\n")
+    got = read_csv_checked(spark, str(tmp_path), spark.range(0).selectExpr("id", "'' AS name", "0D AS price").schema, "id")
+    assert rows(got.kept) == [(1, 'a, "b"', 2.5), (6, None, None)]
+    assert rows(got.rejected) == sorted([
+        ("2,b", "wrong number of fields"), ("3,c,free", "price: not double"), ("4,d,1,more", "wrong number of fields"),
+        ('{"name":"e","price":5.0}', "no id"), ("7,f,1,", "wrong number of fields"),
+        ("x,g,y", "id: not bigint, price: not double"), ('"9,h,1', got.rejected.where("line like '%9,h%'").first().reason)])
+    empty = read_csv_checked(spark, str(tmp_path / "b.csv"), got.kept.schema, "id")
+    assert empty.kept.count() == empty.rejected.count() == 0
+
+
+def test_full_ingest_keeps_rejected_lines_apart(spark, tmp_lake, tmp_path):
+    products, stores = str(tmp_path / "p.csv"), str(tmp_path / "s.csv")
+    with open(products, "w") as f:
+        f.write("product_id,name,description,category,unit_price\nP1,a,b,c,1.5\nP2,a,b,c,cheap\n")
+    with open(stores, "w") as f:
+        f.write('store_id,name,address,town,number_of_employees\nS1,"a, b",c,d,5\n')
+    tables = {"sales": "sale_id long, store_id int, timestamp timestamp_ntz, total_amount double",
+              "sales_details": "detail_id string, sale_id long, product_id string, quantity int, unit_price double",
+              "payments": "payment_id long, sale_id long, method string, amount double"}
+    src = make_sources(lambda spark, t: spark.createDataFrame([], tables[t]), products, stores, checked=True)
+    for _ in range(2):
+        jobs.run("ingestion", "full", spark, tmp_lake, src=src, version="2025-07")
+        assert rows(spark.read.parquet(tmp_lake.table(jobs.RAW_REF, "products", "2025-07"))) == [("P1", "a", "b", "c", 1.5)]
+        assert rows(spark.read.parquet(tmp_lake.table(jobs.RAW_REJECTED, "products", "2025-07"))) == [
+            ("P2,a,b,c,cheap", "unit_price: not double")]
+    with pytest.raises(FileExistsError):
+        jobs.run("ingestion", "monthly", spark, tmp_lake, src=src, version="2025-07")
