@@ -3,8 +3,9 @@ fact or the lines again.  A state is kept by day, so a changed day replaces its
 rows only.
 
 Sales states (A8, G3, G4, L10): by day and store, partial sums and the distinct
-sales as exact bitmaps.  A bitmap holds 32,768 neighbouring ids; its row appears
-for every (day, store, id range) that occurs, so ids that grow with time make few.
+sales as exact bitmaps.  A bitmap is one long of 64 neighbouring ids; its row appears
+for every (day, store, id range) that occurs, so a state never has more rows than
+sales, also where ids do not grow with time.
 
 Price states (A3, C1, L5): by day, a KLL sketch of the positive prices.
 """
@@ -19,24 +20,30 @@ from ..functions.dates import month_label, month_of_parts
 
 #: Size parameter of the price sketches: the rank error of one is about 0.5 %.
 SKETCH_K = 600
+#: Neighbouring sale ids that share a bitmap: the bits of a long.
+RANGE_BITS = 6
 
 
 def sales_states(fact: DataFrame) -> DataFrame:
     """date, store_id, id_range, sales (bitmap), and the sums of the fact rows of these
     sales.  Sums of a day and store are spread over its id ranges.  Rows without
-    sale_id have the range null and no bitmap bits; sale_id must be a whole number."""
+    sale_id have the range null and no bitmap bits; sale_id must be a whole number.
+
+    A long is updated in place by a hash aggregate; a binary bitmap would be sorted
+    and copied at its full length for each group, however few ids the group has."""
     sale = F.col("sale_id").cast("long")
-    return fact.groupBy("date", "store_id", F.bitmap_bucket_number(sale).alias("id_range")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(sale)).alias("sales"),
+    bit = F.expr(f"shiftleft(1L, CAST(CAST(sale_id AS LONG) & {(1 << RANGE_BITS) - 1} AS INT))")
+    return fact.groupBy("date", "store_id", F.shiftright(sale, RANGE_BITS).alias("id_range")).agg(
+        F.coalesce(F.bit_or(bit), F.lit(0).cast("long")).alias("sales"),
         F.sum("line_amount").alias("amount"), F.sum("quantity").alias("quantity"),
         F.count("line_amount").alias("amounts"))
 
 
 def _merged(states: DataFrame, keys: list[str]) -> DataFrame:
     """Sums and distinct sales per ``keys``: bitmaps of one id range are united, then
-    their bits are counted.  Two group-bys of small rows; both reduce before they shuffle."""
+    their bits are counted.  Two group-bys of numbers; both reduce before they shuffle."""
     by_range = states.groupBy(*keys, "id_range").agg(
-        F.bitmap_count(F.bitmap_or_agg("sales")).alias("distinct_sales"),
+        F.bit_count(F.bit_or("sales")).cast("long").alias("distinct_sales"),
         *(F.sum(c).alias(c) for c in ("amount", "quantity", "amounts")))
     return by_range.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in ("distinct_sales", "amount", "quantity", "amounts")))
 

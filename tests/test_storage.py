@@ -112,6 +112,20 @@ def test_states_equal_distinct_counts(spark):
     assert states.monthly_metrics(states.sales_states(fact.where("false"))).count() == 0
 
 
+def test_states_of_scattered_sales_are_numbers(spark):
+    """Ids that do not grow with time leave one sale in most bitmaps; negative and null ids count too."""
+    fact = spark.range(300).select(
+        F.when(F.col("id") % 50 != 7, (F.col("id") - 100) * 104_729).alias("sale_id"), F.lit(1).alias("store_id"),
+        F.date_add(F.lit(dt.date(2025, 1, 1)), (F.col("id") % 40).cast("int")).alias("date"),
+        F.lit(2.0).alias("line_amount"), F.lit(1).alias("quantity"))
+    kept = states.sales_states(fact.unionByName(fact))
+    assert dict(kept.dtypes)["sales"] == "bigint" and "SortAggregate" not in _plan(kept)
+    assert kept.count() <= 300
+    months = ("month_year", "total_transactions", "monthly_revenue")
+    assert rows(states.monthly_metrics(kept), *months) == rows(op.create_monthly_customer_metrics(fact.unionByName(fact)), *months)
+    assert "SortAggregate" not in _plan(states.monthly_metrics(kept))
+
+
 def test_a_changed_day_changes_its_state_only(spark):
     fact = _fact(spark)
     day = dt.date(2025, 2, 3)
