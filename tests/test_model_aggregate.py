@@ -97,6 +97,38 @@ def test_duplicate_dimension_rows_count_like_join_then_group(spark, star):
     assert rows(got) == rows(naive.select("date", "store_id", "s"))
 
 
+def test_duplicate_product_rows_count_like_join_then_group(spark, star):
+    fact, _, dp, dd = star
+    dup = dp.unionByName(dp.withColumn("description", F.lit("other"))).unionByName(
+        dp.where("product_id = 8").withColumn("category", F.lit(None).cast("string")))
+    labels = dup.select("product_id", "product_name", "category")
+    naive = (fact.join(labels, "product_id").groupBy("date", "product_id", "product_name", "category")
+             .agg(F.sum("line_amount").alias("daily_revenue"), F.sum("quantity").alias("total_quantity_sold"),
+                  F.count("sale_id").alias("times_sold")))
+    daily = op.create_daily_product_sales(fact, dup)
+    assert daily.dtypes == naive.dtypes and rows(daily) == rows(naive)
+    trends = op.create_product_sales_trends(fact, dup, dd)
+    assert rows(trends, "date", "product_id", "product_name", "category", "daily_revenue", "daily_quantity_sold",
+                "times_sold_today") == rows(naive)
+    for df in (daily, trends):  # the many groups are not grouped a second time
+        assert not df._jdf.queryExecution().optimizedPlan().toString().startswith("Aggregate")
+
+
+def test_partitions_of_the_fact_join_grow_with_the_lines(spark, cleaned, monkeypatch):
+    from shelfline.operators import skew
+    sales, details, payments = cleaned
+    assert skew.join_parts(details) is None
+    dd = op.create_dim_date(sales)
+    plain = op.create_fact_sales(sales, details, payments, dd)
+    monkeypatch.setattr(skew, "ROWS_PER_PART", 1000)
+    parts = skew.join_parts(spark.range(200_000))
+    assert parts == 200
+    split = op.create_fact_sales(sales, details, payments, dd, parts=parts)
+    assert "hashpartitioning(sale_id" in split._jdf.queryExecution().executedPlan().toString()
+    assert ", 200), REPARTITION_BY_NUM" in split._jdf.queryExecution().executedPlan().toString()
+    assert rows(split) == rows(plain)
+
+
 def test_sum_of_daily_equals_sum_of_monthly(spark, star):
     fact, ds, _, dd = star
     a = op.create_daily_store_sales(fact, ds).agg(F.sum("daily_sales")).collect()[0][0]
