@@ -103,6 +103,43 @@ def test_daily_append_mode_duplicates_are_removed_downstream(spark, tmp_lake, so
     assert read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales")).where(F.col("sale_id") == 2).count() == 1
 
 
+def _replayed(spark, lake, sources):
+    """A lake in which two sales, with lines and payments, came again on a later day; one line came twice."""
+    jobs.ingest_full(spark, lake, sources, version="2025-10")
+    later = F.col("timestamp") + F.expr("INTERVAL 2 DAYS")
+    again = {t: sources.transactions(spark, t).where("sale_id IN (2, 3)") for t in jobs.TX_KEYS}
+    again["sales"] = again["sales"].withColumn("timestamp", F.when(F.col("sale_id") == 2, later).otherwise(F.col("timestamp")))
+    again["sales"] = again["sales"].withColumn("total_amount", F.col("total_amount") - 1)
+    replay = jobs.Sources(lambda spark, t: again[t], sources.products, sources.stores)
+    for day in ("2025-10-20", "2025-10-22"):
+        jobs.ingest_daily(spark, lake, replay, day=day, mode="append")
+
+
+def test_only_rows_of_repeated_keys_are_deduplicated(spark, tmp_lake, sources):
+    _replayed(spark, tmp_lake, sources)
+    found = jobs._deduplicated(spark, tmp_lake, RAW_TX)
+    for t, key in jobs.TX_KEYS.items():
+        raw = read_parquet(spark, tmp_lake.table(RAW_TX, t))
+        assert raw.count() > found[t].count()
+        assert found[t].dtypes == raw.dtypes and rows(found[t]) == rows(jobs.op.dedup_by_key(raw, key))
+        assert set(raw.inputFiles()) & set(found[t].inputFiles())  # other rows are read where they are
+        assert "Exchange hash" not in found[t]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_few_and_many_repeated_keys_give_the_same_rows(spark, tmp_lake, sources, monkeypatch):
+    """Rows of sales that moved to another day get the date of their sale, by either way."""
+    _replayed(spark, tmp_lake, sources)
+    jobs.transform_full(spark, tmp_lake, median_method="exact")
+    few = {t: rows(read_parquet(spark, tmp_lake.table(CLEANED_TX, t))) for t in jobs.TX_KEYS}
+    monkeypatch.setattr(jobs.dedup, "MAX_REPEATED", 0)
+    jobs.transform_full(spark, tmp_lake, median_method="exact")
+    assert few == {t: rows(read_parquet(spark, tmp_lake.table(CLEANED_TX, t))) for t in jobs.TX_KEYS}
+    day = {r.sale_id: r.date for r in read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales")).collect()}
+    for t in ("sales_details", "payments"):
+        cleaned = read_parquet(spark, tmp_lake.table(CLEANED_TX, t)).collect()
+        assert cleaned and all(r.date == day[r.sale_id] for r in cleaned)
+
+
 def _files(spark, lake, table):
     return {f.rsplit("/date=", 1)[1] for f in read_parquet(spark, lake.table(RAW_TX, table)).inputFiles()}
 
