@@ -171,3 +171,22 @@ def test_salted_fact_join_equals_plain_join(spark):
     # sale 0: n + 2 lines x 2 payments; the other sales: 2n - 2 lines x 1 payment
     assert salted.count() == plain.count() == 4 * n + 2
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_product_days_in_parts_of_a_day_give_the_same_rows(spark, monkeypatch):
+    from shelfline.operators import skew
+    monkeypatch.setattr(skew, "ROWS_PER_PART", 3)
+    days = [dt.date(2025, 9, 30), dt.date(2025, 10, 1), None]
+    data = [(i, i % 3, None if i % 11 == 10 else i % 7, 20250930 + i % 2, 1, 2.0 + i, days[i % 3]) for i in range(60)]
+    fact = spark.createDataFrame(data, "sale_id long, store_id int, product_id long, date_id int, quantity int, line_amount double, date date")
+    dim_product = spark.createDataFrame([(i, f"p{i}", "c") for i in range(6)] + [(2, "p2", "c"), (3, "other", "c")],
+                                        "product_id long, product_name string, category string")
+    dim_date = spark.createDataFrame([(20250930, days[0], 9, 2025), (20250931, days[1], 10, 2025)], "date_id int, date date, month int, year int")
+    parts = skew.day_parts(fact)
+    assert {r._day: r._parts for r in parts.collect()} == {d: 7 for d in days}
+    for build in (lambda **kw: op.create_daily_product_sales(fact, dim_product, **kw),
+                  lambda **kw: op.create_product_sales_trends(fact, dim_product, dim_date, **kw)):
+        placed = build(days=parts)
+        assert rows(placed) == rows(build())
+        plan = placed._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning(") - plan.count("Exchange hashpartitioning(product_id") == 1  # labels are grouped by product
