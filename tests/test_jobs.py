@@ -208,3 +208,41 @@ def test_command_line_runs_a_stage_from_files(spark, tmp_lake, sources):
     assert read_parquet(spark, tmp_lake.table(CLEANED_TX, "sales_details")).count() == 4
     with pytest.raises(ValueError):
         main(["ingestion", "full", *common, "--products", "x", "--stores", "y", "--version", "v"], spark)
+
+
+def _layer_rows(spark, lake, where, names):
+    read = (lambda t: read_parquet(spark, lake.table(where, t))) if where == CLEANED_TX else \
+        (lambda t: jobs.table(spark, lake, where, t).read())
+    return {t: rows(read(t).select(sorted(read(t).columns))) for t in names}
+
+
+def test_cleaned_rows_and_product_days_are_written_where_they_lie(spark, tmp_lake, sources, monkeypatch):
+    from shelfline.operators import skew
+    from shelfline.session import fresh_path
+    from shelfline.sinks import parquet
+    from shelfline.sources.layout import Lake
+    plans, balance = [], parquet._balanced
+
+    def seen(*args):
+        df = balance(*args)
+        plans.append((set(df.columns), df._jdf.queryExecution().optimizedPlan().toString()))
+        return df
+    monkeypatch.setattr(parquet, "_balanced", seen)
+    _full(spark, tmp_lake, sources)
+    for column, other in (("VAT", "description"), ("payment_id", "method"), ("times_sold", "times_sold"),
+                          ("times_sold_today", "times_sold_today")):
+        written = [p for columns, p in plans if {column, other} <= columns and not ("quantity" in columns and "VAT" not in columns)]
+        assert written and "RebalancePartitions" not in written[-1], column
+    monkeypatch.setattr(skew, "MAX_BROADCAST", 0)   # references too large to be broadcast
+    large = Lake(fresh_path(spark, "large-references"))
+    _full(spark, large, sources)
+    for where, names in ((CLEANED_TX, jobs.TX_KEYS), (SERVING, (*jobs.DAILY_AGGS, *jobs.MONTHLY_AGGS))):
+        assert _layer_rows(spark, large, where, names) == _layer_rows(spark, tmp_lake, where, names)
+
+
+def test_rows_of_other_dates_than_their_sale_are_found(spark):
+    a, b = dt.date(2025, 9, 30), dt.date(2025, 10, 20)
+    sales = spark.createDataFrame([(1, T[0]), (2, T[0]), (3, None), (4, None), (6, T[0])], "sale_id long, timestamp timestamp_ntz")
+    held = spark.createDataFrame([(1, a), (1, a), (2, a), (2, b), (3, None), (4, None), (4, a), (5, a), (None, a), (6, None), (6, a)],
+                                 "sale_id long, date date")
+    assert rows(jobs._off_date(held, sales)) == [(2,), (4,), (5,), (6,), (None,)]
