@@ -396,27 +396,40 @@ def long_runs(text: bytes, cut: list[tuple[int, int]], min_words: int) -> list[t
     return [(a, b) for a, b in cut if len(text[a:b].split()) >= min_words]
 
 
-REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, passage_words long"
 
 
 def suffix_report(docs: DataFrame) -> DataFrame:
-    """op3: what is left of every document without its repeated bytes.
+    """op3: what is left of every document without its repeated bytes, and its words in
+    passages that another document has too, as in ``passage_report``.
 
     Null text is empty; null ids and repeated rows are documents like others; an empty
     table gives no row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, spans in zip(batch.column("id").to_pylist(), utf8(batch, "text"), batch.column("spans").to_pylist(), strict=True):
+            for doc, text, spans, shared in zip(batch.column("id").to_pylist(), utf8(batch, "text"), batch.column("spans").to_pylist(),
+                                                batch.column("shared").to_pylist(), strict=True):
                 cut = removed_runs(spans)
                 kept = kept_bytes(text, cut)
-                rows.append((None if doc == NO_ID else doc, len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            columns = list(zip(*rows, strict=True)) or [()] * 5
+                rows.append((None if doc == NO_ID else doc, len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(),
+                             passage_words(text, shared)))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+            columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in REPORT.split(", ")])
 
-    spans = stored(repeated_spans(docs), "repeated-spans")
-    return _keyed(docs).join(spans, ["id", "mark"], "left").select("id", "text", "spans").mapInArrow(run, REPORT)
+    spans = stored(repeated_spans(docs), "repeated-spans").join(
+        _shared_passages(docs).withColumnRenamed("spans", "shared"), ["id", "mark"], "full")
+    return _keyed(docs).join(spans, ["id", "mark"], "left").select("id", "text", "spans", "shared").mapInArrow(run, REPORT)
+
+
+def _shared_passages(docs: DataFrame) -> DataFrame:
+    return stored(repeated_spans(docs, PASSAGE_LENGTH, PASSAGE_GRAM, across=True), "shared-passages")
+
+
+def passage_words(text: bytes, spans: list[dict]) -> int:
+    """Words of a text in those runs of its spans that hold PASSAGE_WORDS words at least."""
+    return sum(len(text[a:b].split()) for a, b in long_runs(text, removed_runs(spans), PASSAGE_WORDS))
 
 
 def passage_report(docs: DataFrame) -> DataFrame:
@@ -426,12 +439,10 @@ def passage_report(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [None if doc == NO_ID else doc for doc in batch.column("id").to_pylist()]
-            words = [sum(len(text[a:b].split()) for a, b in long_runs(text, removed_runs(spans), PASSAGE_WORDS))
-                     for text, spans in zip(utf8(batch, "text"), batch.column("spans").to_pylist(), strict=True)]
+            words = [passage_words(text, spans) for text, spans in zip(utf8(batch, "text"), batch.column("spans").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(words, pa.int64())], ["doc_id", "passage_words"])
 
-    spans = stored(repeated_spans(docs, PASSAGE_LENGTH, PASSAGE_GRAM, across=True), "shared-passages")
-    return _keyed(docs).join(spans, ["id", "mark"], "left").select("id", "text", "spans").mapInArrow(
+    return _keyed(docs).join(_shared_passages(docs), ["id", "mark"], "left").select("id", "text", "spans").mapInArrow(
         run, "doc_id long, passage_words long")
 
 

@@ -117,3 +117,14 @@ def test_awkward_rows(spark):
     assert X.remove_repeats(awkward(spark)).columns == awkward(spark).columns
     twice = X.suffix_report(docs(spark, [(1, "q" + "z" * 10 + "w" * 500), (1, "q" + "z" * 10 + "w" * 500), (None, "v" * 401)])).collect()
     assert sorted(r.n_removed for r in twice) == [401, 511, 511]
+
+
+def test_report_tells_words_of_shared_passages_below_400_bytes(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(3, 7))) for _ in range(n))
+    passage, own = words(55), words(60)
+    assert len(passage) < 400 and len(own) > 200
+    texts = [words(30) + " " + passage, passage + " " + words(9), own + " " + own, words(80), None]
+    rows = {r.doc_id: r for r in X.suffix_report(docs(spark, texts)).collect()}
+    assert all(rows[i].passage_words in (55, 56) and rows[i].n_removed == 0 for i in (0, 1))
+    assert all(rows[i].passage_words == 0 for i in (2, 3, 4))
