@@ -2,6 +2,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shelfline import operators as op
+from shelfline.operators import dedup
 from tests.conftest import rows
 
 
@@ -73,3 +74,24 @@ def test_join_split_hot_matches_plain_join(spark):
         assert sorted(split.columns) == sorted(plain.columns)
         assert split.count() == plain.count()
         assert split.exceptAll(plain.select(*split.columns)).count() == 0
+
+
+def test_repeated_keys_by_lists_of_hashes(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "HASHES", 50)  # several lists a task
+    keys = [str(i) for i in range(400)] + ["7"] * 300 + ["399", None, None]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v long").repartition(5)
+    repeated = dedup.repeated_keys(df, "k")
+    assert repeated.count() == 3
+    once, again = dedup.split_repeated(df, "k", repeated)
+    assert once.count() == 398 and again.count() == 301 + 2 + 2
+    assert {r.k for r in again.collect()} == {"7", "399", None}
+    assert dedup.repeated_keys(once, "k").count() == 0 and dedup.repeated_keys(df.where("false"), "k").count() == 0
+
+
+def test_hashes_are_shuffled_in_lists():
+    import numpy as np
+    import pyarrow as pa
+    hashes = np.array([5, 5, 5, (3 << 32) + 1, (3 << 32) + (1 << 31), 2], np.int64)
+    out = [b for b in dedup._grouped_hashes(iter([pa.RecordBatch.from_arrays([pa.array(hashes)], ["_hash"])]))]
+    assert [r for b in out for r in b.to_pylist()] == [
+        {"_group": 0, "_numbers": [2, 5, 5]}, {"_group": 3, "_numbers": [1, -(1 << 31)]}]

@@ -52,6 +52,12 @@ def test_fact_grain_line_times_payment(spark, cleaned):
     # sale 2 has two payments -> its line twice; sale 4 has none -> absent
     assert got == [(1, "Card", 20.0), (1, "Card", 30.0), (2, "Card", 50.0), (2, "Cash", 50.0), (3, "Cash", 30.0)]
 
+    lying = op.create_fact_sales(sales, details, payments, op.create_dim_date(sales), by_date=True)
+    assert lying.columns == fact.columns and rows(lying) == rows(fact)
+    plan = lying._jdf.queryExecution().optimizedPlan().toString()
+    shuffled = plan[plan.index("RebalancePartitions"):]  # columns that follow from others come after the shuffle
+    assert "line_amount" in plan and "line_amount" not in shuffled
+
 
 @pytest.fixture()
 def star(spark, cleaned):
