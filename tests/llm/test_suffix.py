@@ -128,3 +128,44 @@ def test_report_tells_words_of_shared_passages_below_400_bytes(spark):
     rows = {r.doc_id: r for r in X.suffix_report(docs(spark, texts)).collect()}
     assert all(rows[i].passage_words in (55, 56) and rows[i].n_removed == 0 for i in (0, 1))
     assert all(rows[i].passage_words == 0 for i in (2, 3, 4))
+
+
+def test_report_reads_the_texts_once_for_both_searches(spark, monkeypatch):
+    calls = []
+    for name in ("_anchor_rows", "_anchor_hashes"):
+        monkeypatch.setattr(X, name, lambda *a, f=getattr(X, name), name=name: calls.append(name) or f(*a))
+    assert X.suffix_report(docs(spark, ["a" * 500, "b" * 250, "b" * 250])).count() == 3
+    assert sorted(calls) == ["_anchor_hashes", "_anchor_rows"]
+
+
+def test_spans_are_maximal_runs_whatever_the_batches(spark):
+    rows = [(i, i % 3, 10 * j, 10 * j + width) for i in range(7) for j in range(40) for width in (3, 10 if j % 4 else 5, 4)]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        out = X._merged(spark.createDataFrame(rows, X.SPAN_ROWS)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    expected = [(10 * j, 10 * j + 5) if j % 4 == 0 else (10 * j, 10 * j + 30) for j in range(40) if j % 4 < 2]
+    assert sorted((r.id, r.mark) for r in out) == [(i, i % 3) for i in range(7)]
+    assert all([(s["first"], s["after"]) for s in r.spans] == expected for r in out)
+    texts = ["start" + "xyz" * 300, "xyz" * 300 + "end"]
+    assert [len(r.spans) for r in X.repeated_spans(docs(spark, texts)).collect()] == [1, 1]
+
+
+def test_equal_windows_have_equal_anchors():
+    rng = random.Random(4)
+    word = lambda k: bytes(rng.choices(b"abcdef \n", k=k))
+    shared = word(700)
+    texts = [word(90) + shared + word(300), b"", shared[100:], word(150), b"a" * 900, b"xy" * 450]
+    for length, gram in ((200, 64), (400, 128), (64, 64)):
+        ends = np.cumsum([len(t) for t in texts])
+        starts = ends - [len(t) for t in texts]
+        anchors, count = {}, 0
+        for which, first, last, anchor, h in zip(*(x.tolist() for x in X.Anchors(length, gram).find(b"".join(texts), starts, ends)), strict=True):
+            for place in range(first, last + 1):
+                assert place <= anchor <= place + length - gram
+                window = texts[which][place - starts[which]:][:length]
+                assert len(window) == length and anchors.setdefault(window, (anchor - place, h)) == (anchor - place, h)
+                count += 1
+        assert count == sum(max(0, len(t) - length + 1) for t in texts)
