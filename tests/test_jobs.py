@@ -246,3 +246,41 @@ def test_rows_of_other_dates_than_their_sale_are_found(spark):
     held = spark.createDataFrame([(1, a), (1, a), (2, a), (2, b), (3, None), (4, None), (4, a), (5, a), (None, a), (6, None), (6, a)],
                                  "sale_id long, date date")
     assert rows(jobs._off_date(held, sales)) == [(2,), (4,), (5,), (6,), (None,)]
+
+
+def test_rows_shuffled_as_compressed_batches_are_the_same(spark, tmp_lake, sources, monkeypatch):
+    from shelfline.operators import dealing, skew
+    from shelfline.session import fresh_path
+    from shelfline.sources.layout import Lake
+    _full(spark, tmp_lake, sources)
+    monkeypatch.setattr(dealing, "PACKED_FROM", 0)
+    monkeypatch.setattr(skew, "MAX_BROADCAST", 0)
+    packed = Lake(fresh_path(spark, "packed"))
+    _full(spark, packed, sources)
+    for where, names in ((CLEANED_TX, jobs.TX_KEYS), (CURATED, ("fact_sales",)), (SERVING, jobs.DAILY_AGGS)):
+        assert _layer_rows(spark, packed, where, names) == _layer_rows(spark, tmp_lake, where, names)
+
+
+def test_packed_rows_keep_types_and_take_fewer_bytes(spark, monkeypatch):
+    from shelfline.operators import dealing
+    kinds = spark.createDataFrame(
+        [(1, dt.date(2025, 9, 30), T[0], None, b"x", True, 1.5, "a"), (None, None, None, None, None, None, None, None),
+         (1, dt.date(2025, 9, 30), T[0], None, b"x", True, 1.5, "a"), (2, dt.date(2025, 10, 20), T[1], None, b"", False, float("nan"), "é")],
+        "i int, date date, t timestamp_ntz, d decimal(10,2), b binary, f boolean, x double, s string").withColumn(
+        "u", F.col("t").cast("timestamp")).withColumn("d", F.lit("1.25").cast("decimal(10,2)"))
+    packed = dealing.balanced(kinds, ["date"], dealing.PACKED_FROM + 1)
+    assert packed.schema == kinds.schema and "MapInArrow" in packed._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, packed.collect())) == sorted(map(str, kinds.collect()))
+    nested = kinds.withColumn("a", F.array("i"))
+    for other in (dealing.balanced(kinds, ["date"]), dealing.balanced(nested, ["date"], dealing.PACKED_FROM + 1)):
+        assert "MapInArrow" not in other._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(dealing, "HELD_ROWS", 1000)
+    many = spark.range(20_000).selectExpr("id", "concat('line-', id) as s", "date_add(DATE'2025-01-01', cast(id % 50 as int)) as date")
+    packed = dealing.balanced(many, ["date"], dealing.PACKED_FROM + 1)
+    assert packed.exceptAll(many).count() == 0 and packed.count() == 20_000
+    # rows of a value lie in one partition
+    lying = packed.groupBy("date", F.spark_partition_id()).count().groupBy("date").count()
+    assert lying.where("count > 1").count() == 0
+    blobs = many.withColumn(dealing._GROUP, F.lit(0)).mapInArrow(dealing._packed, f"{dealing._GROUP} int, {dealing._SIZE} long, {dealing._ROWS} binary")
+    size = blobs.agg(F.sum(F.length(dealing._ROWS)).alias("n"), F.sum(dealing._SIZE).alias("raw")).first()
+    assert size.n < size.raw / 2

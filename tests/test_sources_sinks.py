@@ -1,10 +1,11 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from shelfline.schemas import STORES
-from shelfline.session import fresh_path
+from shelfline.session import SHUFFLE_CLEANUP, fresh_path
 from shelfline.sinks import SnapshotTable, parquet
 from shelfline.sources import files
 from shelfline.sources.jdbc import JdbcSource
@@ -148,3 +149,28 @@ def test_jdbc_needs_a_choice_of_parallelism(spark):
         src.read(spark, "payments")
     with pytest.raises(ValueError):
         src.read_query(spark, "select 1")
+
+
+def _shuffle_files(spark):
+    at = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    files = at.getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+@pytest.mark.parametrize("write", [
+    lambda df, p: parquet.write_partitioned(df, p, "date"),
+    lambda df, p: parquet.replace_partitions(df, p, "date", [dt.date(2025, 1, 1)]),
+    lambda df, p: parquet.write_once(df.repartition(3, "date"), p),
+    lambda df, p: parquet.overwrite(df.repartition(3, "date"), p)])
+def test_shuffle_files_of_a_write_go_with_it(spark, write):
+    df = spark.range(5000).selectExpr("id", "date_add(DATE'2025-01-01', cast(id % 7 as int)) as date")
+    before = _shuffle_files(spark)
+    path = fresh_path(spark, "no-shuffle-files")
+    write(df, path)
+    for _ in range(50):  # they are removed in the background
+        if _shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffle_files(spark) <= before
+    assert spark.read.parquet(path).count() == 5000
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) != "true"
