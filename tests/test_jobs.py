@@ -248,6 +248,51 @@ def test_rows_of_other_dates_than_their_sale_are_found(spark):
     assert rows(jobs._off_date(held, sales)) == [(2,), (4,), (5,), (6,), (None,)]
 
 
+def _product_days(spark, lake):
+    t = {n: jobs.table(spark, lake, SERVING, n).read() for n in ("daily_product_sales", "product_sales_trends")}
+    return [rows(df.select(sorted(df.columns))) for df in t.values()]
+
+
+def test_trends_are_taken_from_the_published_product_days(spark, tmp_lake, sources, monkeypatch):
+    from shelfline import operators as op
+    _full(spark, tmp_lake, sources)
+    m = jobs._curated(spark, tmp_lake)
+    from_fact = op.create_product_sales_trends(m["fact_sales"], m["dim_product"], m["dim_date"])
+    expected = rows(from_fact.select(sorted(from_fact.columns)))
+    assert expected and _product_days(spark, tmp_lake)[1] == expected
+    read = []
+    trends = op.create_product_sales_trends
+    monkeypatch.setattr(op, "create_product_sales_trends", lambda *a, **k: read.append(trends(*a, **k)) or read[-1])
+    jobs.aggregate_full(spark, tmp_lake)
+    assert "line_amount" not in read[0]._jdf.queryExecution().optimizedPlan().toString()
+    # a day that dim_date has twice makes groups of two rows: the fact is grouped itself
+    dd = jobs.table(spark, tmp_lake, CURATED, "dim_date")
+    dd.overwrite(dd.read().unionByName(dd.read()))
+    jobs.aggregate_full(spark, tmp_lake)
+    m = jobs._curated(spark, tmp_lake)
+    from_fact = trends(m["fact_sales"], m["dim_product"], m["dim_date"])
+    twice = rows(from_fact.select(sorted(from_fact.columns)))
+    assert twice != expected and _product_days(spark, tmp_lake)[1] == twice
+    # a fact without rows
+    fact = jobs.table(spark, tmp_lake, CURATED, "fact_sales")
+    products = jobs.table(spark, tmp_lake, CURATED, "dim_product")
+    products.overwrite(products.read().where("false"))
+    dd.overwrite(dd.read().distinct())
+    jobs.aggregate_full(spark, tmp_lake)
+    assert fact.read().count() == 4
+
+
+def test_trading_dates_need_equal_groups(spark):
+    from shelfline import operators as op
+    a, b = dt.date(2025, 9, 30), dt.date(2025, 10, 20)
+    dim = spark.createDataFrame([(1, a, 2025, 9), (2, b, 2025, 10)], "date_id int, date date, year int, month int")
+    fact = lambda *r: spark.createDataFrame(list(r), "date date, date_id int")
+    assert rows(op.trading_dates(fact((a, 1), (a, 1), (b, 2), (None, 3)), dim)) == [(a, a, 2025, 9), (b, b, 2025, 10)]
+    assert op.trading_dates(fact((a, 1), (a, 2)), dim) is None
+    assert op.trading_dates(fact((a, 1), (b, 1)), dim) is None
+    assert op.trading_dates(fact((a, 1)), dim.unionByName(dim)) is None
+
+
 def test_rows_shuffled_as_compressed_batches_are_the_same(spark, tmp_lake, sources, monkeypatch):
     from shelfline.operators import dealing, skew
     from shelfline.session import fresh_path
